@@ -1,0 +1 @@
+"""Intentionally empty: the feed is loaded in batch and no report is continuous."""
