@@ -8,17 +8,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tillwise.operators.cleaning import DEFAULT_PATTERN, clean
 from tillwise.operators.star import Star, build_star, number_lines
 from tillwise.plans.forecast import Model, daily_revenue, fit_additive, forecast_table
+from tillwise.plans.guard import create_history
 from tillwise.plans.segments import rfm_base, segment_customers
 from tillwise.sources.files import read_raw_csv, replace_table, table_exists, write_csv
 from tillwise.sources.staging import stage
 
 TABLES = ("fact_sales", "dim_customer", "dim_product", "dim_date")
 
-HISTORY_SCHEMA = (
-    "id BIGINT, asked_at TIMESTAMP_NTZ, user_question STRING, sql_generated STRING, "
-    "row_count BIGINT, ai_insight STRING, status STRING, error_message STRING"
-)
-
 
 def write_star(cleaned: DataFrame, folder: str, reset_audit: bool = False) -> None:
     """Replace the four tables. The audit log survives unless ``reset_audit``.
@@ -36,7 +32,7 @@ def write_star(cleaned: DataFrame, folder: str, reset_audit: bool = False) -> No
     history = f"{folder}/query_history"
     spark = cleaned.sparkSession
     if reset_audit or not table_exists(spark, history):
-        replace_table(spark.createDataFrame([], HISTORY_SCHEMA), history)
+        create_history(spark, history)
 
 
 def read_star(spark: SparkSession, folder: str) -> Star:

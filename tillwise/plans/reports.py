@@ -21,8 +21,9 @@ def _with_months(star: Star, *columns: str) -> DataFrame:
 
 
 def _last_day(star: Star) -> Column:
-    """Latest day of the whole fact table, computed once as a scalar subquery."""
-    return star.fact.agg(F.max("date_key")).scalar()
+    """Latest day of the whole fact table. As a literal it reaches the Parquet scan, so
+    filters built on it skip row groups."""
+    return F.lit(star.fact.agg(F.max("date_key")).first()[0]).cast("date")
 
 
 # --- monthly ----------------------------------------------------------------
@@ -238,9 +239,9 @@ def spend_capped(customers: DataFrame, probability: float = 0.95) -> DataFrame:
 
     ``customers`` is the result of :func:`customer_orders`.
     """
-    cap = exact_quantiles(customers, "total_spend", {"cap": probability}).scalar()
+    cap = exact_quantiles(customers, "total_spend", {"cap": probability}).first()["cap"]
     return customers.select(
-        "customer_id", "total_spend", F.least(F.col("total_spend"), cap).alias("capped_spend")
+        "customer_id", "total_spend", F.least(F.col("total_spend"), F.lit(cap).cast("double")).alias("capped_spend")
     )
 
 
@@ -251,15 +252,12 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     widened by a half on both sides, which puts them in the middle bin. Empty bins
     are listed with a count of zero.
     """
-    edges = df.agg(
-        F.struct(
-            F.min(column).cast("double").alias("lowest"),
-            F.max(column).cast("double").alias("highest"),
-        ).alias("edges")
-    ).scalar()
-    flat = edges["lowest"] == edges["highest"]
-    low = F.when(flat, edges["lowest"] - 0.5).otherwise(edges["lowest"])
-    high = F.when(flat, edges["highest"] + 0.5).otherwise(edges["highest"])
+    lowest, highest = df.agg(F.min(column).cast("double"), F.max(column).cast("double")).first()
+    if lowest is None:
+        lowest, highest = 0.0, 1.0
+    elif lowest == highest:
+        lowest, highest = lowest - 0.5, highest + 0.5
+    low, high = F.lit(lowest), F.lit(highest)
     value = F.col(column).cast("double")
     number = F.least(F.floor(F.lit(float(bins)) * (value - low) / (high - low)) + 1, F.lit(bins)).cast("int")
     filled = df.where(F.col(column).isNotNull()).groupBy(number.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
@@ -332,7 +330,7 @@ def key_stats(star: Star, customers: DataFrame) -> DataFrame:
     subquery of one row.
     """
     medians = {
-        column: exact_quantiles(customers, column, {"median": 0.5}).scalar()
+        column: F.lit(exact_quantiles(customers, column, {"median": 0.5}).first()["median"]).cast("double")
         for column in ("n_orders", "total_spend")
     }
     # first month wins a tie

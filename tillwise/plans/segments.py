@@ -66,18 +66,14 @@ def rfm_features(rfm: DataFrame) -> DataFrame:
 def _scaled(rfm: DataFrame) -> dict[str, Column]:
     """Features with mean 0 and population deviation 1; a constant feature becomes 0."""
     moments = rfm.agg(
-        F.struct(
-            *(F.avg(_feature(name)).alias(f"{name}_mean") for name in METRICS),
-            *(F.stddev_pop(_feature(name)).alias(f"{name}_dev") for name in METRICS),
-        ).alias("moments")
-    ).scalar()
-
-    def scaled(name: str) -> Column:
-        deviation = moments[f"{name}_dev"]
-        divisor = F.when(deviation == 0, F.lit(1.0)).otherwise(deviation)
-        return (_feature(name) - moments[f"{name}_mean"]) / divisor
-
-    return {name: scaled(name) for name in METRICS}
+        *(F.avg(_feature(name)).alias(f"{name}_mean") for name in METRICS),
+        *(F.stddev_pop(_feature(name)).alias(f"{name}_dev") for name in METRICS),
+    ).first()
+    return {
+        name: (_feature(name) - F.lit(moments[f"{name}_mean"]).cast("double"))
+        / F.lit(moments[f"{name}_dev"] or 1.0)
+        for name in METRICS
+    }
 
 
 def rfm_scaled(rfm: DataFrame) -> DataFrame:
@@ -85,15 +81,19 @@ def rfm_scaled(rfm: DataFrame) -> DataFrame:
 
 
 def cluster_customers(
-    rfm: DataFrame, k: int = 5, seed: int = 42, starts: int = 10, max_iter: int = 300, parallelism: int = 4
+    rfm: DataFrame, k: int = 5, seed: int = 42, starts: int = 10, max_iter: int = 300, parallelism: int = 5
 ) -> DataFrame:
     """Add ``cluster`` from the cheapest of several k-means runs.
 
     The runs share one persisted feature table and overlap, since a single run leaves
     a cluster idle between its many small jobs. ``rfm`` should be a written table.
+
+    A run ends when the squared moves of all centres add up to no more than 1e-4; Spark
+    looks at each centre by itself, so the bound is shared out among them.
     """
     if not 1 <= k <= len(SEGMENT_NAMES):
         raise ValueError(f"k must lie between 1 and {len(SEGMENT_NAMES)}, one name per cluster")
+    tolerance = (1e-4 / k) ** 0.5
     inputs = {f"scaled_{name}": column for name, column in _scaled(rfm).items()}
     assembler = VectorAssembler(inputCols=list(inputs), outputCol="features")
     points = assembler.transform(rfm.withColumns(inputs)).drop(*inputs)
@@ -102,7 +102,7 @@ def cluster_customers(
         shared.count()
 
         def run(offset: int):
-            estimator = KMeans(k=k, seed=seed + offset, maxIter=max_iter, tol=1e-4, predictionCol="cluster")
+            estimator = KMeans(k=k, seed=seed + offset, maxIter=max_iter, tol=tolerance, predictionCol="cluster")
             model = estimator.fit(shared)
             return model.summary.trainingCost, offset, model
 

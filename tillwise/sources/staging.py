@@ -25,10 +25,15 @@ def shared_folder(spark: SparkSession) -> str:
     return _own_folders[context.applicationId]
 
 
+def new_path(spark: SparkSession, label: str) -> str:
+    """An unused place in the shared folder."""
+    application = spark.sparkContext.applicationId
+    return f"{shared_folder(spark)}/tillwise/{application}/{label}-{uuid4().hex}"
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write the rows once and return the written table."""
     spark = df.sparkSession
-    application = spark.sparkContext.applicationId
-    path = f"{shared_folder(spark)}/tillwise/{application}/{label}-{uuid4().hex}"
+    path = new_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

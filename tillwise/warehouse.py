@@ -6,7 +6,6 @@ read the result. The tables lie in the staging folder, so they outlive executors
 
 import os
 from collections.abc import Callable
-from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,20 +13,29 @@ from tillwise.operators.cleaning import clean
 from tillwise.operators.star import Star, dim_customer, dim_date, dim_product, fact_sales
 from tillwise.plans import guard, reports, segments
 from tillwise.sources import trade
-from tillwise.sources.staging import shared_folder, stage
+from tillwise.sources.staging import new_path, stage
 
 _tables: dict[tuple, DataFrame] = {}
 
 
 def _state(spark: SparkSession, folder: str) -> tuple:
-    """Which files the source consists of; a changed source gets new tables."""
-    files = []
-    for name in trade.SCHEMAS:
-        for uri in trade.read_table(spark, folder, name).inputFiles():
-            place = urlparse(uri)
-            stat = os.stat(place.path) if place.scheme == "file" else None
-            files.append((uri, stat.st_mtime_ns, stat.st_size) if stat else (uri,))
-    return tuple(sorted(files))
+    """Which files the source consists of; a changed source gets new tables.
+
+    In a mounted folder size and time tell; elsewhere the names of the files, which
+    Spark makes unique on every write.
+    """
+    if os.path.isdir(folder):
+        files = []
+        for name in trade.SCHEMAS:
+            top = os.path.join(folder, f"{name}.parquet")
+            inside = [os.path.join(place, file) for place, _, names in os.walk(top) for file in names]
+            for file in inside or [top]:
+                stat = os.stat(file)
+                files.append((file, stat.st_mtime_ns, stat.st_size))
+        return tuple(sorted(files))
+    return tuple(
+        sorted(uri for name in trade.SCHEMAS for uri in trade.read_table(spark, folder, name).inputFiles())
+    )
 
 
 class Warehouse:
@@ -78,8 +86,8 @@ class Warehouse:
             outcomes = self._once(
                 "outcomes", lambda: guard.audit_outcomes(trade.attempts(self.spark, self.folder))
             )
-            application = self.spark.sparkContext.applicationId
-            path = f"{shared_folder(self.spark)}/tillwise/{application}/query_history-{abs(hash(self._key))}"
+            path = new_path(self.spark, "query_history")
+            guard.create_history(self.spark, path)
             guard.append_history(outcomes.where("status <> 'error'"), path)
             guard.append_history(outcomes.where("status = 'error'"), path)
             _tables[key] = self.spark.read.parquet(path)
