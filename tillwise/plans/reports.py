@@ -1,23 +1,31 @@
 """The standing reports on the star schema.
 
-Wherever a report joins a dimension that can be large, the fact is first added up to
-one row per key. The join then meets unique keys on both sides, so a customer or
-product holding a large share of the rows cannot pile up in one task. Which side is
-broadcast is left to Spark, which decides by the size it measures.
+Wherever a report joins a dimension, the fact is first added up to one row per key if
+the report allows it. The join then meets unique keys on both sides, so a customer,
+product or day holding a large share of the rows cannot pile up in one task, and Spark
+picks the kind of join by the sizes it measures. Reports that need finer rows go
+through ``join_lookup``, which checks the size of what it broadcasts and cuts up
+frequent keys otherwise.
 """
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillwise.functions.calendar import month_start, months_between_starts, period_label
 from tillwise.functions.numeric import money_sum, money_total, ratio, round_half_up
+from tillwise.operators.joins import join_lookup
 from tillwise.operators.ranking import exact_quantiles, with_running_total
 from tillwise.operators.star import Star
 
 
-def _with_months(star: Star, *columns: str) -> DataFrame:
-    """Fact columns next to the calendar columns of their day."""
-    days = star.dates.select("date_key", "year", "month", "month_name")
-    return star.fact.select("date_key", *columns).join(days, "date_key")
+MONTH = ("year", "month", "month_name")
+
+
+def _daily_by_month(star: Star) -> DataFrame:
+    """Revenue and lines per day next to the month of the day."""
+    daily = star.fact.groupBy("date_key").agg(
+        money_total("revenue").alias("amount"), F.count("revenue").alias("lines")
+    )
+    return daily.join(star.dates.select("date_key", *MONTH), "date_key")
 
 
 def _last_day(star: Star) -> Column:
@@ -31,9 +39,10 @@ def _last_day(star: Star) -> Column:
 
 def monthly_revenue(star: Star) -> DataFrame:
     """Revenue and orders per month."""
+    days = star.dates.select("date_key", *MONTH)
     return (
-        _with_months(star, "invoice_no", "revenue")
-        .groupBy("year", "month", "month_name")
+        join_lookup(star.fact.select("date_key", "invoice_no", "revenue"), days, "date_key")
+        .groupBy(*MONTH)
         .agg(
             round_half_up(money_sum("revenue"), 2).alias("monthly_revenue"),
             F.count_distinct("invoice_no").alias("orders"),
@@ -45,9 +54,9 @@ def monthly_revenue(star: Star) -> DataFrame:
 def monthly_labelled(star: Star) -> DataFrame:
     """Revenue per month with a label such as 'Jan 2011'."""
     return (
-        _with_months(star, "revenue")
-        .groupBy("year", "month", "month_name")
-        .agg(money_sum("revenue").alias("revenue"))
+        _daily_by_month(star)
+        .groupBy(*MONTH)
+        .agg(F.sum("amount").cast("double").alias("revenue"))
         .withColumn("period", period_label(F.col("month_name"), F.col("year")))
         .orderBy("year", "month")
     )
@@ -58,7 +67,7 @@ def month_growth(star: Star) -> DataFrame:
 
     The window sees one row per month.
     """
-    monthly = _with_months(star, "revenue").groupBy("year", "month").agg(money_sum("revenue").alias("total"))
+    monthly = _daily_by_month(star).groupBy("year", "month").agg(F.sum("amount").cast("double").alias("total"))
     previous = F.lag("total").over(Window.orderBy("year", "month"))
     return (
         monthly.withColumn("previous", previous)
@@ -78,11 +87,11 @@ def month_growth(star: Star) -> DataFrame:
 def seasonality(star: Star) -> DataFrame:
     """Mean line revenue and total per calendar month, all years together."""
     return (
-        _with_months(star, "revenue")
+        _daily_by_month(star)
         .groupBy("month_name", "month")
         .agg(
-            (money_sum("revenue") / F.count("revenue")).alias("avg_line_revenue"),
-            money_sum("revenue").alias("total_revenue"),
+            ratio(F.sum("amount"), F.sum("lines")).alias("avg_line_revenue"),
+            F.sum("amount").cast("double").alias("total_revenue"),
         )
         .orderBy("month")
     )
@@ -356,11 +365,9 @@ def key_stats(star: Star, customers: DataFrame) -> DataFrame:
 
 def sales_wide(star: Star) -> DataFrame:
     """Every fact row with the columns of its customer, product and day."""
-    return (
-        star.fact.join(star.customers, "customer_id")
-        .join(star.products, "stock_code")
-        .join(star.dates, "date_key")
-    )
+    wide = join_lookup(star.fact, star.customers, "customer_id")
+    wide = join_lookup(wide, star.products, "stock_code")
+    return join_lookup(wide, star.dates, "date_key")
 
 
 def measures_by_month_country(star: Star) -> DataFrame:
@@ -368,28 +375,26 @@ def measures_by_month_country(star: Star) -> DataFrame:
 
     Lines are added up to orders before the customer dimension is joined.
     """
-    orders = (
-        star.fact.groupBy("customer_id", "invoice_no", month_start(F.col("date_key")).alias("first_day"))
-        .agg(money_total("revenue").alias("revenue"))
-        .join(star.customers, "customer_id")
-        .select(
-            F.year("first_day").alias("year"),
-            F.month("first_day").alias("month"),
-            "country",
-            "customer_id",
-            "invoice_no",
-            "revenue",
-        )
+    orders = star.fact.groupBy("customer_id", "invoice_no", month_start(F.col("date_key")).alias("first_day")).agg(
+        money_total("revenue").alias("revenue")
+    )
+    located = join_lookup(orders, star.customers, "customer_id").select(
+        F.year("first_day").alias("year"),
+        F.month("first_day").alias("month"),
+        "country",
+        "customer_id",
+        "invoice_no",
+        "revenue",
     )
-    return measures(orders, ("year", "month", "country"))
+    return measures(located, ("year", "month", "country"))
 
 
 def calendar_month_growth(star: Star) -> DataFrame:
     """Growth over the previous calendar month; blank where that month has no sales."""
     monthly = (
-        _with_months(star, "revenue")
+        _daily_by_month(star)
         .groupBy("year", "month")
-        .agg(money_sum("revenue").alias("total_revenue"))
+        .agg(F.sum("amount").cast("double").alias("total_revenue"))
         .withColumn("first_day", F.make_date("year", "month", F.lit(1)))
     )
     previous = monthly.select(
@@ -408,7 +413,7 @@ def calendar_month_growth(star: Star) -> DataFrame:
 
 def year_to_date(star: Star) -> DataFrame:
     """Revenue from January up to each month; the window holds one year's months."""
-    monthly = _with_months(star, "revenue").groupBy("year", "month").agg(money_total("revenue").alias("amount"))
+    monthly = _daily_by_month(star).groupBy("year", "month").agg(F.sum("amount").alias("amount"))
     so_far = Window.partitionBy("year").orderBy("month").rowsBetween(Window.unboundedPreceding, 0)
     return monthly.select(
         "year",

@@ -25,6 +25,15 @@ FORECAST_SCHEMA = "ds DATE, forecast DOUBLE, lower DOUBLE, upper DOUBLE, actual
 HEADER_ALIASES = {"Invoice": "InvoiceNo", "Customer ID": "CustomerID", "Price": "UnitPrice"}
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of an input with fewer pieces than the session has cores, such as a single
+    file that cannot be split, dealt out in pieces of a sensible size. Larger inputs are
+    left as they are."""
+    if df.rdd.getNumPartitions() >= df.sparkSession.sparkContext.defaultParallelism:
+        return df
+    return df.hint("rebalance")
+
+
 def normalise_headers(raw: DataFrame) -> DataFrame:
     return raw.withColumnsRenamed(HEADER_ALIASES)
 

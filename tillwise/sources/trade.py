@@ -7,6 +7,9 @@ unreadable dates, spelling variants and exact duplicates.
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tillwise.operators.joins import join_lookup
+from tillwise.sources.files import spread
+
 LINEITEM_SCHEMA = (
     "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
     "l_quantity DOUBLE, l_extendedprice DOUBLE, l_returnflag STRING"
@@ -32,21 +35,21 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def raw_sales(spark: SparkSession, folder: str) -> DataFrame:
     """The eight-column raw feed.
 
-    Orders meet customers and nations first, so the line items are shuffled once for
-    the orders and once for the parts. Duplicates come from an explode on the joined
-    row, which reads everything once where a union would join twice.
+    Customers get their nation and orders their customer first, so the line items meet
+    two lookups instead of four. Duplicates come from an explode on the joined row,
+    which reads everything once where a union would join twice.
     """
     line, orders, part, customer, nation = (
         read_table(spark, folder, name) for name in SCHEMAS
     )
-    buyers = (
-        orders.join(customer, orders.o_custkey == customer.c_custkey)
-        .join(nation, customer.c_nationkey == nation.n_nationkey)
-        .select("o_orderkey", "o_custkey", "o_orderdate", "n_name")
-    )
-    joined = line.join(buyers, line.l_orderkey == buyers.o_orderkey).join(
-        part, line.l_partkey == part.p_partkey
+    homes = join_lookup(
+        customer.withColumnRenamed("c_nationkey", "n_nationkey"), nation, "n_nationkey"
+    ).select(F.col("c_custkey").alias("o_custkey"), "n_name")
+    buyers = join_lookup(orders, homes, "o_custkey", customer.count())
+    ordered = join_lookup(
+        spread(line).withColumn("o_orderkey", F.col("l_orderkey")), buyers, "o_orderkey", orders.count()
     )
+    joined = join_lookup(ordered.withColumn("p_partkey", F.col("l_partkey")), part, "p_partkey")
 
     order_text = F.col("o_orderkey").cast("string")
     day = F.col("o_orderdate").cast("string")
@@ -106,7 +109,7 @@ def _statement(kind, order_text, customer_text):
 
 def statements(spark: SparkSession, folder: str) -> DataFrame:
     """One model answer per order: ``stmt_id``, ``stmt_text``."""
-    orders = read_table(spark, folder, "orders")
+    orders = spread(read_table(spark, folder, "orders"))
     return orders.select(
         F.col("o_orderkey").alias("stmt_id"),
         _statement(
@@ -123,7 +126,7 @@ def attempts(spark: SparkSession, folder: str) -> DataFrame:
     Columns: ``question_id, user_question, asked_at, attempt, answer, row_count``.
     The row count stands for the size of the result, had the statement been run.
     """
-    orders = read_table(spark, folder, "orders")
+    orders = spread(read_table(spark, folder, "orders"))
     order_text = F.col("o_orderkey").cast("string")
     customer_text = F.col("o_custkey").cast("string")
     return orders.select(
