@@ -80,49 +80,56 @@ def fit_linear(series: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def _design(days: np.ndarray, first: float, span: float) -> np.ndarray:
-    """Trend with 25 bends in the first 80 % of the history, yearly and weekly waves.
+def _additive_fit() -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """The fit of one series.
 
-    Waves are left out where the history is too short to show them.
+    Local functions travel to the executors by value, so the package need not be
+    installed there.
     """
-    scale = max(span, 1.0)
-    when = (days - first) / scale
-    columns = [np.ones_like(when), when]
-    columns += [np.maximum(when - bend, 0.0) for bend in np.linspace(0.0, 0.8, 26)[1:]]
-    waves = []
-    if span >= 730:
-        waves.append((365.25, 10))
-    if span >= 14:
-        waves.append((7.0, 3))
-    for period, order in waves:
-        for n in range(1, order + 1):
-            angle = 2.0 * np.pi * n * days / period
-            columns += [np.sin(angle), np.cos(angle)]
-    return np.column_stack(columns)
-
-
-def _additive_series(frame: pd.DataFrame) -> pd.DataFrame:
-    """Ridge fit of one series; level and overall slope are not penalised."""
-    frame = frame.sort_values("ds", ignore_index=True)
-    days = (pd.to_datetime(frame["ds"]) - pd.Timestamp(0)).dt.days.to_numpy(float)
-    y = frame["y"].to_numpy(float)
-    known = ~np.isnan(y)
-    first, last = days[known].min(), days[known].max()
-    design = _design(days, first, last - first)
-    size = max(np.abs(y[known]).max(), 1.0)
-    penalty = np.diag([0.0, 1e-6] + [1.0] * (design.shape[1] - 2))
-    x = design[known]
-    weights = np.linalg.solve(x.T @ x + penalty + 1e-9 * np.eye(len(penalty)), x.T @ (y[known] / size))
-    yhat = design @ weights * size
-    spread = INTERVAL_Z * np.std(y[known] - yhat[known])
-    return frame.assign(yhat=yhat, yhat_lower=yhat - spread, yhat_upper=yhat + spread)
+
+    def design(days: np.ndarray, first: float, span: float) -> np.ndarray:
+        """Trend with 25 bends in the first 80 % of the history, yearly and weekly waves.
+
+        Waves are left out where the history is too short to show them.
+        """
+        when = (days - first) / max(span, 1.0)
+        columns = [np.ones_like(when), when]
+        columns += [np.maximum(when - bend, 0.0) for bend in np.linspace(0.0, 0.8, 26)[1:]]
+        waves = []
+        if span >= 730:
+            waves.append((365.25, 10))
+        if span >= 14:
+            waves.append((7.0, 3))
+        for period, order in waves:
+            for n in range(1, order + 1):
+                angle = 2.0 * np.pi * n * days / period
+                columns += [np.sin(angle), np.cos(angle)]
+        return np.column_stack(columns)
+
+    def fit(frame: pd.DataFrame) -> pd.DataFrame:
+        """Ridge regression; level and overall slope are hardly penalised."""
+        frame = frame.sort_values("ds", ignore_index=True)
+        days = (pd.to_datetime(frame["ds"]) - pd.Timestamp(0)).dt.days.to_numpy(float)
+        y = frame["y"].to_numpy(float)
+        known = ~np.isnan(y)
+        first, last = days[known].min(), days[known].max()
+        x = design(days, first, last - first)
+        size = max(np.abs(y[known]).max(), 1.0)
+        penalty = np.diag([1e-9, 1e-6] + [1.0] * (x.shape[1] - 2))
+        seen = x[known]
+        weights = np.linalg.solve(seen.T @ seen + penalty, seen.T @ (y[known] / size))
+        yhat = x @ weights * size
+        spread = INTERVAL_Z * np.std(y[known] - yhat[known])
+        return frame.assign(yhat=yhat, yhat_lower=yhat - spread, yhat_upper=yhat + spread)
+
+    return fit
 
 
 def fit_additive(series: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Piecewise linear trend with yearly and weekly seasonality, one task per series."""
     schema = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in series.schema)
     schema += ", yhat DOUBLE, yhat_lower DOUBLE, yhat_upper DOUBLE"
-    return series.groupBy(*keys).applyInPandas(_additive_series, schema)
+    return series.groupBy(*keys).applyInPandas(_additive_fit(), schema)
 
 
 def forecast_table(

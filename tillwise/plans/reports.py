@@ -211,16 +211,17 @@ def country_quarter_change(star: Star) -> DataFrame:
     )
 
 
-def country_last_month(star: Star, country: str) -> DataFrame:
-    """One country's sales in the last month of the data."""
+def country_last_month(star: Star, country: str | None = None) -> DataFrame:
+    """Sales per country, or of one country, in the last month of the data."""
     first_day = month_start(_last_day(star))
     spent = (
         star.fact.where(F.col("date_key") >= first_day)
         .groupBy("customer_id")
         .agg(money_total("revenue").alias("amount"), F.count(F.lit(1)).alias("lines"))
     )
+    customers = star.customers if country is None else star.customers.where(F.col("country") == country)
     return (
-        spent.join(star.customers.where(F.col("country") == country), "customer_id")
+        spent.join(customers, "customer_id")
         .groupBy("country")
         .agg(
             F.sum("amount").cast("double").alias("total_sales"),
@@ -366,8 +367,8 @@ def key_stats(star: Star, customers: DataFrame) -> DataFrame:
 def sales_wide(star: Star) -> DataFrame:
     """Every fact row with the columns of its customer, product and day."""
     wide = join_lookup(star.fact, star.customers, "customer_id")
-    wide = join_lookup(wide, star.products, "stock_code")
-    return join_lookup(wide, star.dates, "date_key")
+    wide = join_lookup(wide, star.products, "stock_code", counted_on=star.fact)
+    return join_lookup(wide, star.dates, "date_key", counted_on=star.fact)
 
 
 def measures_by_month_country(star: Star) -> DataFrame:
@@ -378,7 +379,7 @@ def measures_by_month_country(star: Star) -> DataFrame:
     orders = star.fact.groupBy("customer_id", "invoice_no", month_start(F.col("date_key")).alias("first_day")).agg(
         money_total("revenue").alias("revenue")
     )
-    located = join_lookup(orders, star.customers, "customer_id").select(
+    located = join_lookup(orders, star.customers, "customer_id", counted_on=star.fact).select(
         F.year("first_day").alias("year"),
         F.month("first_day").alias("month"),
         "country",

@@ -28,8 +28,6 @@ WITH sold AS (
 SELECT country, year, quarter, units, order_lines FROM sold;
 """
 
-COUNTRY = "NATION_0"
-
 
 def dates_as_text(df: DataFrame) -> DataFrame:
     """Days and times in the text form the stored tables of the feed use."""
@@ -114,15 +112,15 @@ _QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "revenue_by_country": lambda w: reports.revenue_by_country(w.star()),
     "top_countries": lambda w: reports.top_countries(w.star()),
     "country_qoq_drop": lambda w: reports.country_quarter_change(w.star()),
-    "country_last_month": lambda w: reports.country_last_month(w.star(), COUNTRY),
+    "country_last_month": lambda w: reports.country_last_month(w.star()),
     "customer_orders": lambda w: w.customer_orders(),
-    "spend_capped": lambda w: rounded(reports.spend_capped(w.customer_orders()), 2, "capped_spend"),
+    "spend_capped": lambda w: rounded(reports.spend_capped(w.customer_orders()), 6, "capped_spend"),
     "hist_orders": lambda w: rounded(
         reports.histogram(w.customer_orders(), "n_orders"), 6, "lower_edge", "upper_edge"
     ),
     "hist_spend": lambda w: rounded(
         reports.histogram(reports.spend_capped(w.customer_orders()), "capped_spend"),
-        4, "lower_edge", "upper_edge",
+        6, "lower_edge", "upper_edge",
     ),
     "cohort_retention": lambda w: reports.cohort_retention(w.star()),
     "kpis": lambda w: reports.kpis(w.star()),

@@ -47,9 +47,18 @@ def raw_sales(spark: SparkSession, folder: str) -> DataFrame:
     ).select(F.col("c_custkey").alias("o_custkey"), "n_name")
     buyers = join_lookup(orders, homes, "o_custkey", customer.count())
     ordered = join_lookup(
-        spread(line).withColumn("o_orderkey", F.col("l_orderkey")), buyers, "o_orderkey", orders.count()
+        spread(line).withColumn("o_orderkey", F.col("l_orderkey")),
+        buyers,
+        "o_orderkey",
+        orders.count(),
+        counted_on=line.select(F.col("l_orderkey").alias("o_orderkey")),
+    )
+    joined = join_lookup(
+        ordered.withColumn("p_partkey", F.col("l_partkey")),
+        part,
+        "p_partkey",
+        counted_on=line.select(F.col("l_partkey").alias("p_partkey")),
     )
-    joined = join_lookup(ordered.withColumn("p_partkey", F.col("l_partkey")), part, "p_partkey")
 
     order_text = F.col("o_orderkey").cast("string")
     day = F.col("o_orderdate").cast("string")
