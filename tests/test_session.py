@@ -1,3 +1,5 @@
+import pytest
+
 from tillwise.session import cluster_settings
 from tillwise.sources import staging
 
@@ -11,30 +13,27 @@ def test_partitions_grow_with_the_input_up_to_a_bound():
     assert partitions(100 << 40) == 40_000
 
 
-def test_staging_uses_the_configured_folder(spark, tmp_path):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        assert staging.stage(spark.range(10), "numbers").count() == 10
-        assert list(tmp_path.rglob("*.parquet"))
-    finally:
-        spark.conf.unset("spark.checkpoint.dir") if before is None else spark.conf.set("spark.checkpoint.dir", before)
+class Session:
+    """Just enough of a session to choose a folder."""
+
+    def __init__(self, master, folder=None):
+        self.sparkContext = type("Context", (), {"master": master, "applicationId": "app-1"})
+        self.conf = type("Conf", (), {"get": staticmethod(lambda name, default: folder or default)})
+
+
+def test_the_configured_folder_is_used():
+    assert staging.shared_folder(Session("yarn", "s3://shared/checkpoints")) == "s3://shared/checkpoints"
+
 
+def test_a_local_session_may_use_a_temporary_folder():
+    folder = staging.shared_folder(Session("local[4]"))
+    assert folder == staging.shared_folder(Session("local[4]"))
 
-def test_a_cluster_needs_a_configured_folder(monkeypatch):
-    class Conf:
-        def get(self, name, default):
-            return default
 
-    class Session:
-        conf = Conf()
+def test_a_cluster_needs_a_configured_folder():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        staging.shared_folder(Session("yarn"))
 
-        class sparkContext:  # noqa: N801
-            master = "yarn"
 
-    try:
-        staging.shared_folder(Session())
-    except RuntimeError as error:
-        assert "spark.checkpoint.dir" in str(error)
-    else:
-        raise AssertionError("a temporary folder must not be used on a cluster")
+def test_a_staged_table_keeps_its_rows(spark):
+    assert staging.stage(spark.range(10), "numbers").count() == 10

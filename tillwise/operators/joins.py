@@ -22,12 +22,14 @@ def join_lookup(
 
     Beyond that both sides are shuffled. A key with more than an even share of the rows
     is cut into pieces of about that share, by a hash of the row, and its one lookup row is
-    copied to each piece. (The hash keeps a retried task from dealing its rows out
-    differently; equal rows stay together, which Spark's own skew handling splits.) With P shuffle partitions there are fewer than P such
-    keys and fewer than 2 P copies, however large the tables are. The keys are counted on
-    ``counted_on``, a stored table with about the same frequencies, where ``rows`` are
-    themselves the result of a join or aggregation. The counts only decide the layout;
-    the result is the same whatever they are.
+    copied to each piece. With P shuffle partitions there are fewer than P such keys and
+    fewer than 2 P copies, however large the tables are. Hashing keeps a retried task from
+    dealing its rows out differently; equal rows stay together and are left to Spark's own
+    skew handling.
+
+    The keys are counted on ``counted_on``, a stored table with about the same
+    frequencies, where ``rows`` are themselves the result of a join or aggregation. The
+    counts only decide the layout; the result is the same whatever they are.
     """
     limit = BROADCAST_ROWS if broadcast_rows is None else broadcast_rows
     if (lookup.count() if lookup_rows is None else lookup_rows) <= limit:
@@ -39,7 +41,8 @@ def join_lookup(
     counted = rows if counted_on is None else counted_on
     share = max(1, counted.count() // partitions)
     held = counted.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    hot = held.where(F.col("_n") > share).select(key, F.ceil(F.col("_n") / F.lit(share)).cast("int").alias("_pieces")).collect()
+    pieces = F.ceil(F.col("_n") / F.lit(share)).cast("int").alias("_pieces")
+    hot = held.where(F.col("_n") > share).select(key, pieces).collect()
     if not hot:
         return keyed.join(lookup, key)
 
