@@ -4,7 +4,7 @@ from datetime import datetime
 import pytest
 from frames import raw, raw_row
 
-from tillwise.operators.cleaning import clean, clean_report
+from tillwise.operators.cleaning import clean, clean_report, date_pattern
 
 
 def kept(spark, *rows):
@@ -73,3 +73,21 @@ def test_report_adds_up(spark):
 def test_report_of_an_empty_feed(spark):
     row = clean_report(raw(spark, raw_row()).limit(0)).first()
     assert (row.rows_before, row.rows_after, row.dropped_rate) == (0, 0, None)
+
+
+@pytest.mark.parametrize("text, pattern", [
+    ("12/1/2010 8:26", "M/d/yyyy H:m"), ("2009-12-01 07:45:00", "yyyy-MM-dd H:m:s"), ("2009-12-01", "yyyy-MM-dd"),
+    ("soon", "M/d/yyyy H:m"), (None, "M/d/yyyy H:m"),
+])
+def test_pattern_is_taken_from_the_first_date(spark, text, pattern):
+    table = raw(spark, raw_row(when=text))
+    assert date_pattern(table) == pattern
+    assert clean(table, date_pattern(table)).count() == (0 if text in ("soon", None) else 1)
+
+
+def test_fine_prices_are_not_lost_in_sums(spark):
+    from tillwise.operators.star import fact_sales
+    from tillwise.plans.reports import measures
+
+    table = clean(raw(spark, raw_row(price=0.001, stock="A"), raw_row(price=0.001, stock="B")))
+    assert measures(fact_sales(table)).first().total_revenue == 0.002

@@ -52,3 +52,15 @@ def test_a_frequent_key_is_spread_over_tasks(spark, rows, lookup, settings):
 def test_no_frequent_key(spark, lookup):
     flat = spark.range(4500).select("id", (F.col("id") % 450).alias("k"))
     assert contents(join_lookup(flat, lookup, "k", broadcast_rows=0)) == contents(flat.join(lookup, "k"))
+
+
+def test_a_lookup_of_few_but_long_rows_is_not_broadcast(spark, settings, monkeypatch):
+    from tillwise.operators import joins
+
+    settings(autoBroadcastJoinThreshold=-1)
+    monkeypatch.setattr(joins, "BROADCAST_TEXT_BYTES", 1000)
+    long = spark.range(10).select(F.col("id").alias("k"), F.repeat(F.lit("x"), 200).alias("text"))
+    rows = spark.range(100).select("id", (F.col("id") % 10).alias("k"))
+    joined = join_lookup(rows, long, "k")
+    assert "SortMergeJoin" in joined._jdf.queryExecution().executedPlan().toString()
+    assert joined.count() == 100

@@ -84,3 +84,21 @@ def test_a_failing_forecast_is_not_fatal(spark, feed, tmp_path):
 
     log = pipeline.build_all(spark, feed, str(tmp_path / "tables"), model=broken, k=2).log
     assert log[:2] == ["star: built", "segments: built"] and "no model here" in log[2]
+
+
+def test_quotes_and_missing_cells_read_like_pandas(spark, tmp_path):
+    import pandas as pd
+
+    path = str(tmp_path / "odd.csv")
+    with open(path, "w", encoding="latin1") as file:
+        file.write(",".join(HEADERS) + "\n")
+        file.write('1,A,"SET ""RED"", 6",1,1/2/2010 8:00,1.5,7,UK\n')
+        file.write('2,B,"",1,1/2/2010 8:00,1.5,,NA\n')
+        file.write("3,C, padded ,x,1/2/2010 8:00,NA,7.0,null\n")
+    ours = read_raw_csv(spark, path).collect()
+    theirs = pd.read_csv(path, encoding="latin1")
+    for row, (_, expected) in zip(ours, theirs.iterrows()):
+        for name, alias in (("Description", "Description"), ("Country", "Country"), ("CustomerID", "Customer ID")):
+            value = expected[alias]
+            assert row[name] == (None if pd.isna(value) else value)
+    assert ours[2].Quantity is None and ours[2].UnitPrice is None

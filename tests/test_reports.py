@@ -98,3 +98,9 @@ def test_display(spark):
         grouped_number(F.lit(1234567)), percent(F.lit(0.1234)), currency(F.lit(1234.5))
     ).first()
     assert tuple(row) == ("1,234,567", "12.3%", "£1,234.50")
+
+
+def test_key_stats_of_nothing(spark, gaps):
+    empty = gaps.__class__(gaps.fact.limit(0), gaps.customers, gaps.products, gaps.dates)
+    row = reports.key_stats(empty, reports.customer_orders(empty)).first()
+    assert tuple(row) == (0, None, None, None, None, None, None)

@@ -8,23 +8,28 @@ which is exact in any order, and only the finished total becomes a double.
 from pyspark.sql import Column, functions as F
 from pyspark.sql.types import DecimalType
 
-MONEY_SCALE = 2
+# Digits kept of an amount: prices down to a hundredth of a cent.
+MONEY_SCALE = 4
 
+# Digits in all: 18 fit a long and hold any order line, totals need more.
+LINE_PRECISION = 18
+TOTAL_PRECISION = 28
 
-def money(value: Column | str, scale: int = MONEY_SCALE) -> Column:
-    """The amount as an exact decimal; raise ``scale`` for finer price units."""
+
+def money(value: Column | str, precision: int = LINE_PRECISION) -> Column:
+    """The amount as an exact decimal."""
     column = F.col(value) if isinstance(value, str) else value
-    return column.cast(DecimalType(18, scale))
+    return column.cast(DecimalType(precision, MONEY_SCALE))
 
 
-def money_total(value: Column | str, scale: int = MONEY_SCALE) -> Column:
+def money_total(value: Column | str, precision: int = LINE_PRECISION) -> Column:
     """Exact sum, still a decimal, for totals that are added up again later."""
-    return F.sum(money(value, scale))
+    return F.sum(money(value, precision))
 
 
-def money_sum(value: Column | str, scale: int = MONEY_SCALE) -> Column:
+def money_sum(value: Column | str, precision: int = LINE_PRECISION) -> Column:
     """Exact sum as a double."""
-    return money_total(value, scale).cast("double")
+    return money_total(value, precision).cast("double")
 
 
 def round_half_up(value: Column, digits: int) -> Column:

@@ -10,6 +10,21 @@ from tillwise.sources.files import RAW_TYPES, normalise_headers
 DEFAULT_PATTERN = "M/d/yyyy H:m"
 
 
+# Formats tried on the first date of a feed.
+KNOWN_PATTERNS = (DEFAULT_PATTERN, "M/d/yyyy H:m:s", "yyyy-MM-dd H:m:s", "yyyy-MM-dd H:m", "yyyy-MM-dd")
+
+
+def date_pattern(raw: DataFrame) -> str:
+    """The first known pattern that reads the first date text of the feed.
+
+    Dates in any other format are dropped by the cleaning.
+    """
+    first = normalise_headers(raw).select("InvoiceDate").where("InvoiceDate IS NOT NULL").limit(1)
+    fits = [parse_wall_time(F.col("InvoiceDate"), pattern).isNotNull() for pattern in KNOWN_PATTERNS]
+    row = first.select(*fits).first()
+    return next((p for p, fit in zip(KNOWN_PATTERNS, row or ()) if fit), DEFAULT_PATTERN)
+
+
 def _typed(raw: DataFrame) -> DataFrame:
     """Raw columns in their final types. A missing invoice number is the text 'nan'
     and therefore not a cancellation; a customer number loses its fraction."""

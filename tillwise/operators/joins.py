@@ -2,9 +2,17 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-# A lookup up to this many rows is broadcast; its rows are narrow, so this stays in the
-# tens of megabytes.
+# A lookup within both bounds is broadcast.
 BROADCAST_ROWS = 200_000
+BROADCAST_TEXT_BYTES = 32 << 20
+
+
+def _text_bytes(lookup: DataFrame) -> int:
+    """Bytes in the text columns, the only ones whose width is not fixed."""
+    widths = [F.coalesce(F.octet_length(name), F.lit(0)) for name, kind in lookup.dtypes if kind == "string"]
+    if not widths:
+        return 0
+    return lookup.agg(F.coalesce(F.sum(sum(widths, F.lit(0)).cast("bigint")), F.lit(0))).first()[0]
 
 
 def join_lookup(
@@ -17,8 +25,9 @@ def join_lookup(
 ) -> DataFrame:
     """Inner join on ``key``, safe for a key that holds a large share of ``rows``.
 
-    A lookup of counted, small size is broadcast and ``rows`` stay where they are.
-    ``lookup_rows`` may name an upper bound of its size where counting would cost a join.
+    A lookup found small, first by its rows and then by its text, is broadcast and
+    ``rows`` stay where they are. ``lookup_rows`` may name an upper bound of its rows where
+    counting would cost a join.
 
     Beyond that both sides are shuffled. A key with more than an even share of the rows
     is cut into pieces of about that share, by a hash of the row, and its one lookup row is
@@ -32,7 +41,8 @@ def join_lookup(
     counts only decide the layout; the result is the same whatever they are.
     """
     limit = BROADCAST_ROWS if broadcast_rows is None else broadcast_rows
-    if (lookup.count() if lookup_rows is None else lookup_rows) <= limit:
+    within = (lookup.count() if lookup_rows is None else lookup_rows) <= limit
+    if within and _text_bytes(lookup) <= BROADCAST_TEXT_BYTES:
         return rows.join(F.broadcast(lookup), key)
 
     spark = rows.sparkSession

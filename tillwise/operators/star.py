@@ -5,7 +5,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from tillwise.functions.calendar import weekend_flag
-from tillwise.functions.numeric import MONEY_SCALE, money_total
+from tillwise.functions.numeric import money_total
 from tillwise.operators.ranking import with_position
 
 FACT_ORDER = ("invoice_datetime", "invoice_no", "stock_code", "customer_id", "quantity", "unit_price")
@@ -74,7 +74,7 @@ def dim_customer(cleaned: DataFrame) -> DataFrame:
     )
 
 
-def dim_product(cleaned: DataFrame, scale: int = MONEY_SCALE) -> DataFrame:
+def dim_product(cleaned: DataFrame) -> DataFrame:
     """One row per stock code: most frequent description and mean price over lines.
 
     Lines without a stock code stay in the fact table only.
@@ -85,7 +85,7 @@ def dim_product(cleaned: DataFrame, scale: int = MONEY_SCALE) -> DataFrame:
         .agg(
             F.count("Description").alias("seen"),
             F.count(F.lit(1)).alias("lines"),
-            money_total("UnitPrice", scale).alias("prices"),
+            money_total("UnitPrice").alias("prices"),
         )
     )
     return counted.groupBy(F.col("StockCode").alias("stock_code")).agg(

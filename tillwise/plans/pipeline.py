@@ -5,7 +5,7 @@ from dataclasses import dataclass
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillwise.operators.cleaning import DEFAULT_PATTERN, clean
+from tillwise.operators.cleaning import clean, date_pattern
 from tillwise.operators.star import Star, build_star, number_lines
 from tillwise.plans.forecast import Model, daily_revenue, fit_additive, forecast_table
 from tillwise.plans.guard import create_history
@@ -50,22 +50,23 @@ def build_all(
     spark: SparkSession,
     source: str | DataFrame,
     folder: str,
-    pattern: str = DEFAULT_PATTERN,
+    pattern: str | None = None,
     k: int = 5,
     horizon: int = 90,
     model: Model = fit_additive,
 ) -> Build:
     """Build what is missing: star, then segments, then the forecast.
 
-    ``source`` is the path of the raw CSV or the raw feed itself. A failing forecast is
-    reported and skipped, any other failure is raised.
+    ``source`` is the path of the raw CSV or the raw feed itself. The date pattern is
+    taken from the first row unless given. A failing forecast is reported and skipped, any
+    other failure is raised.
     """
     log = []
     if all(table_exists(spark, f"{folder}/{name}") for name in TABLES):
         log.append("star: present")
     else:
         raw = read_raw_csv(spark, source) if isinstance(source, str) else source
-        write_star(stage(clean(raw, pattern), "clean"), folder)
+        write_star(stage(clean(raw, pattern or date_pattern(raw)), "clean"), folder)
         log.append("star: built")
     star = read_star(spark, folder)
 

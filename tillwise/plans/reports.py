@@ -336,28 +336,23 @@ def measures(rows: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
 def key_stats(star: Star, customers: DataFrame) -> DataFrame:
     """Customers, medians, best month and best product in one row.
 
-    ``customers`` is the result of :func:`customer_orders`. Every part is a scalar
-    subquery of one row.
+    ``customers`` is the result of :func:`customer_orders`. The first month wins a tie.
     """
     medians = {
         column: F.lit(exact_quantiles(customers, column, {"median": 0.5}).first()["median"]).cast("double")
         for column in ("n_orders", "total_spend")
     }
-    # first month wins a tie
-    best_month = (
-        monthly_labelled(star)
-        .agg(F.max_by(F.struct("period", "revenue"), F.struct("revenue", -F.col("year"), -F.col("month"))))
-        .scalar()
-    )
-    best_product = top_descriptions(star, 1).select(F.struct("description", "revenue").alias("best")).scalar()
+    nothing = {"period": None, "description": None, "revenue": None}
+    best_month = monthly_labelled(star).orderBy(F.desc("revenue"), "year", "month").first() or nothing
+    best_product = top_descriptions(star, 1).first() or nothing
     return customers.agg(F.count(F.lit(1)).alias("customers")).select(
         "customers",
         medians["n_orders"].alias("median_orders"),
         medians["total_spend"].alias("median_spend"),
-        best_month["period"].alias("best_month"),
-        best_month["revenue"].alias("best_month_revenue"),
-        best_product["description"].alias("best_product"),
-        best_product["revenue"].alias("best_product_revenue"),
+        F.lit(best_month["period"]).cast("string").alias("best_month"),
+        F.lit(best_month["revenue"]).cast("double").alias("best_month_revenue"),
+        F.lit(best_product["description"]).cast("string").alias("best_product"),
+        F.lit(best_product["revenue"]).cast("double").alias("best_product_revenue"),
     )
 
 

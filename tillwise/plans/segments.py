@@ -7,7 +7,7 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tillwise.functions.numeric import money_sum, money_total, round_half_even, round_half_up
+from tillwise.functions.numeric import TOTAL_PRECISION, money_sum, money_total, round_half_even, round_half_up
 from tillwise.operators.ranking import with_ntile
 from tillwise.operators.star import Star
 
@@ -125,7 +125,7 @@ def label_segments(clustered: DataFrame) -> DataFrame:
     centres = clustered.groupBy("cluster").agg(
         (F.sum("recency_days") / F.count("recency_days")).alias("recency_days"),
         (F.sum("frequency") / F.count("frequency")).alias("frequency"),
-        (money_sum("monetary") / F.count("monetary")).alias("monetary"),
+        (money_sum("monetary", TOTAL_PRECISION) / F.count("monetary")).alias("monetary"),
     )
 
     def z(name: str) -> Column:
@@ -167,7 +167,7 @@ def segment_profile(segments: DataFrame) -> DataFrame:
     return segments.groupBy("segment").agg(
         round_half_even(F.sum("recency_days") / F.count("recency_days"), 1).alias("recency_days"),
         round_half_even(F.sum("frequency") / F.count("frequency"), 1).alias("frequency"),
-        round_half_even(money_sum("monetary") / F.count("monetary"), 1).alias("monetary"),
+        round_half_even(money_sum("monetary", TOTAL_PRECISION) / F.count("monetary"), 1).alias("monetary"),
     )
 
 
@@ -180,14 +180,14 @@ def segment_by_country(segments: DataFrame, customers: DataFrame) -> DataFrame:
     return (
         segments.join(customers, "customer_id")
         .groupBy("segment", "country")
-        .agg(F.count(F.lit(1)).alias("customers"), money_sum("monetary").alias("monetary"))
+        .agg(F.count(F.lit(1)).alias("customers"), money_sum("monetary", TOTAL_PRECISION).alias("monetary"))
     )
 
 
 def segment_share(segments: DataFrame) -> DataFrame:
     """Share of customers and of spend per segment; the window sees one row per segment."""
     totals = segments.groupBy("segment").agg(
-        F.count(F.lit(1)).alias("customers"), money_sum("monetary").alias("monetary")
+        F.count(F.lit(1)).alias("customers"), money_sum("monetary", TOTAL_PRECISION).alias("monetary")
     )
     everyone = Window.partitionBy()
     return totals.select(

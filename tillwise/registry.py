@@ -71,9 +71,8 @@ def _string_guards(w: Warehouse) -> DataFrame:
     return trade.statements(w.spark, w.folder).select(
         "stmt_id",
         bare_statement(text).alias("bare"),
-        bare_statement(text).rlike(r"(?i)\A(SELECT|WITH)\b").cast("int").alias("starts_well"),
         fenced_sql(text).alias("fenced"),
-    )
+    ).withColumn("starts_well", F.col("bare").rlike(r"(?i)\A(SELECT|WITH)\b").cast("int"))
 
 
 def _checked(w: Warehouse) -> DataFrame:

@@ -1,7 +1,7 @@
 """Reading the raw feed and result files, writing tables."""
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 RAW_TYPES = {
     "InvoiceNo": "STRING",
@@ -25,6 +25,13 @@ FORECAST_SCHEMA = "ds DATE, forecast DOUBLE, lower DOUBLE, upper DOUBLE, actual
 HEADER_ALIASES = {"Invoice": "InvoiceNo", "Customer ID": "CustomerID", "Price": "UnitPrice"}
 
 
+# Cell texts that pandas reads as missing by default.
+MISSING = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A",
+    "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Rows of an input with fewer pieces than the session has cores, such as a single
     file that cannot be split, dealt out in pieces of a sensible size. Larger inputs are
@@ -44,13 +51,16 @@ def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
     Only the header line is read ahead; types are declared, never inferred. A cell
     that does not parse becomes NULL and is dealt with by the cleaning rules.
     """
-    reader = spark.read.option("header", True).option("encoding", "ISO-8859-1")
+    reader = spark.read.option("header", True).option("encoding", "ISO-8859-1").option("escape", '"')
     fields = []
     for name in reader.csv(path).columns:
         kind = RAW_TYPES.get(HEADER_ALIASES.get(name, name), "STRING")
         fields.append(f"`{name}` {kind}")
     feed = reader.schema(", ".join(fields)).option("mode", "PERMISSIVE").csv(path)
-    return normalise_headers(feed).select(*RAW_TYPES)
+    texts = {
+        name: F.when(~F.col(name).isin(*MISSING), F.col(name)) for name, kind in RAW_TYPES.items() if kind == "STRING"
+    }
+    return normalise_headers(feed).select(*RAW_TYPES).withColumns(texts)
 
 
 def read_segments(spark: SparkSession, path: str) -> DataFrame:
