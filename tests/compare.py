@@ -10,9 +10,9 @@ TABLES = (
 ).split()
 
 
-def connect(folder: str) -> duckdb.DuckDBPyConnection:
+def connect(folder: str, tables=TABLES) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
-    for name in TABLES:
+    for name in tables:
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{folder}/{name}.parquet')")
     return con
 
