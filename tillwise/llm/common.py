@@ -113,3 +113,29 @@ def group_sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     ends = np.cumsum(sizes)
     running = np.concatenate([np.zeros(1, values.dtype), np.cumsum(values)])
     return running[ends] - running[ends - sizes]
+
+
+def row_key(docs: DataFrame, id_column: str) -> Column:
+    """What tells rows apart: the id, rows without one last, and a hash of all columns."""
+    return F.struct(F.col(id_column).isNull(), F.col(id_column), F.xxhash64(*docs.columns))
+
+
+def rows_of(keyed: DataFrame, key: str, decided: DataFrame, scratch: Scratch) -> DataFrame:
+    """The rows of ``keyed`` as often as ``decided`` says, without the key.
+
+    ``decided`` has the key and ``copies``, perhaps several times for rows that are equal
+    in every column; their copies are added up and one of the rows is repeated.
+    """
+    given, n, copies = f"{key}_given", f"{key}_n", f"{key}_copies"
+    totals = decided.groupBy(F.col(key).alias(given)).agg(
+        F.count(F.lit(1)).alias(n), F.sum("copies").cast("int").alias(copies)
+    )
+    totals = scratch.save(totals.where(F.col(copies) > 0), "decided")
+    columns = [c for c in keyed.columns if c != key]
+    joined = keyed.join(totals, F.col(key).eqNullSafe(F.col(given)))
+    one = joined.where(F.col(n) == 1).select(*columns, copies)
+    if not totals.where(F.col(n) > 1).isEmpty():
+        row = F.any_value(F.struct(*columns, copies)).alias("row")
+        one = one.unionByName(joined.where(F.col(n) > 1).groupBy(key).agg(row).select("row.*"))
+    repeated = F.explode(F.sequence(F.lit(1), F.col(copies))).alias(f"{copies}_")
+    return one.select(*columns, repeated).select(*columns)

@@ -8,7 +8,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tillwise.llm.common import Scratch, free_name, slices, texts_of
+from tillwise.llm.common import Scratch, free_name, row_key, rows_of, slices, texts_of
 from tillwise.llm.graph import components
 
 SHINGLE_WORDS = 3
@@ -141,18 +141,9 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     stays. No rows give no rows.
     """
     scratch = Scratch(docs.sparkSession, "keep-one")
-    key, copies = free_name(docs, "_key"), free_name(docs, "_copies")
-    order = F.struct(F.col(id_column).isNull(), F.col(id_column), F.xxhash64(*docs.columns))
-    keyed = docs.withColumn(key, order)
+    key = free_name(docs, "_key")
+    keyed = docs.withColumn(key, row_key(docs, id_column))
     found = near_duplicates(keyed, key, text_column, **options)
-    stay = found.where(F.col(key) == F.col("component_id")).groupBy(key).agg(
-        F.count(F.lit(1)).alias(copies)
-    )
-    stay = scratch.save(stay.select(F.col(key).alias(f"{key}s"), copies), "stay")
-    kept = keyed.join(stay, F.col(key).eqNullSafe(F.col(f"{key}s")))
-    single = kept.where(F.col(copies) == 1).select(*docs.columns)
-    if stay.where(F.col(copies) > 1).isEmpty():
-        return single
-    first = F.any_value(F.struct(*docs.columns)).alias("row")
-    equal = kept.where(F.col(copies) > 1).groupBy(key).agg(first).select("row.*")
-    return single.unionByName(equal)
+    stay = found.where(F.col(key) == F.col("component_id")).groupBy(key).agg(F.lit(1).alias("copies"))
+    equal = found.where(F.col(key) == F.col("component_id")).select(key, F.lit(0).alias("copies"))
+    return rows_of(keyed, key, stay.unionByName(equal), scratch)
