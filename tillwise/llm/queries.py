@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillwise.llm import decontamination, mixing, quality, simhash, tokens
+from tillwise.llm import decontamination, mixing, quality, simhash, token_counts, tokens, toxicity
 from tillwise.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,15 @@ def _tokens(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.token_index(table(spark, folder, "documents"))
 
 
+def _toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    scored = toxicity.toxic_passages(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted", F.size("passages").alias("n_passages"))
+
+
+def _token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, folder, "documents"))
+
+
 def _pipeline(spark: SparkSession, folder: str) -> DataFrame:
     from corpus_pipeline import run
 
@@ -49,6 +58,8 @@ def queries() -> dict[str, Query]:
         "op4_mixing": _mixing,
         "op5_quality": _quality,
         "op7_tokens": _tokens,
+        "op9_toxicity": _toxicity,
+        "op10_token_counts": _token_counts,
         "pipeline": _pipeline,
     }
 
