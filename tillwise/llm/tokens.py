@@ -25,6 +25,7 @@ from uuid import uuid4
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 from pyspark.sql import DataFrame, Window, functions as F
 from tokenizers import Tokenizer
@@ -36,10 +37,14 @@ VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
 BLOCK = 512
 
-# Bytes of text in a shard, beyond one long text: bounds the memory of writer and reader.
-SHARD_BYTES = 32 << 20
+# Bytes of text in a shard, beyond one long text; the writer holds them encoded only.
+SHARD_BYTES = 64 << 20
 # Words whose ids a Python worker remembers.
-CACHED_WORDS = 500_000
+CACHED_WORDS = 200_000
+# Words handed to the tokenizer at once.
+ENCODED_WORDS = 2_000
+# Blocks a reader decodes at once.
+READ_BLOCKS = 2048
 
 MAGIC = b"TWS8B\0\0\1"
 
@@ -127,18 +132,46 @@ def decode(words: np.ndarray, offsets: np.ndarray, n_ids: int, block: int = BLOC
     return out
 
 
-def pack(doc_ids: list[int | None], sizes: np.ndarray, ids: np.ndarray) -> bytes:
-    """The bytes of a shard."""
-    words, offsets = encode(ids)
-    known = np.array([d is not None for d in doc_ids], np.uint8)
-    numbers = np.array([0 if d is None else d for d in doc_ids], "<i8")
-    head = np.array([len(doc_ids), len(offsets), len(words)], "<u8")
-    parts = (head, numbers, known, np.asarray(sizes, "<u8"), offsets.astype("<u8"), words.astype("<u8"))
-    return MAGIC + b"".join(part.tobytes() for part in parts)
-
-
-def unpack(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
-    """Ids of the documents, ids in each, all ids of a shard."""
+class ShardWriter:
+    """Takes the ids of one document after another and holds them encoded."""
+
+    def __init__(self):
+        self.doc_ids: list[int | None] = []
+        self.sizes: list[np.ndarray] = []
+        self.rest = np.zeros(0, np.uint32)
+        self.words: list[np.ndarray] = []
+        self.offsets: list[np.ndarray] = []
+        self.n_words = self.n_ids = 0
+
+    def add(self, doc_ids: list[int | None], sizes: np.ndarray, ids: np.ndarray) -> None:
+        self.doc_ids += doc_ids
+        self.sizes.append(sizes)
+        self.n_ids += len(ids)
+        ids = np.concatenate([self.rest, ids])
+        whole = len(ids) // BLOCK * BLOCK
+        self._encode(ids[:whole])
+        self.rest = ids[whole:].copy()
+
+    def _encode(self, ids: np.ndarray) -> None:
+        words, offsets = encode(ids)
+        self.words.append(words)
+        self.offsets.append(offsets + np.uint64(self.n_words))
+        self.n_words += len(words)
+
+    def parts(self) -> Iterator[bytes]:
+        """The bytes of the shard; ends it."""
+        self._encode(self.rest)
+        known = np.array([d is not None for d in self.doc_ids], np.uint8)
+        numbers = np.array([0 if d is None else d for d in self.doc_ids], "<i8")
+        head = [len(self.doc_ids), sum(map(len, self.offsets)), self.n_words]
+        yield MAGIC
+        columns = (np.array(head, "<u8"), numbers, known, *(np.asarray(x, "<u8") for x in self.sizes))
+        for column in (*columns, *self.offsets, *self.words):
+            yield column.tobytes()
+
+
+def read_shard(data: bytes) -> Iterator[tuple[list[int | None], np.ndarray, np.ndarray]]:
+    """Ids of documents, ids in each, and these ids, some blocks' worth at a time."""
     if data[: len(MAGIC)] != MAGIC:
         raise ValueError("not a shard of token ids")
     n_docs, n_blocks, n_words = (int(n) for n in np.frombuffer(data, "<u8", 3, len(MAGIC)))
@@ -150,10 +183,22 @@ def unpack(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
         at += part.nbytes
         return part
 
-    numbers, known, sizes = take("<i8", n_docs), take("u1", n_docs), take("<u8", n_docs)
+    numbers, known, sizes = take("<i8", n_docs), take("u1", n_docs), take("<u8", n_docs).astype(np.int64)
     offsets, words = take("<u8", n_blocks), take("<u8", n_words)
-    doc_ids = [int(d) if k else None for d, k in zip(numbers, known, strict=True)]
-    return doc_ids, sizes.astype(np.int64), decode(words, offsets, int(sizes.sum()))
+    ends = np.cumsum(sizes)
+    total, done, rest = int(sizes.sum()), 0, np.zeros(0, np.uint32)
+    for first in range(0, n_blocks, READ_BLOCKS):
+        last = min(first + READ_BLOCKS, n_blocks)
+        low, high = int(offsets[first]), int(offsets[last]) if last < n_blocks else n_words
+        n_ids = min(last * BLOCK, total) - first * BLOCK
+        found = decode(words[low:high], offsets[first:last] - np.uint64(low), n_ids)
+        rest = np.concatenate([rest, found.astype(np.uint32)])
+        until = int(np.searchsorted(ends, min(last * BLOCK, total), side="right"))
+        if until > done:
+            doc_ids = [int(d) if k else None for d, k in zip(numbers[done:until], known[done:until], strict=True)]
+            n = int(sizes[done:until].sum())
+            yield doc_ids, sizes[done:until], rest[:n]
+            rest, done = rest[n:].copy(), until
 
 
 @cache
@@ -178,8 +223,10 @@ def tokenize(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
         known.clear()
     words = words.to_pylist()
     new = [w for w in words if w not in known]
-    for w, coded in zip(new, _tokenizer(path).encode_batch(new, add_special_tokens=False), strict=True):
-        known[w] = coded.ids
+    for at in range(0, len(new), ENCODED_WORDS):  # the library's own results are bulky
+        some = new[at : at + ENCODED_WORDS]
+        for w, coded in zip(some, _tokenizer(path).encode_batch(some, add_special_tokens=False), strict=True):
+            known[w] = coded.ids
     lists = [known[w] for w in words]
     lengths = np.array([len(x) for x in lists], np.int64)
     flat = np.array([i for x in lists for i in x], np.uint32)
@@ -233,28 +280,26 @@ def write_shards(
         part = TaskContext.get().partitionId()
         files, base = _opened(folder)
         files.create_dir(base, recursive=True)
-        doc_ids, sizes, ids, held, shard = [], [], [], 0, 0
+        writer, held, shard = ShardWriter(), 0, 0
 
         def flush() -> pa.RecordBatch:
-            nonlocal doc_ids, sizes, ids, held, shard
+            nonlocal writer, held, shard
             name = f"part-{part:06}-{shard:05}-{uuid4().hex}.s8b"
-            all_ids = np.concatenate(ids)
             with files.open_output_stream(f"{base}/{name}") as out:
-                out.write(pack(doc_ids, np.concatenate(sizes), all_ids))
-            row = {"part": [part], "shard": [shard], "file": [name], "n_docs": [len(doc_ids)], "n_ids": [len(all_ids)]}
-            doc_ids, sizes, ids, held, shard = [], [], [], 0, shard + 1
-            return pa.RecordBatch.from_pydict(row, schema)
+                for piece in writer.parts():
+                    out.write(piece)
+            row = (part, shard, name, len(writer.doc_ids), writer.n_ids)
+            writer, held, shard = ShardWriter(), 0, shard + 1
+            return pa.RecordBatch.from_pydict({k: [v] for k, v in zip(schema.names, row, strict=True)}, schema)
 
         for batch in batches:
             for piece in slices(batch, "text"):
-                found, counts = with_ends(*tokenize(texts_of(piece, "text"), path), end_id)
-                doc_ids += piece.column("id").to_pylist()
-                sizes.append(counts)
-                ids.append(found)
-                held += piece.column("text").nbytes
+                ids, sizes = with_ends(*tokenize(texts_of(piece, "text"), path), end_id)
+                writer.add(piece.column("id").to_pylist(), sizes, ids)
+                held += int(pc.sum(pc.binary_length(piece.column("text"))).as_py() or 0)
                 if held >= SHARD_BYTES:
                     yield flush()
-        if doc_ids:
+        if writer.doc_ids:
             yield flush()
 
     schema = pa.schema(
@@ -285,23 +330,21 @@ def read_shards(manifest: DataFrame, folder: str) -> DataFrame:
         for batch in batches:
             for file, start in zip(batch.column("file").to_pylist(), batch.column("start").to_pylist(), strict=True):
                 with files.open_input_file(f"{base}/{file}") as source:
-                    doc_ids, sizes, ids = unpack(source.read())
-                ids = ids.astype(np.uint32)
-                ends = np.cumsum(sizes)
-                for i in range(0, len(doc_ids), 2000):
-                    j = min(i + 2000, len(doc_ids))
-                    low, high = ends[i] - sizes[i], ends[j - 1]
-                    raw = ids[low:high].astype("<u4").tobytes()
-                    cuts = (4 * np.concatenate([[0], ends[i:j] - low])).tolist()
+                    data = source.read()
+                for doc_ids, sizes, ids in read_shard(data):
+                    ends = np.cumsum(sizes)
+                    raw = ids.astype("<u4").tobytes()
+                    cuts = (4 * np.concatenate([[0], ends])).tolist()
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(doc_ids[i:j], pa.int64()),
-                            pa.array(start + ends[i:j] - sizes[i:j], pa.int64()),
-                            pa.array(sizes[i:j], pa.int64()),
+                            pa.array(doc_ids, pa.int64()),
+                            pa.array(start + ends - sizes, pa.int64()),
+                            pa.array(sizes, pa.int64()),
                             pa.array([raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary()),
                         ],
                         names=["doc_id", "start", "n_tokens", "ids"],
                     )
+                    start += int(sizes.sum())
 
     # A shard is the unit of reading, and each goes to the next task in turn.
     spread = manifest.select("file", "start").repartition(F.col("file"))
