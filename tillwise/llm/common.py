@@ -16,7 +16,7 @@ SPACE = r"\x20\x09-\x0D"
 WORD = f"[^{SPACE}]+"
 
 # Bytes of text a Python worker handles at once, beyond one long text.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -30,7 +30,7 @@ import pyarrow.fs
 from pyspark.sql import DataFrame, Window, functions as F
 from tokenizers import Tokenizer
 
-from tillwise.llm.common import Scratch, coded_words, slices, texts_of
+from tillwise.llm.common import Scratch, coded_words, group_sums, slices, texts_of
 from tillwise.sources.staging import new_path
 
 VOCABULARY = "word_bpe_49k.json"
@@ -40,7 +40,7 @@ BLOCK = 512
 # Bytes of text in a shard, beyond one long text; the writer holds them encoded only.
 SHARD_BYTES = 64 << 20
 # Words whose ids a Python worker remembers.
-CACHED_WORDS = 200_000
+CACHED_WORDS = 1_500_000
 # Words handed to the tokenizer at once.
 ENCODED_WORDS = 2_000
 # Blocks a reader decodes at once.
@@ -201,14 +201,49 @@ def read_shard(data: bytes) -> Iterator[tuple[list[int | None], np.ndarray, np.n
             rest, done = rest[n:].copy(), until
 
 
-@cache
-def _tokenizer(path: str) -> Tokenizer:
-    return Tokenizer.from_file(path)
+class WordIds:
+    """Ids of distinct words, in flat arrays: the first ``CACHED_WORDS`` met are kept."""
+
+    def __init__(self, path: str):
+        self.tokenizer = Tokenizer.from_file(path)
+        self.words = pa.array([], pa.large_string())
+        self.ids = np.zeros(0, np.uint32)
+        self.ends = np.zeros(1, np.int64)
+
+    def _encode(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        ids, sizes = [], []
+        for at in range(0, len(words), ENCODED_WORDS):  # the library's own results are bulky
+            some = words.slice(at, ENCODED_WORDS).to_pylist()
+            found = [x.ids for x in self.tokenizer.encode_batch(some, add_special_tokens=False)]
+            sizes += map(len, found)
+            ids.append(np.array([i for x in found for i in x], np.uint32))
+        return np.concatenate([*ids, np.zeros(0, np.uint32)]), np.array(sizes, np.int64)
+
+    def of(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, first, n): the ids of word i are the n[i] from first[i] on."""
+        at = pc.index_in(words, value_set=self.words)
+        missing = pc.is_null(at)
+        at = pc.fill_null(at, 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        is_new = missing.to_numpy(zero_copy_only=False)
+        new = words.filter(missing)
+        new_ids, new_sizes = self._encode(new)
+        first = np.zeros(len(words), np.int64)
+        n = np.zeros(len(words), np.int64)
+        first[~is_new], n[~is_new] = self.ends[at[~is_new]], np.diff(self.ends)[at[~is_new]]
+        first[is_new] = len(self.ids) + np.cumsum(new_sizes) - new_sizes
+        n[is_new] = new_sizes
+        ids = np.concatenate([self.ids, new_ids])
+        keep = max(0, min(len(new), CACHED_WORDS - len(self.words)))
+        if keep:
+            self.words = pa.concat_arrays([self.words, new.slice(0, keep)])
+            self.ends = np.append(self.ends, self.ends[-1] + np.cumsum(new_sizes[:keep]))
+            self.ids = ids[: self.ends[-1]]
+        return ids, first, n
 
 
 @cache
-def _known_words(path: str) -> dict[str, list[int]]:
-    return {}
+def _word_ids(path: str) -> WordIds:
+    return WordIds(path)
 
 
 def tokenize(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
@@ -218,26 +253,13 @@ def tokenize(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     are those of its words, and each distinct word is encoded once.
     """
     words, codes, sizes = coded_words(texts)
-    known = _known_words(path)
-    if len(known) > CACHED_WORDS:
-        known.clear()
-    words = words.to_pylist()
-    new = [w for w in words if w not in known]
-    for at in range(0, len(new), ENCODED_WORDS):  # the library's own results are bulky
-        some = new[at : at + ENCODED_WORDS]
-        for w, coded in zip(some, _tokenizer(path).encode_batch(some, add_special_tokens=False), strict=True):
-            known[w] = coded.ids
-    lists = [known[w] for w in words]
-    lengths = np.array([len(x) for x in lists], np.int64)
-    flat = np.array([i for x in lists for i in x], np.uint32)
-    per_word = lengths[codes] if len(codes) else np.zeros(0, np.int64)
-    begin = np.concatenate([[0], np.cumsum(lengths)])[codes] if len(codes) else np.zeros(0, np.int64)
-    total = int(per_word.sum())
+    if not len(codes):
+        return np.zeros(0, np.uint32), np.zeros(len(sizes), np.int64)
+    flat, first, n = _word_ids(path).of(words)
+    per_word, begin = n[codes], first[codes]
     before = np.cumsum(per_word) - per_word
-    places = np.arange(total) - np.repeat(before - begin, per_word)
-    owner = np.repeat(np.arange(len(sizes)), sizes)
-    per_text = np.bincount(owner, weights=per_word, minlength=len(sizes)).astype(np.int64)
-    return flat[places], per_text
+    places = np.arange(int(per_word.sum())) + np.repeat(begin - before, per_word)
+    return flat[places], group_sums(per_word, sizes)
 
 
 def with_ends(ids: np.ndarray, sizes: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
