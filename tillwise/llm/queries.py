@@ -4,7 +4,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillwise.llm import decontamination, mixing, quality, simhash, token_counts, tokens, toxicity
+from tillwise.llm import (
+    decontamination,
+    html,
+    mixing,
+    pii,
+    quality,
+    repeats,
+    simhash,
+    token_counts,
+    tokens,
+    toxicity,
+)
 from tillwise.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +29,18 @@ def _decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.leaked_documents(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def _html(spark: SparkSession, folder: str) -> DataFrame:
+    return html.extract_text(table(spark, folder, "pages"))
+
+
+def _repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, folder, "documents"), with_text=False)
+
+
+def _pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.find_personal_data(table(spark, folder, "documents"))
+
+
 def _mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(table(spark, folder, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -55,9 +78,12 @@ def queries() -> dict[str, Query]:
     return {
         "op1_simhash": _simhash,
         "op2_decontamination": _decontamination,
+        "op3_html": _html,
         "op4_mixing": _mixing,
         "op5_quality": _quality,
+        "op6_repeats": _repeats,
         "op7_tokens": _tokens,
+        "op8_pii": _pii,
         "op9_toxicity": _toxicity,
         "op10_token_counts": _token_counts,
         "pipeline": _pipeline,
