@@ -4,13 +4,13 @@ from tillwise.session import cluster_settings
 from tillwise.sources import staging
 
 
-def test_partitions_grow_with_the_input_up_to_a_bound():
+def test_partitions_grow_with_the_input():
     def partitions(size):
         return int(cluster_settings(size)["spark.sql.shuffle.partitions"])
 
     assert partitions(0) == 200
     assert partitions(1 << 40) == 4096
-    assert partitions(100 << 40) == 40_000
+    assert partitions(100 << 40) == 409_600
 
 
 class Session:
@@ -18,16 +18,16 @@ class Session:
 
     def __init__(self, master, folder=None):
         self.sparkContext = type("Context", (), {"master": master, "applicationId": "app-1"})
-        self.conf = type("Conf", (), {"get": staticmethod(lambda name, default: folder or default)})
+        values = {"spark.checkpoint.dir": folder, "spark.sql.warehouse.dir": "file:/warehouse"}
+        self.conf = type("Conf", (), {"get": staticmethod(lambda name, default: values.get(name) or default)})
 
 
 def test_the_configured_folder_is_used():
     assert staging.shared_folder(Session("yarn", "s3://shared/checkpoints")) == "s3://shared/checkpoints"
 
 
-def test_a_local_session_may_use_a_temporary_folder():
-    folder = staging.shared_folder(Session("local[4]"))
-    assert folder == staging.shared_folder(Session("local[4]"))
+def test_a_local_session_may_use_its_warehouse():
+    assert staging.shared_folder(Session("local[4]")) == "file:/warehouse/_staged"
 
 
 def test_a_cluster_needs_a_configured_folder():

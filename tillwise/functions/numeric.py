@@ -8,28 +8,35 @@ which is exact in any order, and only the finished total becomes a double.
 from pyspark.sql import Column, functions as F
 from pyspark.sql.types import DecimalType
 
-# Digits kept of an amount: prices down to a hundredth of a cent.
-MONEY_SCALE = 4
+# Digits kept behind the point, and in all: amounts below 1e30 with eight decimals.
+MONEY_SCALE = 8
+MONEY_PRECISION = 38
 
-# Digits in all: 18 fit a long and hold any order line, totals need more.
-LINE_PRECISION = 18
-TOTAL_PRECISION = 28
 
+def money(value: Column | str, scale: int = MONEY_SCALE) -> Column:
+    """The amount as an exact decimal; an amount that does not fit is an error.
 
-def money(value: Column | str, precision: int = LINE_PRECISION) -> Column:
-    """The amount as an exact decimal."""
+    NULL stays NULL. Without the check a cast would turn infinities and, outside ANSI
+    mode, overlong amounts into NULLs, which sums leave out.
+    """
     column = F.col(value) if isinstance(value, str) else value
-    return column.cast(DecimalType(precision, MONEY_SCALE))
+    exact = column.try_cast(exact_type(scale))
+    unfit = F.raise_error(F.concat(F.lit("amount does not fit a decimal: "), column.cast("string")))
+    return F.when(column.isNotNull() & exact.isNull(), unfit.cast(exact_type(scale))).otherwise(exact)
 
 
-def money_total(value: Column | str, precision: int = LINE_PRECISION) -> Column:
+def exact_type(scale: int = MONEY_SCALE) -> DecimalType:
+    return DecimalType(MONEY_PRECISION, scale)
+
+
+def money_total(value: Column | str, scale: int = MONEY_SCALE) -> Column:
     """Exact sum, still a decimal, for totals that are added up again later."""
-    return F.sum(money(value, precision))
+    return F.sum(money(value, scale))
 
 
-def money_sum(value: Column | str, precision: int = LINE_PRECISION) -> Column:
+def money_sum(value: Column | str, scale: int = MONEY_SCALE) -> Column:
     """Exact sum as a double."""
-    return money_total(value, precision).cast("double")
+    return money_total(value, scale).cast("double")
 
 
 def round_half_up(value: Column, digits: int) -> Column:

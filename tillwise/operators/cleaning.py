@@ -4,28 +4,31 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tillwise.functions.calendar import parse_wall_time
 from tillwise.functions.numeric import ratio
-from tillwise.sources.files import RAW_TYPES, normalise_headers
+from tillwise.sources.files import CORRUPT, RAW_TYPES, normalise_headers
 
 # Reads '12/1/2010 8:26' as well as '12/01/2010 08:26'.
 DEFAULT_PATTERN = "M/d/yyyy H:m"
 
+# Tried on every date in this order; the first that fits counts. Days and months of
+# the slash forms cannot be told apart by looking, so their order is a choice.
+ISO_PATTERNS = (
+    "yyyy-MM-dd H:m:s", "yyyy-MM-dd H:m", "yyyy-MM-dd'T'H:m:s", "yyyy-MM-dd'T'H:m", "yyyy-MM-dd", "yyyy/M/d H:m:s",
+    "yyyy/M/d H:m", "yyyy/M/d",
+)
+DOT_PATTERNS = ("d.M.yyyy H:m:s", "d.M.yyyy H:m", "d.M.yyyy")
+MONTH_FIRST = (DEFAULT_PATTERN, "M/d/yyyy H:m:s", "M/d/yyyy h:m a", "M/d/yyyy", "M-d-yyyy H:m", *ISO_PATTERNS, *DOT_PATTERNS)
+DAY_FIRST = tuple(p.replace("M/d", "d/M").replace("M-d-", "d-M-") if p.startswith("M") else p for p in MONTH_FIRST)
 
-# Formats tried on the first date of a feed.
-KNOWN_PATTERNS = (DEFAULT_PATTERN, "M/d/yyyy H:m:s", "yyyy-MM-dd H:m:s", "yyyy-MM-dd H:m", "yyyy-MM-dd")
+Patterns = str | tuple[str, ...]
 
 
-def date_pattern(raw: DataFrame) -> str:
-    """The first known pattern that reads the first date text of the feed.
-
-    Dates in any other format are dropped by the cleaning.
-    """
-    first = normalise_headers(raw).select("InvoiceDate").where("InvoiceDate IS NOT NULL").limit(1)
-    fits = [parse_wall_time(F.col("InvoiceDate"), pattern).isNotNull() for pattern in KNOWN_PATTERNS]
-    row = first.select(*fits).first()
-    return next((p for p, fit in zip(KNOWN_PATTERNS, row or ()) if fit), DEFAULT_PATTERN)
+def parse_date(text: Column, patterns: Patterns = MONTH_FIRST) -> Column:
+    """The wall time of a date text, by the first pattern that reads it; NULL if none does."""
+    patterns = (patterns,) if isinstance(patterns, str) else patterns
+    return F.coalesce(*[parse_wall_time(text, pattern) for pattern in patterns])
 
 
-def _typed(raw: DataFrame) -> DataFrame:
+def _typed(raw: DataFrame, *more: Column) -> DataFrame:
     """Raw columns in their final types. A missing invoice number is the text 'nan'
     and therefore not a cancellation; a customer number loses its fraction."""
     return normalise_headers(raw).select(
@@ -37,6 +40,7 @@ def _typed(raw: DataFrame) -> DataFrame:
         F.col("UnitPrice").cast("double").alias("UnitPrice"),
         F.when(~F.isnan("CustomerID"), F.col("CustomerID").try_cast("bigint")).alias("CustomerID"),
         "Country",
+        *more,
     )
 
 
@@ -49,12 +53,12 @@ def _has_customer() -> Column:
 
 
 def _positive() -> Column:
-    # NaN sorts above every number in Spark, so it has to be excluded by name.
+    # NaN sorts above every number in Spark, infinity included; neither is a price.
     price = F.col("UnitPrice")
-    return F.coalesce((F.col("Quantity") > 0) & (price > 0) & ~F.isnan(price), F.lit(False))
+    return F.coalesce((F.col("Quantity") > 0) & (price > 0) & (price < float("inf")), F.lit(False))
 
 
-def clean(raw: DataFrame, pattern: str = DEFAULT_PATTERN) -> DataFrame:
+def clean(raw: DataFrame, patterns: Patterns = MONTH_FIRST) -> DataFrame:
     """Order lines fit for reporting.
 
     Duplicates are dropped on the raw date text, before it is parsed. The filters
@@ -63,14 +67,15 @@ def clean(raw: DataFrame, pattern: str = DEFAULT_PATTERN) -> DataFrame:
     """
     kept = _typed(raw).where(~_cancelled() & _has_customer() & _positive()).dropDuplicates()
     return (
-        kept.withColumn("InvoiceDate", parse_wall_time(F.col("InvoiceDate"), pattern))
+        kept.withColumn("InvoiceDate", parse_date(F.col("InvoiceDate"), patterns))
         .where(F.col("InvoiceDate").isNotNull())
         .withColumn("Revenue", F.col("Quantity") * F.col("UnitPrice"))
     )
 
 
-def clean_report(raw: DataFrame, pattern: str = DEFAULT_PATTERN) -> DataFrame:
-    """One row: rows before and after cleaning and the rows each rule drops.
+def clean_report(raw: DataFrame, patterns: Patterns = MONTH_FIRST) -> DataFrame:
+    """One row: rows before and after cleaning and the rows each rule drops; for a feed
+    read from files also ``corrupt``, the records with an unreadable cell, of any rule.
 
     Rows dropped by the first three rules are blanked, so each of those groups folds
     into one row per task before the shuffle.
@@ -78,12 +83,14 @@ def clean_report(raw: DataFrame, pattern: str = DEFAULT_PATTERN) -> DataFrame:
     failed = (
         F.when(_cancelled(), "cancelled").when(~_has_customer(), "no_customer").when(~_positive(), "not_positive")
     )
-    tagged = _typed(raw).withColumn("failed", failed)
+    unread = F.col(CORRUPT).isNotNull() if CORRUPT in raw.columns else F.lit(False)
+    tagged = _typed(raw, unread.cast("bigint").alias("unread")).withColumn("failed", failed)
     blanked = [F.when(F.col("failed").isNull(), F.col(name)).alias(name) for name in RAW_TYPES]
-    copies = tagged.select("failed", *blanked).groupBy("failed", *RAW_TYPES).agg(F.count(F.lit(1)).alias("n"))
+    copies = tagged.select("failed", "unread", *blanked).groupBy("failed", *RAW_TYPES)
+    copies = copies.agg(F.count(F.lit(1)).alias("n"), F.sum("unread").alias("unread"))
 
     survived = F.col("failed").isNull()
-    readable = parse_wall_time(F.col("InvoiceDate"), pattern).isNotNull()
+    readable = parse_date(F.col("InvoiceDate"), patterns).isNotNull()
 
     def rows(condition: Column, count: Column) -> Column:
         return F.coalesce(F.sum(F.when(condition, count)), F.lit(0)).cast("bigint")
@@ -96,8 +103,10 @@ def clean_report(raw: DataFrame, pattern: str = DEFAULT_PATTERN) -> DataFrame:
         rows(survived, F.col("n") - 1).alias("duplicates"),
         rows(survived & ~readable, F.lit(1)).alias("bad_date"),
         rows(survived & readable, F.lit(1)).alias("rows_after"),
+        F.coalesce(F.sum("unread"), F.lit(0)).cast("bigint").alias("corrupt"),
     )
     dropped = F.col("rows_before") - F.col("rows_after")
-    return counts.withColumn("dropped", dropped).withColumn(
+    counts = counts.withColumn("dropped", dropped).withColumn(
         "dropped_rate", ratio(dropped, F.col("rows_before"))
     )
+    return counts if CORRUPT in raw.columns else counts.drop("corrupt")

@@ -5,7 +5,7 @@ from dataclasses import dataclass
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillwise.operators.cleaning import clean, date_pattern
+from tillwise.operators.cleaning import MONTH_FIRST, Patterns, clean, clean_report
 from tillwise.operators.star import Star, build_star, number_lines
 from tillwise.plans.forecast import Model, daily_revenue, fit_additive, forecast_table
 from tillwise.plans.guard import create_history
@@ -41,33 +41,41 @@ def read_star(spark: SparkSession, folder: str) -> Star:
 
 @dataclass(frozen=True)
 class Build:
-    """What a run of the pipeline did, one message per step."""
+    """What a run of the pipeline did: one message per step, and the cleaning report of
+    the feed if the star was built."""
 
     log: list[str]
+    cleaned: dict | None = None
 
 
 def build_all(
     spark: SparkSession,
     source: str | DataFrame,
     folder: str,
-    pattern: str | None = None,
+    patterns: Patterns = MONTH_FIRST,
+    most_unreadable: float = 0.5,
     k: int = 5,
     horizon: int = 90,
     model: Model = fit_additive,
 ) -> Build:
     """Build what is missing: star, then segments, then the forecast.
 
-    ``source`` is the path of the raw CSV or the raw feed itself. The date pattern is
-    taken from the first row unless given. A failing forecast is reported and skipped, any
-    other failure is raised.
+    ``source`` is the path of the raw CSV or the raw feed itself. Every date is read with
+    the first of ``patterns`` that fits it; a feed in which more than ``most_unreadable`` of
+    the dates fit none is refused. A failing forecast is reported and skipped, any other
+    failure is raised.
     """
-    log = []
+    log, cleaned = [], None
     if all(table_exists(spark, f"{folder}/{name}") for name in TABLES):
         log.append("star: present")
     else:
         raw = read_raw_csv(spark, source) if isinstance(source, str) else source
-        write_star(stage(clean(raw, pattern or date_pattern(raw)), "clean"), folder)
-        log.append("star: built")
+        cleaned = clean_report(raw, patterns).first().asDict()
+        dated = cleaned["bad_date"] + cleaned["rows_after"]
+        if cleaned["bad_date"] > most_unreadable * dated:
+            raise ValueError(f"{cleaned['bad_date']} of {dated} dates are unreadable; pass the patterns of the feed")
+        write_star(stage(clean(raw, patterns), "clean"), folder)
+        log.append(f"star: built from {cleaned['rows_after']} of {cleaned['rows_before']} rows")
     star = read_star(spark, folder)
 
     if table_exists(spark, f"{folder}/segments"):
@@ -87,4 +95,4 @@ def build_all(
             log.append("forecast: built")
         except PySparkException as failure:
             log.append(f"forecast: skipped ({str(failure)[-300:]})")
-    return Build(log)
+    return Build(log, cleaned)

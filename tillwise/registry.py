@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillwise.functions.numeric import round_half_up
 from tillwise.functions.text import bare_statement, fenced_sql
-from tillwise.operators.cleaning import clean_report
+from tillwise.functions.calendar import parse_wall_time
+from tillwise.operators.cleaning import DEFAULT_PATTERN, clean, clean_report
 from tillwise.operators.quality import foreign_key_check, primary_key_check
 from tillwise.operators.ranking import with_ntile
 from tillwise.operators.star import load_report, number_lines
@@ -48,6 +49,14 @@ def _fixed_clusters(w: Warehouse) -> DataFrame:
     return segments.label_segments(rfm)
 
 
+def _mixed_dates(raw: DataFrame) -> DataFrame:
+    """The feed with the dates of every third part in ISO text."""
+    parsed = parse_wall_time(F.col("InvoiceDate"), DEFAULT_PATTERN)
+    iso = F.date_format(parsed, "yyyy-MM-dd HH:mm:ss")
+    third = F.pmod(F.crc32(F.col("StockCode")), F.lit(3)) == 0
+    return raw.withColumn("InvoiceDate", F.when(third & iso.isNotNull(), iso).otherwise(F.col("InvoiceDate")))
+
+
 def _daily(w: Warehouse) -> DataFrame:
     return forecast.daily_revenue(w.fact())
 
@@ -91,6 +100,7 @@ _QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "raw_feed": lambda w: w.raw(),
     "clean_sales": lambda w: w.clean(),
     "clean_report": lambda w: clean_report(w.raw()),
+    "clean_mixed_dates": lambda w: clean(_mixed_dates(w.raw())),
     "fact_sales": lambda w: number_lines(w.fact()),
     "dim_customer": lambda w: w.star().customers,
     "dim_product": lambda w: w.star().products,

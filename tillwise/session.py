@@ -23,11 +23,10 @@ def local_session(cores: int | str = 8, memory: str = "8g") -> SparkSession:
 def cluster_settings(input_bytes: int) -> dict[str, str]:
     """SQL settings for a feed of the given size.
 
-    Shuffles start with one partition per 256 MiB of input, 40,000 at most, and adaptive
-    execution merges small ones up to 256 MiB; scans and written files follow the same
+    Shuffles start with one partition per 256 MiB of input, and adaptive execution merges small ones up to 256 MiB; scans and written files follow the same
     size. ``spark.checkpoint.dir`` has to name a folder all executors share.
     """
-    partitions = min(max(input_bytes // (256 * MIB), 200), 40_000)
+    partitions = max(input_bytes // (256 * MIB), 200)
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",

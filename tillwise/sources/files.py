@@ -3,6 +3,7 @@
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+# Columns of the feed.
 RAW_TYPES = {
     "InvoiceNo": "STRING",
     "StockCode": "STRING",
@@ -14,6 +15,7 @@ RAW_TYPES = {
     "Country": "STRING",
 }
 
+# Columns of the result files.
 SEGMENT_SCHEMA = (
     "customer_id BIGINT, recency_days INT, frequency BIGINT, monetary DOUBLE, "
     "cluster INT, segment STRING"
@@ -45,22 +47,32 @@ def normalise_headers(raw: DataFrame) -> DataFrame:
     return raw.withColumnsRenamed(HEADER_ALIASES)
 
 
-def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
+# Holds the text of a record with a cell that does not parse, or with too many or few cells.
+CORRUPT = "_corrupt_record"
+
+
+def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """The raw feed, latin-1 with a header in either spelling and any column order.
 
     Only the header line is read ahead; types are declared, never inferred. A cell
-    that does not parse becomes NULL and is dealt with by the cleaning rules.
+    that does not parse becomes NULL and is dealt with by the cleaning rules; its record
+    is kept in ``_corrupt_record``, which the cleaning report counts. Files of a folder
+    must agree in their header; one that differs is an error. ``multi_line`` allows line
+    breaks inside quotes, at the price that a file is then read by one task.
     """
     reader = spark.read.option("header", True).option("encoding", "ISO-8859-1").option("escape", '"')
+    reader = reader.option("multiLine", multi_line)
     fields = []
     for name in reader.csv(path).columns:
         kind = RAW_TYPES.get(HEADER_ALIASES.get(name, name), "STRING")
         fields.append(f"`{name}` {kind}")
+    fields.append(f"{CORRUPT} STRING")
+    reader = reader.option("columnNameOfCorruptRecord", CORRUPT).option("enforceSchema", False)
     feed = reader.schema(", ".join(fields)).option("mode", "PERMISSIVE").csv(path)
     texts = {
         name: F.when(~F.col(name).isin(*MISSING), F.col(name)) for name, kind in RAW_TYPES.items() if kind == "STRING"
     }
-    return normalise_headers(feed).select(*RAW_TYPES).withColumns(texts)
+    return normalise_headers(feed).select(*RAW_TYPES, CORRUPT).withColumns(texts)
 
 
 def read_segments(spark: SparkSession, path: str) -> DataFrame:

@@ -4,25 +4,19 @@ A staged table is a Parquet table: it cuts the lineage, so a lost executor costs
 at most a re-read, it keeps column pruning, and its rows can no longer change.
 """
 
-import tempfile
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
-_own_folders: dict[str, str] = {}
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only for local sessions."""
+    """The cluster's checkpoint folder; local sessions may do without one and use a
+    folder of their warehouse."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    if context.applicationId not in _own_folders:
-        _own_folders[context.applicationId] = tempfile.mkdtemp(prefix="tillwise-")
-    return _own_folders[context.applicationId]
+    return f"{spark.conf.get('spark.sql.warehouse.dir', 'spark-warehouse')}/_staged"
 
 
 def new_path(spark: SparkSession, label: str) -> str:

@@ -4,7 +4,6 @@ As with any warehouse, the feed is cleaned and the star is built once and the re
 read the result. The tables lie in the staging folder, so they outlive executors.
 """
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,33 +17,22 @@ from tillwise.sources.staging import new_path, stage
 _tables: dict[tuple, DataFrame] = {}
 
 
-def _state(spark: SparkSession, folder: str) -> tuple:
-    """Which files the source consists of; a changed source gets new tables.
+class Warehouse:
+    """Lazily written tables over one folder of order tables.
 
-    In a mounted folder size and time tell; elsewhere the names of the files, which
-    Spark makes unique on every write.
+    ``version`` names the state of the folder: whoever changes the source passes another
+    one and gets new tables. Nothing is listed to find that out.
     """
-    if os.path.isdir(folder):
-        files = []
-        for name in trade.SCHEMAS:
-            top = os.path.join(folder, f"{name}.parquet")
-            inside = [os.path.join(place, file) for place, _, names in os.walk(top) for file in names]
-            for file in inside or [top]:
-                stat = os.stat(file)
-                files.append((file, stat.st_mtime_ns, stat.st_size))
-        return tuple(sorted(files))
-    return tuple(
-        sorted(uri for name in trade.SCHEMAS for uri in trade.read_table(spark, folder, name).inputFiles())
-    )
-
 
-class Warehouse:
-    """Lazily written tables over one folder of order tables."""
-
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, version: str = ""):
         self.spark = spark
         self.folder = folder
-        self._key = (spark.sparkContext.applicationId, _state(spark, folder))
+        self._key = (spark.sparkContext.applicationId, folder, version)
+
+    def forget(self) -> None:
+        """Drop the references to this folder's tables; the next use writes them anew."""
+        for key in [key for key in _tables if key[:-1] == self._key]:
+            del _tables[key]
 
     def _once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         key = (*self._key, name)
