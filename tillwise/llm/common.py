@@ -1,6 +1,7 @@
 """What the operators of this package share."""
 
 import gc
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tillwise.sources.staging import new_path
 
+_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 # ASCII white space: what separates words everywhere in this package.
 SPACE = r"\x20\x09-\x0D"
 WORD = f"[^{SPACE}]+"
@@ -19,7 +22,20 @@ WORD = f"[^{SPACE}]+"
 SLICE_BYTES = 4 << 20
 
 
+def reach_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    On a cluster it is installed on the executors, or handed out by ``addPyFile``; then this
+    place need not exist there.
+    """
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if _ROOT not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [_ROOT, *paths]))
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    reach_package(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -48,6 +64,7 @@ class Scratch:
     """
 
     def __init__(self, spark: SparkSession, label: str):
+        reach_package(spark)
         self.spark = spark
         self.folder = new_path(spark, label)
 

@@ -30,7 +30,7 @@ import pyarrow.fs
 from pyspark.sql import DataFrame, Window, functions as F
 from tokenizers import Tokenizer
 
-from tillwise.llm.common import Scratch, coded_words, group_sums, slices, texts_of
+from tillwise.llm.common import Scratch, coded_words, group_sums, reach_package, slices, texts_of
 from tillwise.sources.staging import new_path
 
 VOCABULARY = "word_bpe_49k.json"
@@ -291,6 +291,7 @@ def write_shards(
     leaves nothing but files that nobody reads. No rows give an empty manifest.
     """
     spark = docs.sparkSession
+    reach_package(spark)
     path = vocabulary or public_tokenizers.path(VOCABULARY)
     own = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text"))
     ordered = own.repartitionByRange(F.col("id").asc_nulls_first(), F.xxhash64("text"))
