@@ -77,3 +77,19 @@ def test_training_never_sees_the_test_days(spark):
     for model in (fc.fit_linear, fc.fit_additive):
         errors = [fc.holdout_score(series(spark, v), model=model).first().mae for v in (calm, wild)]
         assert errors[0] == pytest.approx(0.0, abs=0.1) and errors[1] == pytest.approx(1e6 - 10, rel=1e-3)
+
+
+def test_one_series_and_series_by_key_have_the_same_additive_fit(spark):
+    days = np.arange(900)
+    y = 50 + 0.1 * days + 9 * np.sin(2 * np.pi * days / 365.25) + 4 * (days % 7 == 2) + np.cos(days * 1.7)
+    known = fc.fill_days(series(spark, y.tolist()), horizon=60)
+    whole = {r.ds: r for r in fc.fit_additive(known).collect()}
+    keyed = {r.ds: r for r in fc.fit_additive(known.withColumn("key", F.lit("a")), ["key"]).collect()}
+    assert whole.keys() == keyed.keys() and len(whole) == 960
+    for ds, r in whole.items():
+        assert abs(r.yhat - keyed[ds].yhat) < 1e-3 and abs(r.yhat_lower - keyed[ds].yhat_lower) < 1e-3
+
+
+def test_one_series_needs_no_python(spark):
+    plan = fc.fit_additive(series(spark, [1.0, 2.0, 4.0] * 10))._jdf.queryExecution().executedPlan().toString()
+    assert "Pandas" not in plan and "Python" not in plan

@@ -8,11 +8,15 @@ Both models write ``yhat``, ``yhat_lower`` and ``yhat_upper`` next to the series
 to be predicted are rows whose ``y`` is NULL; they take no part in the fit.
 """
 
+import math
 from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.errors import PySparkValueError
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import LinearRegression
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillwise.functions.numeric import money_sum
 
@@ -125,8 +129,66 @@ def _additive_fit() -> Callable[[pd.DataFrame], pd.DataFrame]:
     return fit
 
 
+# Bends of the trend lie in the first part of the history.
+_BENDS = [0.8 * i / 25 for i in range(1, 26)]
+
+# The slope is hardly penalised: its column is that much larger than the others.
+_SLOPE_SCALE = 1000.0
+
+
+def _design(day: Column, first: int, span: int) -> dict[str, Column]:
+    """The columns that ``_additive_fit`` builds, for a whole table; without the level."""
+    when = (day - first) / F.lit(max(float(span), 1.0))
+    columns = {"slope": when * F.lit(_SLOPE_SCALE)}
+    for i, bend in enumerate(_BENDS):
+        columns[f"bend{i}"] = F.greatest(when - F.lit(bend), F.lit(0.0))
+    waves = [(365.25, 10)] * (span >= 730) + [(7.0, 3)] * (span >= 14)
+    for period, order in waves:
+        for n in range(1, order + 1):
+            angle = day * F.lit(2.0 * math.pi * n / period)
+            columns[f"sin{period:g}_{n}".replace(".", "_")] = F.sin(angle)
+            columns[f"cos{period:g}_{n}".replace(".", "_")] = F.cos(angle)
+    return columns
+
+
+def _fit_whole(series: DataFrame) -> DataFrame:
+    """The additive model of one series: the normal equations are added up across all
+    tasks, and the forecast is a column."""
+    day = F.datediff("ds", F.lit("1970-01-01").cast("date")).cast("double")
+    known = series.where("y IS NOT NULL")
+    n, low, high, top, spread = known.agg(
+        F.count(F.lit(1)), F.min(day), F.max(day), F.max(F.abs("y")), F.stddev_samp("y")
+    ).first()
+    if not n:
+        raise PySparkValueError("a series without a known day cannot be fitted")
+    size = max(top, 1.0)
+    columns = _design(day, int(low), int(high - low))
+    assembler = VectorAssembler(inputCols=list(columns), outputCol="_features")
+    points = assembler.transform(series.withColumns(columns)).drop(*columns)
+    if not spread:
+        fitted = series.withColumn("yhat", F.lit(float(known.agg(F.avg("y")).first()[0])))
+    else:
+        # Ridge regression. The library divides the penalty by the deviation of the label.
+        regression = LinearRegression(
+            featuresCol="_features", labelCol="_label", predictionCol="_fit", solver="normal",
+            regParam=spread / size / n, elasticNetParam=0.0, standardization=False,
+        )
+        labelled = points.where("y IS NOT NULL").withColumn("_label", F.col("y") / F.lit(size))
+        fitted = regression.fit(labelled).transform(points)
+        fitted = fitted.withColumn("yhat", F.col("_fit") * F.lit(size)).drop("_fit", "_features")
+    error = fitted.agg(F.stddev_pop(F.col("y") - F.col("yhat"))).first()[0] or 0.0
+    margin = F.lit(INTERVAL_Z * error)
+    return fitted.withColumn("yhat_lower", F.col("yhat") - margin).withColumn("yhat_upper", F.col("yhat") + margin)
+
+
 def fit_additive(series: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Piecewise linear trend with yearly and weekly seasonality, one task per series."""
+    """Piecewise linear trend with yearly and weekly seasonality.
+
+    With ``keys`` each series, one row a day, is fitted by itself in one task; a single
+    series is fitted by all tasks together.
+    """
+    if not keys:
+        return _fit_whole(series)
     schema = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in series.schema)
     schema += ", yhat DOUBLE, yhat_lower DOUBLE, yhat_upper DOUBLE"
     return series.groupBy(*keys).applyInPandas(_additive_fit(), schema)
