@@ -238,7 +238,9 @@ def repeated_runs(docs: DataFrame, scratch: Scratch, length: int = LENGTH) -> Da
     found = scratch.save(_all_anchors(docs.select("doc", "data"), length), "anchors")
     # 1. Anchors that nobody else has.
     shared = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
-    kept = scratch.save(found.join(scratch.save(shared, "shared"), "anchor"), "kept")
+    shared = scratch.save(shared, "shared")
+    scratch.release()
+    kept = scratch.save(found.join(shared, "anchor"), "kept")
     scratch.drop("anchors")
     # 2. Whole stretches.
     stretches = kept.groupBy("anchor", "stretch").agg(F.min(order).alias("least"), F.count(F.lit(1)).alias("n"))

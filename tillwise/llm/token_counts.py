@@ -16,7 +16,7 @@ from tillwise.llm.common import coded_words, group_sums, slices, texts_of
 VOCABULARY = "piece_bpe_32k.model"
 WORD_START = "▁"
 # Words whose counts a Python worker remembers.
-CACHED_WORDS = 500_000
+CACHED_WORDS = 800_000
 
 
 class Vocabulary:
@@ -102,12 +102,12 @@ def count_tokens(
             for piece in slices(batch, "text"):
                 words, codes, sizes = coded_words(texts_of(piece, "text"))
                 known = _known(path)
-                if len(known) > CACHED_WORDS:
-                    known.clear()
                 words = words.to_pylist()
                 new = [w for w in words if w not in known]
-                known.update(zip(new, trie_counts(new, vocabulary(path)), strict=True))
-                of_word = np.array([known[w] for w in words] or [0], np.int64)
+                found = dict(zip(new, trie_counts(new, vocabulary(path)), strict=True))
+                of_word = np.array([known[w] if w in known else found[w] for w in words] or [0], np.int64)
+                if len(known) < CACHED_WORDS:
+                    known.update(found)
                 tokens = group_sums(of_word[codes] if len(codes) else np.zeros(0, np.int64), sizes)
                 yield pa.RecordBatch.from_arrays(
                     [piece.column("id"), pa.array(sizes), pa.array(tokens)], names=["id", "n_words", "n_tokens"]

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tillwise.llm.common import coded_words, slices, texts_of, whole_text
+from tillwise.llm.common import Scratch, coded_words, slices, texts_of, whole_text
 
 # Labelled documents the model is fitted on at most, those with the smallest id hashes.
 LABELLED_DOCUMENTS = 20_000
@@ -222,8 +222,11 @@ def fit(
     same labelled documents, ``LABELLED_DOCUMENTS`` at most.
     """
     own = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    labelled = _labelled(labels, id_column, label)
-    scores, rate, size = _token_scores(token_evidence(own, labelled))
+    scratch = Scratch(docs.sparkSession, "toxicity")
+    labelled = scratch.save(_labelled(labels, id_column, label), "labelled")
+    scores, rate, size = _token_scores(scratch.save(token_evidence(own, labelled), "evidence"))
+    scratch.drop("evidence")
+    scratch.release()
     model = Model(scores, rate, size, 1.0, 0.0)
     texts = own.join(F.broadcast(labelled), F.col("id") == F.col("labelled"))
     tails = _scan(texts, model).join(F.broadcast(labelled), F.col("id") == F.col("labelled"))
