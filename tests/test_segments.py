@@ -93,3 +93,10 @@ def test_profile_and_shares(spark):
     share = {r.segment: (r.customer_share, r.monetary_share) for r in segments.segment_share(df).collect()}
     assert share == {"Loyal": (2 / 3, 0.4), "At Risk": (1 / 3, 0.6)}
     assert [r.customer_id for r in segments.at_risk_customers(df.withColumn("cluster", F.lit(0))).collect()] == [3]
+
+
+def test_segments_do_not_depend_on_the_layout(spark, rfm):
+    def result(table):
+        return sorted(map(tuple, segments.segment_customers(table).select("customer_id", "segment").collect()))
+
+    assert result(rfm) == result(stage(rfm.repartition(7, "monetary"), "moved"))

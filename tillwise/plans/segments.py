@@ -14,6 +14,10 @@ from tillwise.operators.star import Star
 # Segment names from the best to the worst ranked cluster.
 SEGMENT_NAMES = ("Champions", "Loyal", "New", "At Risk", "Lost")
 
+# Customers in one partition while clustering.
+POINTS_PER_PIECE = 100_000
+
+# Names of the three metrics.
 METRICS = ("recency_days", "frequency", "monetary")
 
 
@@ -66,8 +70,8 @@ def rfm_features(rfm: DataFrame) -> DataFrame:
 def _scaled(rfm: DataFrame) -> dict[str, Column]:
     """Features with mean 0 and population deviation 1; a constant feature becomes 0."""
     moments = rfm.agg(
-        *(F.avg(_feature(name)).alias(f"{name}_mean") for name in METRICS),
-        *(F.stddev_pop(_feature(name)).alias(f"{name}_dev") for name in METRICS),
+        *(F.round(F.avg(_feature(name)), 9).alias(f"{name}_mean") for name in METRICS),
+        *(F.round(F.stddev_pop(_feature(name)), 9).alias(f"{name}_dev") for name in METRICS),
     ).first()
     return {
         name: (_feature(name) - F.lit(moments[f"{name}_mean"]).cast("double"))
@@ -96,7 +100,11 @@ def cluster_customers(
     tolerance = (1e-4 / k) ** 0.5
     inputs = {f"scaled_{name}": column for name, column in _scaled(rfm).items()}
     assembler = VectorAssembler(inputCols=list(inputs), outputCol="features")
-    points = assembler.transform(rfm.withColumns(inputs)).drop(*inputs)
+    # Starting centres are drawn partition by partition, so rows get a fixed place first:
+    # the result then depends on the customers and not on how their table is laid out.
+    pieces = rfm.count() // POINTS_PER_PIECE + 1
+    placed = rfm.repartition(pieces, "customer_id").sortWithinPartitions("customer_id")
+    points = assembler.transform(placed.withColumns(inputs)).drop(*inputs)
     shared = points.select("features").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         shared.count()
