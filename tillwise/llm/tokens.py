@@ -43,6 +43,8 @@ SHARD_BYTES = 64 << 20
 CACHED_WORDS = 1_500_000
 # Words handed to the tokenizer at once.
 ENCODED_WORDS = 2_000
+# Tasks that read shards, if there are that many.
+READ_TASKS = 20_000
 # Blocks a reader decodes at once.
 READ_BLOCKS = 2048
 
@@ -369,8 +371,10 @@ def read_shards(manifest: DataFrame, folder: str) -> DataFrame:
                     )
                     start += int(sizes.sum())
 
-    # A shard is the unit of reading, and each goes to the next task in turn.
-    spread = manifest.select("file", "start").repartition(F.col("file"))
+    # A shard is the unit of reading. The number of tasks is given, or Spark would put the
+    # few bytes of the manifest, and with them all shards, into one.
+    tasks = max(1, min(manifest.count(), READ_TASKS))
+    spread = manifest.select("file", "start").repartition(tasks, "file")
     return spread.mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids binary")
 
 
