@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillwise.llm.common import Scratch, slices
@@ -172,53 +173,98 @@ def _snippets(docs: DataFrame, length: int) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def _pair(rank64: np.ndarray, start: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """The two ranks that name ``length`` bytes from each start."""
-    return rank64[start].view(np.int64), rank64[start + length - 64].view(np.int64)
+class _Joined:
+    """The snippets of a batch as one run of bytes, so that their names are made in one pass.
+
+    A name that reaches into the next snippet is never asked for.
+    """
+
+    def __init__(self, batch: pa.RecordBatch):
+        snippets = batch.column("data")
+        self.sizes = pc.binary_length(snippets).to_numpy(zero_copy_only=False).astype(np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        data = np.frombuffer(b"".join(snippets.to_pylist()), np.uint8)
+        self.rank64 = names(data, 64)[64]
+
+    def pair(self, row: np.ndarray, start: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """The two ranks that name ``length`` bytes from each start inside its row's snippet."""
+        at = self.starts[row] + start
+        return self.rank64[at].view(np.int64), self.rank64[at + length - 64].view(np.int64)
+
+
+def _column(batch: pa.RecordBatch, name: str) -> np.ndarray:
+    return batch.column(name).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
 def _blocks(snippets: DataFrame, length: int) -> DataFrame:
-    """Blocks of neighbouring positions, aligned to the anchor: a name of what they share.
+    """Blocks of neighbouring positions, aligned to the anchor. ``key`` names what they share.
 
-    A block that the document cuts off has none and is looked at position by position.
+    A block that the document cuts off has no key and is looked at position by position.
+    ``place`` names the anchor and the block's place by it. Equal names of different
+    blocks only let more positions through to the last step.
     """
-    kind = pa.schema(
-        [("anchor", pa.int64()), ("nth", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("cut", pa.bool_()),
-         ("doc", pa.int64()), ("at", pa.int32())]
-    )
+    schema = "place bigint, key bigint, doc bigint, at int, nth int"
 
-    def work(row: dict) -> tuple[np.ndarray, ...]:
-        data, low, at = row["data"], row["low"], row["at"]
-        rank64 = names(np.frombuffer(data, np.uint8), 64)[64]
-        nth = np.arange((at - row["last"]) // BLOCK, (at - row["first"]) // BLOCK + 1)
-        # Positions at - 8 nth - 7 ... at - 8 nth, as places in the snippet.
-        start, stop = at - BLOCK * nth - BLOCK + 1 - low, at - BLOCK * nth - low
-        whole = (start >= 0) & (stop + length <= len(data))
-        a, b = np.zeros(len(nth), np.int64), np.zeros(len(nth), np.int64)
-        a[whole], b[whole] = _pair(rank64, stop[whole], length - BLOCK + 1)
-        same = lambda value: np.full(len(nth), value)
-        return same(row["anchor"]), nth, a, b, ~whole, same(row["doc"]), same(at)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in slices(batch, "data"):
+                joined = _Joined(piece)
+                at, low = _column(piece, "at"), _column(piece, "low")
+                least = (at - _column(piece, "last")) // BLOCK
+                n = (at - _column(piece, "first")) // BLOCK - least + 1
+                row = np.repeat(np.arange(len(n)), n)
+                nth = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + least[row]
+                # Positions at - 8 nth - 7 ... at - 8 nth, as places in the snippet.
+                stop = (at - low)[row] - BLOCK * nth
+                whole = (stop - BLOCK + 1 >= 0) & (stop + length <= joined.sizes[row])
+                anchor = _column(piece, "anchor")[row].view(np.uint64)
+                place = _mix(anchor, nth.astype(np.uint64))
+                first, second = joined.pair(row[whole], stop[whole], length - BLOCK + 1)
+                key = np.zeros(len(row), np.uint64)
+                key[whole] = _mix(_mix(first.view(np.uint64), second.view(np.uint64)), place[whole])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(place.view(np.int64)),
+                        pa.array(key.view(np.int64), mask=~whole),
+                        pa.array(_column(piece, "doc")[row]),
+                        pa.array(at[row].astype(np.int32)),
+                        pa.array(nth.astype(np.int32)),
+                    ],
+                    names=["place", "key", "doc", "at", "nth"],
+                )
 
-    own = snippets.withColumnRenamed("snippet", "data")
-    schema = "anchor bigint, nth int, a bigint, b bigint, cut boolean, doc bigint, at int"
-    return _per_document(own, work, schema, kind)
+    return snippets.withColumnRenamed("snippet", "data").mapInArrow(run, schema)
 
 
 def _positions(snippets: DataFrame, length: int) -> DataFrame:
     """Single positions of the blocks in ``nths``, named past the threshold."""
-    kind = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("doc", pa.int64()), ("pos", pa.int32())])
 
-    def work(row: dict) -> tuple[np.ndarray, ...]:
-        data, low, at = row["data"], row["low"], row["at"]
-        rank64 = names(np.frombuffer(data, np.uint8), 64)[64]
-        nth = np.array(row["nths"], np.int64)
-        start = (at - BLOCK * nth[:, None] - np.arange(BLOCK)).ravel() - low
-        start = start[(start >= 0) & (start + length <= len(data))]
-        a, b = _pair(rank64, start, length)
-        return a, b, np.full(len(start), row["doc"]), start + low
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in slices(batch, "data"):
+                joined = _Joined(piece)
+                lists = piece.column("nths")
+                n = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+                nth = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+                row = np.repeat(np.repeat(np.arange(len(n)), n), BLOCK)
+                at, low = _column(piece, "at"), _column(piece, "low")
+                within = np.tile(np.arange(BLOCK), len(nth))
+                start = (at - low)[row] - BLOCK * np.repeat(nth, BLOCK) - within
+                fits = (start >= 0) & (start + length <= joined.sizes[row])
+                row, start = row[fits], start[fits]
+                first, second = joined.pair(row, start, length)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(first),
+                        pa.array(second),
+                        pa.array(_column(piece, "doc")[row]),
+                        pa.array((start + low[row]).astype(np.int32)),
+                    ],
+                    names=["a", "b", "doc", "pos"],
+                )
 
     own = snippets.withColumnRenamed("snippet", "data")
-    return _per_document(own, work, "a bigint, b bigint, doc bigint, pos int", kind)
+    return own.mapInArrow(run, "a bigint, b bigint, doc bigint, pos int")
 
 
 def _later(rows: DataFrame, keys: list[str], order: Column, scratch: Scratch, name: str) -> DataFrame:
@@ -255,21 +301,28 @@ def repeated_runs(docs: DataFrame, scratch: Scratch, length: int = LENGTH) -> Da
     chosen = stretches.join(mixed, "anchor").select("anchor", "stretch", "least.doc", "least.at")
     chosen = kept.join(chosen, ["anchor", "stretch", "doc", "at"], "left_semi")
     chosen = chosen.groupBy("doc").agg(F.collect_list(F.struct("anchor", "at", "before", "span")).alias("chosen"))
-    snippets = scratch.save(_snippets(docs.join(chosen, "doc"), length), "snippets")
+    chosen = scratch.save(chosen, "chosen")
     scratch.drop("kept", "shared", "stretches")
     scratch.release()
+    snippets = scratch.save(_snippets(docs.join(chosen, "doc"), length), "snippets")
+    scratch.drop("chosen")
+    scratch.release()
     # 3. Blocks.
     blocks = scratch.save(_blocks(snippets, length), "blocks")
-    common = blocks.where("NOT cut").groupBy("anchor", "nth", "a", "b").agg(F.count(F.lit(1)).alias("n"))
-    edges = blocks.where("cut").select("anchor", "nth").distinct().withColumn("edge", F.lit(True))
-    common = scratch.save(common.join(edges, ["anchor", "nth"], "left").where("n > 1 OR edge").drop("n", "edge"), "common")
-    left = blocks.where("NOT cut").join(common, ["anchor", "nth", "a", "b"], "left_semi").select("doc", "at", "nth")
-    left = left.unionByName(blocks.where("cut").select("doc", "at", "nth"))
-    nths = left.groupBy("doc", "at").agg(F.collect_list("nth").alias("nths"))
+    common = blocks.where("key IS NOT NULL").groupBy("place", "key").agg(F.count(F.lit(1)).alias("n"))
+    edges = blocks.where("key IS NULL").select("place").distinct().withColumn("edge", F.lit(True))
+    common = common.join(edges, "place", "left").where("n > 1 OR edge").select("place", "key")
+    common = scratch.save(common, "common")
+    scratch.release()
+    left = blocks.where("key IS NOT NULL").join(common, ["place", "key"], "left_semi").select("doc", "at", "nth")
+    left = left.unionByName(blocks.where("key IS NULL").select("doc", "at", "nth"))
+    nths = scratch.save(left.groupBy("doc", "at").agg(F.collect_list("nth").alias("nths")), "nths")
+    scratch.drop("blocks", "common")
+    scratch.release()
     # 4. Single positions.
     chosen_snippets = snippets.join(nths, ["doc", "at"])
     positions = scratch.save(_positions(chosen_snippets, length), "positions")
-    scratch.drop("blocks", "common")
+    scratch.drop("snippets", "nths")
     scratch.release()
     single = _later(positions, ["a", "b"], F.struct("doc", "pos"), scratch, "positions")
     single = single.select("doc", F.col("pos").alias("start"), (F.col("pos") + length).alias("end"))
