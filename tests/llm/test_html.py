@@ -47,3 +47,19 @@ def test_pages(spark, small):
     assert all(r.n_chars == len(r.text) for r in found)
     assert all(r.text for r in found if r.page_id is not None and r.page_id < 900)
     assert html.extract_text(pages.where("false")).collect() == []
+
+
+def test_a_teaser_marked_as_article_does_not_replace_the_article():
+    page = f"<body><div id=c><p>{STORY * 5}</p><p>{STORY * 4}</p></div><article class='card'><p>Read this too</p></article></body>"
+    assert html.main_text(page) == f"{(STORY * 5).strip()}\n{(STORY * 4).strip()}"
+
+
+def test_short_ends_stay_and_unlinked_notices_go():
+    ends = f"<p>{STORY}</p><div class=ad>x</div><p>The end.</p><footer>f</footer>"
+    assert html.main_text(ends) == f"{STORY.strip()}\nThe end."
+    page = f"<body><div>A notice of this site</div><div id=c><h1>Head</h1><p>{STORY * 3}</p><p>Short.</p></div><div>All rights kept</div></body>"
+    assert html.main_text(page) == f"Head\n{(STORY * 3).strip()}\nShort."
+
+
+def test_a_run_ends_at_a_dive():
+    assert html.stretches([500, 300, 20, 5, 5, 5, 5]) == [(0, 3)]

@@ -14,6 +14,12 @@ from tillwise.llm.common import slices, texts_of
 WINDOW = 3
 SURGE = 80
 LINK_SHARE = 0.5
+# A run dives where a window has less than this share of the run's fullest, and a container
+# holds no part of the article with less than that share of the text of the fullest one.
+DIVE_SHARE = 0.1
+# How many times text outside must outweigh that in article and main to be kept as well, and
+# to be kept alone.
+BESIDE_MARKED, INSTEAD_OF_MARKED = 2, 8
 
 # Elements whose content is no text, elements that hold something other than the article,
 # and elements without content.
@@ -37,6 +43,9 @@ _NAMES = frozenset(
     "social comment comments commentlist reply replies respond disqus pagination pager tags toolbar skip".split()
 )
 _MAIN = frozenset("article main".split())
+_CONTAINERS = frozenset("div section td th header footer aside body html".split())
+_ROOTS = frozenset("body html".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -71,40 +80,52 @@ def _is_aside(tag: str, attributes: str, inside_main: bool) -> bool:
 
 
 class _Block:
-    __slots__ = ("parts", "linked", "main", "aside")
+    __slots__ = ("parts", "linked", "main", "aside", "container", "heading")
 
-    def __init__(self, main: bool, aside: bool):
+    def __init__(self, main: bool, aside: bool, container: int = 0, heading: bool = False):
         self.parts: list[str] = []
         self.linked = 0
         self.main = main
         self.aside = aside
+        self.container = container
+        self.heading = heading
 
 
-def blocks_of(page: str) -> list[tuple[str, int, bool, bool]]:
-    """The lines of a page without markup: (text, characters in links, in the article, beside it).
+def blocks_of(page: str) -> list[tuple[str, int, bool, bool, int, bool]]:
+    """The lines of a page without markup: (text, characters in links, in the article, beside it,
+    number of the container, in a heading).
+
+    Elements that hold text directly are paragraphs of the container around them, if there is
+    one inside the body. All of article and main is one container.
 
     Block elements and their ends begin a new line, so do the ends of elements left open; a
     line break inside a block is white space.
     """
     done: list[_Block] = []
-    stack: list[tuple[str, bool, bool, bool]] = []  # tag, hidden, aside, main
-    hidden = aside = main = False
-    links = 0
+    stack: list[tuple[str, bool, bool, bool, int]] = []  # tag, hidden, aside, main, number
+    hidden = aside = main = heading = False
+    links = container = number = 0
     block = _Block(False, False)
     place = 0
 
     def state() -> None:
-        nonlocal hidden, aside, main, links
+        nonlocal hidden, aside, main, links, container, heading
         hidden = any(s[1] for s in stack)
         aside = any(s[2] for s in stack)
         main = any(s[3] for s in stack)
         links = sum(s[0] == "a" for s in stack)
+        heading = any(s[0] in _HEADINGS for s in stack)
+        around = [s for s in stack if s[0] in _CONTAINERS and s[0] not in _ROOTS]
+        blocks = [s for s in stack if s[0] not in _INLINE]
+        if len(around) > 1 and around[-1] is blocks[-1]:
+            around.pop()
+        container = -1 if main else around[-1][4] if around else 0
 
     def cut() -> None:
         nonlocal block
         if block.parts:
             done.append(block)
-        block = _Block(main, aside)
+        block = _Block(main, aside, container, heading)
 
     def text(raw: str) -> None:
         if hidden or not raw:
@@ -159,7 +180,8 @@ def blocks_of(page: str) -> list[tuple[str, int, bool, bool]]:
                 cut()
             continue
         is_aside = _is_aside(tag, attributes, main)
-        stack.append((tag, tag in _HIDDEN, is_aside, tag in _MAIN))
+        number += 1
+        stack.append((tag, tag in _HIDDEN, is_aside, tag in _MAIN, number))
         was = aside
         state()
         if not inline or aside != was:
@@ -170,7 +192,7 @@ def blocks_of(page: str) -> list[tuple[str, int, bool, bool]]:
     for b in done:
         line = _SPACE.sub(" ", "".join(b.parts)).strip()
         if line:
-            out.append((line, b.linked, b.main, b.aside))
+            out.append((line, b.linked, b.main, b.aside, b.container, b.heading))
     return out
 
 
@@ -179,46 +201,82 @@ def stretches(lengths: list[int], window: int = WINDOW, surge: int = SURGE) -> l
 
     The text of each line and the window of lines around it is summed. A run begins where
     text surges, that is at a line with text whose sum reaches ``surge``, and goes back
-    over lines with text; it dives at the first line without any.
+    over lines with text; it dives at the first line without any, or whose window has less
+    than ``DIVE_SHARE`` of the fullest one of the run.
     """
     half = window // 2
     sums = [sum(lengths[max(0, i - half) : i + half + 1]) for i in range(len(lengths))]
-    runs, at = [], 0
+    runs, at, floor = [], 0, 0
     while at < len(lengths):
-        if not lengths[at]:
+        if not lengths[at] or sums[at] < surge:
             at += 1
             continue
-        end = at
-        while end < len(lengths) and lengths[end]:
+        start = end = at
+        while start > floor and lengths[start - 1]:
+            start -= 1
+        most = 0
+        while end < len(lengths) and lengths[end] and sums[end] >= DIVE_SHARE * most:
+            most = max(most, sums[end])
             end += 1
-        if max(sums[at:end]) >= surge:
-            runs.append((at, end))
-        at = end
+        runs.append((start, end))
+        at = floor = end
     return runs
 
 
+def _weighed(lines: list[tuple[str, int, bool, bool, int, bool]]) -> list[int]:
+    """The text of each line that may belong to the article, 0 for others.
+
+    Article and main elements are weight for what is inside, against the fullest container
+    outside: the markup is evidence as good as a window full of text.
+    """
+    sizes = [len(line[0].replace(" ", "")) for line in lines]
+    inside, outside = 0, {}
+    for size, (_, linked, main, aside, container, _) in zip(sizes, lines, strict=True):
+        if main and not aside:
+            inside += size
+        elif not aside and linked < LINK_SHARE * size:
+            outside[container] = outside.get(container, 0) + size
+    most = max(outside.values(), default=0)
+    lengths = []
+    for size, (_, linked, main, aside, container, _) in zip(sizes, lines, strict=True):
+        if aside:
+            lengths.append(0)
+        elif main:
+            lengths.append(size + SURGE if most < INSTEAD_OF_MARKED * inside else 0)
+        elif linked >= LINK_SHARE * size or outside[container] < BESIDE_MARKED * inside:
+            lengths.append(0)
+        else:
+            lengths.append(size)
+    return lengths
+
+
 def main_text(page: str | None) -> str:
     """The article's blocks, one a line; empty if there is none.
 
-    The text between the surges and dives of the line lengths is kept, or, if no window has
-    that much, the longest run. Lines beside the article, and those that are mostly links,
-    count as empty; so do, on a page with an article or main element, lines outside of it.
+    Text between the surges and dives of the line lengths is the article, or, if no window
+    has that much, the longest run. Lines beside the article, and those that are mostly links
+    outside of article and main, count as empty. Of the containers that such runs touch, those with
+    much text are kept, with their short lines, headings before them and what lies between.
     """
     lines = blocks_of(page or "")
-    marked = any(main and not aside for _, _, main, aside in lines)
-    lengths = []
-    for line, linked, main, aside in lines:
-        size = len(line.replace(" ", ""))
-        if marked:
-            # The markup is evidence as good as a window full of text.
-            lengths.append(size + SURGE if main and not aside else 0)
-        else:
-            lengths.append(0 if aside or linked >= LINK_SHARE * size else size)
+    lengths = _weighed(lines)
     runs = stretches(lengths)
     if not runs and any(lengths):
         runs = stretches(lengths, surge=1)
         runs = [max(runs, key=lambda run: sum(lengths[run[0] : run[1]]))]
-    return "\n".join(lines[i][0] for a, b in runs for i in range(a, b))
+        return "\n".join(lines[i][0] for a, b in runs for i in range(a, b))
+    held: dict[int, int] = {}
+    for a, b in runs:
+        for i in range(a, b):
+            held[lines[i][4]] = held.get(lines[i][4], 0) + lengths[i]
+    most = max(held.values(), default=0)
+    kept = [i for i in range(len(lines)) if lengths[i] and held.get(lines[i][4], 0) >= max(1, DIVE_SHARE * most)]
+    if not kept:
+        return ""
+    first, last = kept[0], kept[-1]
+    while first and lengths[first - 1] and lines[first - 1][5]:
+        first -= 1
+    return "\n".join(lines[i][0] for i in range(first, last + 1) if lengths[i])
 
 
 def extract_text(
