@@ -71,3 +71,19 @@ def test_odd_documents(odd, clashing, nothing, spark, small):
         found = pii.find_personal_data(frame).collect()
         hashes = sorted((str(r.doc_id), r.base_sha256) for r in found)
         assert hashes == sorted((d, hashlib.sha256(t.encode()).hexdigest()) for d, t in texts)
+
+
+def discovered(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    return {texts[r.doc_id] for r in pii.find_personal_data(docs).collect() if r.n_discovered == 1}
+
+
+def test_unseen_identifiers_do_not_count_against_their_context_and_make_new_ones(spark):
+    seeds = [f"a{i} phone +1 555 010 {2000 + i} x" for i in range(8)]
+    unseen = [f"a{i} phone (555) 123-{4000 + i} x" for i in range(8)]
+    again = [f"b{i} reachable (555) 123-{4000 + i} x" for i in range(5)]
+    further = [f"b{i} reachable (555) 777-{4000 + i} x" for i in range(5)]
+    plain = ["room 12345678 x", "the phone rings"]
+    assert discovered(spark, seeds + unseen + again + further + plain) == {*unseen, *again, *further}
+    # Words mostly followed by something else introduce nothing.
+    assert discovered(spark, seeds + unseen + ["the phone rings"] * 20) == set()

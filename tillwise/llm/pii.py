@@ -17,7 +17,7 @@ KINDS = ("email", "ip", "card", "phone")
 LEAST_SEEDS = 3
 LEAST_CONFIDENCE = 0.6
 ROUNDS = 3
-# What is added to a pattern's uses before the share of its entities is taken.
+# What is added to a pattern's judged uses before the share of its entities is taken.
 DOUBT = 1.0
 
 # Patterns held by one scan; more are searched in blocks of that many.
@@ -133,16 +133,40 @@ def _candidate(text: str, start: int) -> tuple[int, int] | None:
     return None
 
 
+def _shapes(token: str) -> int:
+    """The kinds that a candidate is well-formed enough for, one bit each."""
+    digits = len(_digits(token))
+    email = "@" in token or bool(_SPELLED.fullmatch(token))
+    ip = digits > 0 and len(re.findall("[0-9A-Fa-f]+", token)) >= 4
+    return email | ip << 1 | (digits >= 8) << 2 | (digits >= 5) << 3
+
+
+def _mentions(text: str) -> set[tuple[str, str]]:
+    """(pattern, candidate) wherever a candidate stands, entity or not."""
+    out = set()
+    words = list(_WORD.finditer(text))
+    for i, word in enumerate(words):
+        spelled = i + 1 < len(words) and words[i + 1].group().strip("[]()").lower() == "at"
+        if i and (spelled or _MARKED.search(word.group())):
+            span = _candidate(text, word.start())
+            if span:
+                out.update((p, text[span[0] : span[1]]) for p in _before(text, span[0]))
+    return out
+
+
 def _find_base(docs: DataFrame) -> DataFrame:
-    """Per row: counts, spans, and the patterns before each entity with what it is."""
+    """Per row: counts, spans, the patterns before each entity with what it is, and those
+    before each candidate."""
+    mention = pa.struct([("pattern", pa.string()), ("entity", pa.string())])
     seed = pa.struct([("pattern", pa.string()), ("kind", pa.int32()), ("entity", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch, "text"):
-                spans, seeds = [], []
+                spans, seeds, mentions = [], [], []
                 for text in texts_of(piece, "text").to_pylist():
                     found = base_spans(text)
+                    mentions.append([{"pattern": p, "entity": e} for p, e in sorted(_mentions(text))])
                     spans.append([f"{kind}:{start}:{end}" for start, kind, end in found])
                     seeds.append(
                         [
@@ -152,12 +176,20 @@ def _find_base(docs: DataFrame) -> DataFrame:
                         ]
                     )
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column("key"), pa.array(spans, pa.list_(pa.string())), pa.array(seeds, pa.list_(seed))],
-                    names=["key", "base", "seeds"],
+                    [
+                        piece.column("key"),
+                        pa.array(spans, pa.list_(pa.string())),
+                        pa.array(seeds, pa.list_(seed)),
+                        pa.array(mentions, pa.list_(mention)),
+                    ],
+                    names=["key", "base", "seeds", "mentions"],
                 )
 
     kind = dict(docs.dtypes)["key"]
-    schema = f"key {kind}, base array<string>, seeds array<struct<pattern:string,kind:int,entity:string>>"
+    schema = (
+        f"key {kind}, base array<string>, seeds array<struct<pattern:string,kind:int,entity:string>>, "
+        "mentions array<struct<pattern:string,entity:string>>"
+    )
     return docs.select("key", "text").mapInArrow(run, schema)
 
 
@@ -263,43 +295,93 @@ def _find_uses(docs: DataFrame, patterns: list[str]) -> DataFrame:
                         pa.array(starts + [None] * len(counted), pa.int32()),
                         pa.array(stops + [None] * len(counted), pa.int32()),
                         pa.array([1] * n + plain[counted].tolist(), pa.int64()),
+                        pa.array([_shapes(e) for e in entities] + [0] * len(counted), pa.int32()),
                     ],
-                    names=["key", "pattern", "entity", "start", "end", "uses"],
+                    names=["key", "pattern", "entity", "start", "end", "uses", "shapes"],
                 )
 
     kind = dict(docs.dtypes)["key"]
-    schema = f"key {kind}, pattern string, entity string, start int, end int, uses bigint"
+    schema = f"key {kind}, pattern string, entity string, start int, end int, uses bigint, shapes int"
     return docs.select("key", "text").mapInArrow(run, schema)
 
 
-def _discovered(seeds: DataFrame, uses: DataFrame, scratch: Scratch) -> DataFrame:
-    """(entity, kind): instances that patterns of high confidence point to.
+def _search(docs: DataFrame, tried: DataFrame, scratch: Scratch, name: str) -> DataFrame | None:
+    """The uses of patterns, searched in blocks; None without a pattern."""
+    blocks = tried.count() // BLOCK_PATTERNS + 1
+    found = None
+    for block in range(blocks):
+        part = tried.where(F.pmod(F.xxhash64("pattern"), F.lit(blocks)) == block)
+        patterns = [r.pattern for r in part.collect()]
+        if patterns:
+            uses = scratch.save(_find_uses(docs, patterns), f"{name}_{block}")
+            found = uses if found is None else found.unionByName(uses)
+    return found
+
+
+def _supported(pairs: DataFrame) -> DataFrame:
+    """Patterns with enough different entities of one kind, from (pattern, kind, entity)."""
+    support = pairs.groupBy("pattern", "kind").agg(F.count_distinct("entity").alias("n"))
+    return support.where(F.col("n") >= LEAST_SEEDS).select("pattern").distinct()
+
+
+def _discover(
+    docs: DataFrame, seeds: DataFrame, mentions: DataFrame, scratch: Scratch
+) -> tuple[DataFrame, DataFrame] | None:
+    """(uses, (entity, kind)): instances that patterns of high confidence point to.
 
     Patterns and instances are the two sides of a graph. A seed's confidence is 1 for its
     kind. A pattern's confidence for a kind is the confidence of the instances it
-    introduces, each counted once a use, out of all its uses with some doubt added; an
-    instance's is the chance that one of its patterns is right. Both are
-    computed in turn, from grouped tables; no group is collected.
+    introduces, each counted once a use, out of these and what speaks against it, with some
+    doubt added: uses before no candidate, before one that is not well-formed for the kind,
+    or before an instance of another kind. Well-formed candidates that nothing is known of
+    count neither way. An instance's confidence is the chance that one of its patterns is
+    right. Both are computed in turn, from grouped tables; no group is collected. After each
+    turn, the words before the instances accepted by then make new patterns.
     """
     known = seeds.select("entity", "kind").distinct().withColumn("confidence", F.lit(1.0))
     known = scratch.save(known, "known0")
-    edges = uses.where("entity IS NOT NULL").groupBy("pattern", "entity").agg(F.sum("uses").alias("uses"))
-    edges = scratch.save(edges, "edges")
-    totals = scratch.save(uses.groupBy("pattern").agg(F.sum("uses").alias("total")), "totals")
+    tried = scratch.save(_supported(seeds), "tried0")
+    uses = _search(docs, tried, scratch, "uses0")
+    if uses is None:
+        return None
+    fits = F.expr("(shiftright(shapes, kind) & 1) = 1")
     for turn in range(1, ROUNDS + 1):
-        sure = edges.join(known, "entity").groupBy("pattern", "kind").agg(
-            F.sum(F.col("uses") * F.col("confidence")).alias("right")
+        held = uses.where("entity IS NOT NULL").groupBy("pattern", "entity")
+        edges = scratch.save(held.agg(F.sum("uses").alias("uses"), F.max("shapes").alias("shapes")), f"edges{turn}")
+        misfits = [
+            F.sum(F.when(F.expr(f"entity IS NULL OR (shiftright(shapes, {k}) & 1) = 0"), F.col("uses")).otherwise(0))
+            for k in range(len(KINDS))
+        ]
+        totals = scratch.save(uses.groupBy("pattern").agg(F.array(*misfits).alias("against")), f"totals{turn}")
+        sure = edges.join(known, "entity").select("pattern", "kind", "shapes", (F.col("uses") * F.col("confidence")).alias("sure"))
+        per_kind = [F.sum(F.when(F.col("kind") == k, F.col("sure")).otherwise(0.0)) for k in range(len(KINDS))]
+        others = [
+            F.sum(F.when(F.expr(f"kind <> {k} AND (shiftright(shapes, {k}) & 1) = 1"), F.col("sure")).otherwise(0.0))
+            for k in range(len(KINDS))
+        ]
+        judged = sure.groupBy("pattern").agg(F.array(*per_kind).alias("right"), F.array(*others).alias("other"))
+        judged = judged.join(totals, "pattern").select(
+            "pattern", F.posexplode(F.arrays_zip("right", "other", "against")).alias("kind", "n")
         )
-        confidence = F.col("right") / (F.col("total") + F.lit(DOUBT))
-        patterns = sure.join(totals, "pattern").select("pattern", "kind", confidence.alias("trust"))
+        trust = F.col("n.right") / (F.col("n.right") + F.col("n.other") + F.col("n.against") + F.lit(DOUBT))
+        patterns = judged.select("pattern", "kind", trust.alias("trust"))
         patterns = scratch.save(patterns.where(F.col("trust") >= LEAST_CONFIDENCE), f"patterns{turn}")
         miss = F.sum(F.log(F.lit(1.0) - F.least("trust", F.lit(0.999))))
-        reached = edges.join(patterns, "pattern").groupBy("entity", "kind").agg(miss.alias("miss"))
+        reached = edges.join(patterns, "pattern").where(fits).groupBy("entity", "kind").agg(miss.alias("miss"))
         reached = reached.select("entity", "kind", (F.lit(1.0) - F.exp("miss")).alias("confidence"))
         best = known.unionByName(reached).groupBy("entity", "kind").agg(F.max("confidence").alias("confidence"))
         known = scratch.save(best, f"known{turn}")
+        if turn < ROUNDS:
+            accepted = known.where(F.col("confidence") >= LEAST_CONFIDENCE).select("entity", "kind")
+            pairs = seeds.select("pattern", "kind", "entity").unionByName(
+                mentions.join(accepted, "entity").select("pattern", "kind", "entity")
+            )
+            fresh = scratch.save(_supported(pairs).join(tried, "pattern", "left_anti"), f"fresh{turn}")
+            tried = tried.unionByName(fresh)
+            more = _search(docs, fresh, scratch, f"uses{turn}")
+            uses = uses if more is None else uses.unionByName(more)
     chosen = known.where(F.col("confidence") >= LEAST_CONFIDENCE).groupBy("entity")
-    return chosen.agg(F.min_by("kind", F.struct(-F.col("confidence"), F.col("kind"))).alias("kind"))
+    return uses, chosen.agg(F.min_by("kind", F.struct(-F.col("confidence"), F.col("kind"))).alias("kind"))
 
 
 def find_personal_data(
@@ -309,8 +391,8 @@ def find_personal_data(
     ``base_sha256``, ``spans`` and ``n_discovered``.
 
     The fixed patterns give the counts, the hash and the seeds. The one or two words before
-    at least ``LEAST_SEEDS`` different seeds are patterns; all their uses in all documents
-    are found, and identifiers they introduce with high confidence are added to
+    at least ``LEAST_SEEDS`` different seeds, or instances accepted since, are patterns; all
+    their uses in all documents are found, and identifiers they introduce with high confidence are added to
     the spans, under the pattern's kind, where they do not touch a span found before.
 
     Null and empty texts have no spans; repeated rows have equal results; rows are told apart
@@ -324,22 +406,12 @@ def find_personal_data(
     base = scratch.save(_find_base(own), "base")
     seeds = base.where(F.size("seeds") > 0).select(F.explode("seeds").alias("seed")).select("seed.*")
     seeds = scratch.save(seeds.groupBy("pattern", "kind", "entity").agg(F.count(F.lit(1)).alias("n")), "seeds")
-    support = seeds.groupBy("pattern", "kind").agg(F.count(F.lit(1)).alias("n"))
-    tried = support.where(F.col("n") >= LEAST_SEEDS).select("pattern").distinct()
-    tried = scratch.save(tried, "tried")
-    blocks = tried.count() // BLOCK_PATTERNS + 1
+    mentions = base.where(F.size("mentions") > 0).select(F.explode("mentions").alias("mention")).select("mention.*")
+    mentions = scratch.save(mentions.distinct(), "mentions")
     added = None
-    found = []
-    for block in range(blocks):
-        part = tried.where(F.pmod(F.xxhash64("pattern"), F.lit(blocks)) == block)
-        patterns = [r.pattern for r in part.collect()]
-        if patterns:
-            found.append(scratch.save(_find_uses(own, patterns), f"uses{block}"))
+    found = _discover(own, seeds, mentions, scratch)
     if found:
-        uses = found[0]
-        for more in found[1:]:
-            uses = uses.unionByName(more)
-        entities = _discovered(seeds, uses, scratch)
+        uses, entities = found
         places = uses.where("entity IS NOT NULL").select("key", "entity", "start", "end").distinct()
         spans = places.join(entities, "entity").select("key", F.struct("start", "kind", "end").alias("span"))
         added = scratch.save(spans.groupBy("key").agg(F.collect_set("span").alias("added")), "added")
