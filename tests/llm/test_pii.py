@@ -87,3 +87,11 @@ def test_unseen_identifiers_do_not_count_against_their_context_and_make_new_ones
     assert discovered(spark, seeds + unseen + again + further + plain) == {*unseen, *again, *further}
     # Words mostly followed by something else introduce nothing.
     assert discovered(spark, seeds + unseen + ["the phone rings"] * 20) == set()
+
+
+def test_glued_contexts_and_spelled_dots_are_searched(spark):
+    glued = [f"a{i} Tel:+1 555 010 {2000 + i} x" for i in range(8)]
+    hidden = [f"a{i} Tel:01234567{i}9 x" for i in range(3)]
+    spelled = [f"a{i} my email john dot doe{chr(97 + i)} at example dot com" for i in range(3)]
+    seeds = [f"a{i} my email user{i}@mail.example.com x" for i in range(8)]
+    assert discovered(spark, glued + hidden + seeds + spelled) == {*hidden, *spelled}

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from tillwise.llm.common import Scratch, coded_words, slices, texts_of
@@ -30,14 +31,20 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _SPACE = " \t\n\x0b\x0c\r"
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
+# Words, cut behind colons and equal signs; and where a blank cuts them so.
+_PART = re.compile(r"[^:=\x20\x09-\x0D]*[:=]+|[^:=\x20\x09-\x0D]+")
+_BORDER = r"([:=])([^:=\x20\x09-\x0D])"
 # What may be an identifier: a token with a digit or an at sign, an address spelled out, or
 # groups of digits.
 _SPELLED = re.compile(
-    r"[A-Za-z0-9._%+-]{1,64}\s{0,2}[\[(]?\s?(?:at|AT|@)\s?[\])]?\s{0,2}[A-Za-z0-9-]{1,64}"
+    r"[A-Za-z0-9._%+-]{1,64}(?:\s{0,2}(?:[\[(]\s?(?:dot|DOT)\s?[\])]|\s(?:dot|DOT)\s)\s{0,2}[A-Za-z0-9._%+-]{1,64}){0,8}"
+    r"\s{0,2}[\[(]?\s?(?:at|AT|@)\s?[\])]?\s{0,2}[A-Za-z0-9-]{1,64}"
     r"(?:(?:\s{0,2}[\[(]?\s?(?:dot|DOT)\s?[\])]?\s{0,2}|\.)[A-Za-z0-9-]{1,64})+"
 )
 _GROUPS = re.compile(r"[+(]?[0-9](?:[\x20().-]{0,2}[0-9]){5,18}(?![0-9A-Za-z])")
-_MARKED = re.compile(r"[0-9@]|[\[(](?:at|AT)[\])]")
+# A first word that may begin one, and a second word of an address spelled out.
+_MARKED = re.compile(r"[0-9@]|at|AT|[\[(](?:dot|DOT)")
+_SECOND = re.compile(r"[\[(]?(?:$|at|AT|dot|DOT|@)")
 _EDGE = "\"'`.,;:!?()[]{}<>|*#$%&="
 
 
@@ -104,6 +111,8 @@ def _before(text: str, start: int) -> list[str]:
             end -= 1
         low = end
         while low > 0 and text[low - 1] not in _SPACE and end - low < 64:
+            if low < end and text[low - 1] in ":=" and text[low] not in ":=":
+                break
             low -= 1
         word = _context(text[low:end])
         if not word:
@@ -144,9 +153,9 @@ def _shapes(token: str) -> int:
 def _mentions(text: str) -> set[tuple[str, str]]:
     """(pattern, candidate) wherever a candidate stands, entity or not."""
     out = set()
-    words = list(_WORD.finditer(text))
+    words = list(_PART.finditer(text))
     for i, word in enumerate(words):
-        spelled = i + 1 < len(words) and words[i + 1].group().strip("[]()").lower() == "at"
+        spelled = i + 1 < len(words) and _SECOND.match(words[i + 1].group())
         if i and (spelled or _MARKED.search(word.group())):
             span = _candidate(text, word.start())
             if span:
@@ -230,11 +239,14 @@ def _pattern_at(
 
 
 def _maybe_followed(words: list[str], codes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Whether the word after a place, or a spelled-out at sign, may make an identifier."""
+    """Whether the word after a place, or the one behind that, may make an identifier.
+
+    No place that ``_candidate`` would take is left out.
+    """
     if not len(codes):
         return np.zeros(0, bool)
     own = np.array([bool(_MARKED.search(w)) for w in words])
-    spelled = np.array([w.strip("[]()").lower() == "at" for w in words])
+    spelled = np.array([bool(_SECOND.match(w)) for w in words])
     last = np.cumsum(sizes) - 1
     last_of = np.repeat(last, sizes)
     place = np.arange(len(codes))
@@ -258,7 +270,7 @@ def _find_uses(docs: DataFrame, patterns: list[str]) -> DataFrame:
         for batch in batches:
             for piece in slices(batch, "text"):
                 texts = texts_of(piece, "text")
-                words, codes, sizes = coded_words(texts)
+                words, codes, sizes = coded_words(pc.replace_substring_regex(texts, _BORDER, r"\1 \2"))
                 single, double = _pattern_at(words.to_pylist(), codes, sizes, known)
                 maybe = _maybe_followed(words.to_pylist(), codes, sizes)
                 plain = np.zeros(len(known), np.int64)
@@ -271,7 +283,7 @@ def _find_uses(docs: DataFrame, patterns: list[str]) -> DataFrame:
                 own_keys = piece.column("key")
                 for owner in np.unique(owners).tolist():
                     text = texts[owner].as_py()
-                    bounds = [m.end() for m in _WORD.finditer(text)]
+                    bounds = [m.end() for m in _PART.finditer(text)]
                     first = int(ends[owner] - sizes[owner])
                     for place in places[owners == owner].tolist():
                         ids = [int(at[place]) for at in (single, double) if at[place] >= 0]
