@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tillwise.llm import (
     decontamination,
     html,
+    manifest,
     mixing,
     pii,
     quality,
@@ -68,6 +69,10 @@ def _token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, folder, "documents"))
 
 
+def _manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return manifest.audit(table(spark, folder, "documents"))
+
+
 def _pipeline(spark: SparkSession, folder: str) -> DataFrame:
     from corpus_pipeline import run
 
@@ -86,6 +91,7 @@ def queries() -> dict[str, Query]:
         "op8_pii": _pii,
         "op9_toxicity": _toxicity,
         "op10_token_counts": _token_counts,
+        "op11_manifest": _manifest,
         "pipeline": _pipeline,
     }
 
