@@ -16,6 +16,7 @@ from tillwise.llm import (
     token_counts,
     tokens,
     toxicity,
+    whitening,
 )
 from tillwise.llm.common import table
 
@@ -73,6 +74,11 @@ def _manifest(spark: SparkSession, folder: str) -> DataFrame:
     return manifest.audit(table(spark, folder, "documents"))
 
 
+def _whitening(spark: SparkSession, folder: str) -> DataFrame:
+    whitened = whitening.whiten(table(spark, folder, "embeddings"))
+    return whitened.withColumn("deviation", F.col("deviation").cast("bigint"))
+
+
 def _pipeline(spark: SparkSession, folder: str) -> DataFrame:
     from corpus_pipeline import run
 
@@ -92,6 +98,7 @@ def queries() -> dict[str, Query]:
         "op9_toxicity": _toxicity,
         "op10_token_counts": _token_counts,
         "op11_manifest": _manifest,
+        "op12_whitening": _whitening,
         "pipeline": _pipeline,
     }
 
