@@ -16,6 +16,7 @@ from tillwise.llm import (
     token_counts,
     tokens,
     toxicity,
+    warc,
     whitening,
 )
 from tillwise.llm.common import table
@@ -79,6 +80,10 @@ def _whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitened.withColumn("deviation", F.col("deviation").cast("bigint"))
 
 
+def _warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archive_pages(table(spark, folder, "pages")).drop("url")
+
+
 def _pipeline(spark: SparkSession, folder: str) -> DataFrame:
     from corpus_pipeline import run
 
@@ -99,6 +104,7 @@ def queries() -> dict[str, Query]:
         "op10_token_counts": _token_counts,
         "op11_manifest": _manifest,
         "op12_whitening": _whitening,
+        "op13_warc": _warc,
         "pipeline": _pipeline,
     }
 
@@ -148,5 +154,25 @@ FROM emitted GROUP BY doc_id
 """
 
 
+# Base32 from the hexadecimal digest: every five digits are four letters.
+WARC_SQL = """
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS payload FROM pages
+), digests AS (
+  SELECT page_id, octet_length(encode(payload)) AS payload_bytes, sha1(payload) AS digest,
+         max(page_id) OVER (PARTITION BY payload) AS response
+  FROM payloads
+), numbers AS (
+  SELECT *, [CAST('0x' || substr(digest, 5 * k + 1, 5) AS INTEGER) FOR k IN range(8)] AS fives FROM digests
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+       list_aggregate([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((fives[1 + k // 4] >> (15 - 5 * (k % 4))) & 31), 1)
+                       FOR k IN range(32)], 'string_agg', '') AS payload_digest,
+       CASE WHEN page_id = response OR response IS NULL THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = response THEN NULL ELSE response END AS refers_to
+FROM numbers
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_mixing": MIXING_SQL}
+    return {"op4_mixing": MIXING_SQL, "op13_warc": WARC_SQL}
