@@ -259,10 +259,17 @@ def _leaf_paths(blocks: DataFrame, width: int) -> DataFrame:
     return blocks.mapInArrow(run, _PATH)
 
 
-def _above(storeys: list[DataFrame], at: int, width: int, tops: DataFrame, lower: DataFrame | None) -> DataFrame:
+def _above(
+    storeys: list[DataFrame], at: int, width: int, tops: DataFrame | None, lower: DataFrame | None
+) -> DataFrame:
     """The blocks of a storey with the path above each: of the tree's root, or of the leaf of
-    the next storey that the block's root is."""
-    topmost = storeys[at].where(F.col("total") <= width).join(tops, "tree")
+    the next storey that the block's root is. Without ``tops`` nothing is above the roots."""
+    topmost = storeys[at].where(F.col("total") <= width)
+    if tops is None:
+        nothing = F.array().cast("array<string>")
+        topmost = topmost.select("*", F.lit("").alias("subroot"), nothing.alias("before"), nothing.alias("after"))
+    else:
+        topmost = topmost.join(tops, "tree")
     if lower is None:
         return topmost
     inner = storeys[at].where(F.col("total") > width).join(
@@ -331,17 +338,13 @@ def prove(manifest: Manifest) -> DataFrame:
     ``after`` (digests beside the path, a text for each level), ``proof_sha256``, ``folded_root``
     (from the claimed leaf) and ``verified``."""
     scratch, width = manifest.scratch, ARITY**manifest.block_height
-    spark = manifest.storeys[0].sparkSession
 
     # Down the tree of group roots: each of its leaves is the root of a group's tree.
-    root_path = spark.range(1).selectExpr(
-        "'' AS tree", "'' AS subroot", "array_repeat('', 0) AS before", "array_repeat('', 0) AS after"
-    )
     paths = None
     for at in reversed(range(1, len(manifest.crown))):
-        above = _above(manifest.crown, at, width, root_path, paths)
+        above = _above(manifest.crown, at, width, None, paths)
         paths = scratch.save(_leaf_paths(above, width), f"crown_paths{at}")
-    above = _above(manifest.crown, 0, width, root_path, paths)
+    above = _above(manifest.crown, 0, width, None, paths)
 
     def group_paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
