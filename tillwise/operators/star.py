@@ -8,6 +8,12 @@ from tillwise.functions.calendar import weekend_flag
 from tillwise.functions.numeric import money_total
 from tillwise.operators.ranking import with_position
 
+# The columns that a stored fact table has besides those of ``fact_sales``.
+LINE_ID = "line_id"
+LINE_SLOT = "line_slot"
+YEAR_MONTH = "year_month"
+STORED_ONLY = (LINE_ID, YEAR_MONTH)
+
 FACT_ORDER = ("invoice_datetime", "invoice_no", "stock_code", "customer_id", "quantity", "unit_price")
 
 
@@ -57,6 +63,39 @@ def number_lines(fact: DataFrame) -> DataFrame:
     return numbered.select((F.col("line_id") + 1).alias("line_id"), *fact.columns)
 
 
+def in_line_order(fact: DataFrame) -> DataFrame:
+    """The fact sorted by time over all tasks, as it is stored: each row with its slot, that is
+    its slice of the sort and its place there, and its month.
+
+    Written by month right away, this gives few files per month, still splits a busy
+    month over several tasks, and the rows are written once: line numbers follow from the slots
+    and the sizes of the slices.
+    """
+    slotted = fact.orderBy(*FACT_ORDER).withColumn(LINE_SLOT, F.monotonically_increasing_id())
+    return slotted.withColumn(YEAR_MONTH, F.date_format("date_key", "yyyy-MM"))
+
+
+def lines_before(stored: DataFrame) -> list[int]:
+    """Rows before each slice of a stored fact: one number per slice of the sort."""
+    slice_of = F.shiftright(LINE_SLOT, 33).alias("slice")
+    sizes = {r["slice"]: r["n"] for r in stored.groupBy(slice_of).agg(F.count(F.lit(1)).alias("n")).collect()}
+    before, total = [], 0
+    for number in range(max(sizes, default=-1) + 1):
+        before.append(total)
+        total += sizes.get(number, 0)
+    return before
+
+
+def with_line_ids(stored: DataFrame, before: list[int]) -> DataFrame:
+    """A stored fact with ``line_id`` 1..n in place of the slots: arithmetic on each row, and
+    nothing at all where no one asks for the number."""
+    starts = F.split(F.lit(",".join(map(str, before))), ",").cast("array<bigint>")
+    place = F.col(LINE_SLOT).bitwiseAND(F.lit((1 << 33) - 1))
+    line_id = F.get(starts, F.shiftright(LINE_SLOT, 33).cast("int")) + place + 1
+    others = [c for c in stored.columns if c != LINE_SLOT]
+    return stored.select(line_id.alias(LINE_ID), *others)
+
+
 def _most_frequent(column: str):
     """Smallest of the most frequent values, from one row per value with its count."""
     return F.min(F.struct(-F.col("seen"), F.col(column)))[column]

@@ -1,51 +1,83 @@
 """From the raw feed to stored tables: star, segments, forecast."""
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillwise.operators.cleaning import MONTH_FIRST, Patterns, clean, clean_report
-from tillwise.operators.star import Star, build_star, number_lines
-from tillwise.plans.forecast import Model, daily_revenue, fit_additive, forecast_table
+from tillwise.operators.star import YEAR_MONTH, Star, build_star, in_line_order, lines_before, load_report, with_line_ids
+from tillwise.plans.forecast import Model, daily_revenue, fit_additive, forecast_table, forecast_total, holdout_score
 from tillwise.plans.guard import create_history
-from tillwise.plans.segments import rfm_base, segment_customers
+from tillwise.plans.segments import rfm_base, segment_customers, segment_profile, segment_sizes
 from tillwise.sources.files import read_raw_csv, replace_table, table_exists, write_csv
+from tillwise.sources.shared import SharedFolder
+from tillwise.sources.snapshots import Conflict, Snapshot, commit, current, read_part, write_part
 from tillwise.sources.staging import stage
 
 TABLES = ("fact_sales", "dim_customer", "dim_product", "dim_date")
 
+# Notes that a result was built from a version of the star.
+_BUILT = "_built"
 
-def write_star(cleaned: DataFrame, folder: str, reset_audit: bool = False) -> None:
-    """Replace the four tables. The audit log survives unless ``reset_audit``.
 
-    Fact rows arrive sorted by time in slices of even size, so partitioning the files
-    by month needs no further shuffle, gives few files per month and still splits a
-    busy month over several tasks.
+def commit_star(cleaned: DataFrame, folder: str) -> Snapshot:
+    """Write the four tables next to those of the last version and switch to them at once.
+
+    A refresh that fails before its end leaves the last version as it was. Of two refreshes
+    at the same time the later commit counts. ``cleaned`` should be a written table.
     """
+    spark = cleaned.sparkSession
     star = build_star(cleaned)
-    numbered = number_lines(star.fact).withColumn("year_month", F.date_format("date_key", "yyyy-MM"))
-    replace_table(numbered, f"{folder}/fact_sales", ("year_month",))
-    replace_table(star.customers, f"{folder}/dim_customer")
-    replace_table(star.products, f"{folder}/dim_product")
-    replace_table(star.dates, f"{folder}/dim_date")
+    fact = write_part(in_line_order(star.fact), folder, "fact_sales", (YEAR_MONTH,))
+    parts = {
+        "fact_sales": fact,
+        "dim_customer": write_part(star.customers, folder, "dim_customer"),
+        "dim_product": write_part(star.products, folder, "dim_product"),
+        "dim_date": write_part(star.dates, folder, "dim_date"),
+    }
+    notes = {"fact_sales": {"lines_before": lines_before(read_part(spark, folder, "fact_sales", fact))}}
+    while True:
+        try:
+            return commit(spark, current(spark, folder), replaced=parts, notes=notes)
+        except Conflict:  # another version came in between: this one replaces it
+            continue
+
+
+def write_star(cleaned: DataFrame, folder: str, reset_audit: bool = False) -> Snapshot:
+    """Replace the four tables. The audit log survives unless ``reset_audit``."""
+    snapshot = commit_star(cleaned, folder)
     history = f"{folder}/query_history"
     spark = cleaned.sparkSession
     if reset_audit or not table_exists(spark, history):
         create_history(spark, history)
+    return snapshot
+
+
+def star_of(spark: SparkSession, snapshot: Snapshot) -> Star:
+    """The four tables of one version."""
+    fact, *dimensions = (snapshot.read(spark, name) for name in TABLES)
+    return Star(with_line_ids(fact, snapshot.notes["fact_sales"]["lines_before"]), *dimensions)
 
 
 def read_star(spark: SparkSession, folder: str) -> Star:
-    return Star(*(spark.read.parquet(f"{folder}/{name}") for name in TABLES))
+    """The star as of the last commit; it stays that one while others are written."""
+    snapshot = current(spark, folder)
+    if "fact_sales" not in snapshot.tables:
+        raise FileNotFoundError(f"no star was committed in {folder}")
+    return star_of(spark, snapshot)
 
 
 @dataclass(frozen=True)
 class Build:
-    """What a run of the pipeline did: one message per step, and the cleaning report of
-    the feed if the star was built."""
+    """What a run of the pipeline did: one message per step; the cleaning report of the
+    feed if the star was built; and a few rows for each result that was built: ``tables`` (rows
+    per table), ``segment_sizes``, ``segment_profile``, ``score`` of the model on held-out days,
+    ``total`` of the days ahead."""
 
     log: list[str]
     cleaned: dict | None = None
+    reports: dict[str, list[dict]] = field(default_factory=dict)
 
 
 def build_all(
@@ -53,20 +85,28 @@ def build_all(
     source: str | DataFrame,
     folder: str,
     patterns: Patterns = MONTH_FIRST,
-    most_unreadable: float = 0.5,
+    most_unreadable: float = 0.001,
     k: int = 5,
     horizon: int = 90,
     model: Model = fit_additive,
+    holdout: int = 60,
 ) -> Build:
     """Build what is missing: star, then segments, then the forecast.
 
     ``source`` is the path of the raw CSV or the raw feed itself. Every date is read with
     the first of ``patterns`` that fits it; a feed in which more than ``most_unreadable`` of
-    the dates fit none is refused. A failing forecast is reported and skipped, any other
-    failure is raised.
+    the dates fit none is refused. Segments and forecast belong to the version of the star that
+    they were built from, and are built again for another one. The model that forecasts is also
+    scored. A failing forecast or score is reported and skipped, any other failure is raised.
     """
-    log, cleaned = [], None
-    if all(table_exists(spark, f"{folder}/{name}") for name in TABLES):
+    log, cleaned, reports = [], None, {}
+    files = SharedFolder(spark, folder)
+
+    def rows(df: DataFrame) -> list[dict]:
+        return [r.asDict() for r in df.collect()]
+
+    snapshot = current(spark, folder)
+    if all(name in snapshot.tables for name in TABLES):
         log.append("star: present")
     else:
         raw = read_raw_csv(spark, source) if isinstance(source, str) else source
@@ -74,25 +114,45 @@ def build_all(
         dated = cleaned["bad_date"] + cleaned["rows_after"]
         if cleaned["bad_date"] > most_unreadable * dated:
             raise ValueError(f"{cleaned['bad_date']} of {dated} dates are unreadable; pass the patterns of the feed")
-        write_star(stage(clean(raw, patterns), "clean"), folder)
+        snapshot = write_star(stage(clean(raw, patterns), "clean"), folder)
         log.append(f"star: built from {cleaned['rows_after']} of {cleaned['rows_before']} rows")
-    star = read_star(spark, folder)
+        if cleaned["bad_date"]:
+            log.append(f"star: {cleaned['bad_date']} of {dated} dates are unreadable")
+        reports["tables"] = rows(load_report(star_of(spark, snapshot)))
+    star = star_of(spark, snapshot)
+
+    def present(result: str) -> bool:
+        return files.exists(f"{_BUILT}/{result}-{snapshot.number}")
+
+    def built(result: str) -> None:
+        files.claim(f"{_BUILT}/{result}-{snapshot.number}", "")
+        log.append(f"{result}: built")
 
-    if table_exists(spark, f"{folder}/segments"):
+    if present("segments"):
         log.append("segments: present")
     else:
         segments = segment_customers(stage(rfm_base(star), "rfm"), k)
         replace_table(segments, f"{folder}/segments")
-        write_csv(spark.read.parquet(f"{folder}/segments"), f"{folder}/customer_segments.csv")
-        log.append("segments: built")
+        segments = spark.read.parquet(f"{folder}/segments")
+        write_csv(segments, f"{folder}/customer_segments.csv")
+        reports["segment_sizes"], reports["segment_profile"] = rows(segment_sizes(segments)), rows(segment_profile(segments))
+        built("segments")
 
-    if table_exists(spark, f"{folder}/forecast"):
+    if present("forecast"):
         log.append("forecast: present")
     else:
         try:
-            replace_table(forecast_table(daily_revenue(star.fact), horizon, model=model), f"{folder}/forecast")
-            write_csv(spark.read.parquet(f"{folder}/forecast"), f"{folder}/forecast.csv")
-            log.append("forecast: built")
+            daily = stage(daily_revenue(star.fact), "daily")
+            replace_table(forecast_table(daily, horizon, model=model), f"{folder}/forecast")
+            forecast = spark.read.parquet(f"{folder}/forecast")
+            write_csv(forecast, f"{folder}/forecast.csv")
+            reports["total"] = rows(forecast_total(forecast))
+            built("forecast")
         except PySparkException as failure:
             log.append(f"forecast: skipped ({str(failure)[-300:]})")
-    return Build(log, cleaned)
+        else:
+            try:
+                reports["score"] = rows(holdout_score(daily, holdout, model=model))
+            except PySparkException as failure:
+                log.append(f"score: skipped ({str(failure)[-300:]})")
+    return Build(log, cleaned, reports)

@@ -14,7 +14,7 @@ from tillwise.functions.calendar import month_start, months_between_starts, peri
 from tillwise.functions.numeric import money_sum, money_total, ratio, round_half_up
 from tillwise.operators.joins import join_lookup
 from tillwise.operators.ranking import exact_quantiles, with_running_total
-from tillwise.operators.star import Star
+from tillwise.operators.star import STORED_ONLY, YEAR_MONTH, Star
 
 
 MONTH = ("year", "month", "month_name")
@@ -29,9 +29,15 @@ def _daily_by_month(star: Star) -> DataFrame:
 
 
 def _last_day(star: Star) -> Column:
-    """Latest day of the whole fact table. As a literal it reaches the Parquet scan, so
-    filters built on it skip row groups."""
-    return F.lit(star.fact.agg(F.max("date_key")).first()[0]).cast("date")
+    """Latest day of the whole fact table, that is of its days. It goes into the plan as a literal."""
+    return F.lit(star.dates.agg(F.max("date_key")).first()[0]).cast("date")
+
+
+def _since(fact: DataFrame, day: Column) -> DataFrame:
+    """Fact rows from a day on. A stored fact is read from the month of that day on; the
+    filter by day skips row groups."""
+    rows = fact.where(F.col("date_key") >= day)
+    return rows.where(F.col(YEAR_MONTH) >= F.date_format(day, "yyyy-MM")) if YEAR_MONTH in fact.columns else rows
 
 
 # --- monthly ----------------------------------------------------------------
@@ -193,7 +199,7 @@ def country_quarter_change(star: Star) -> DataFrame:
     last_quarter = F.trunc(_last_day(star), "quarter")
     quarter_before = F.add_months(last_quarter, -3)
     recent = (
-        star.fact.where(F.col("date_key") >= quarter_before)
+        _since(star.fact, quarter_before)
         .groupBy("customer_id", F.trunc("date_key", "quarter").alias("quarter_start"))
         .agg(money_total("revenue").alias("amount"))
         .join(star.customers, "customer_id")
@@ -215,7 +221,7 @@ def country_last_month(star: Star, country: str | None = None) -> DataFrame:
     """Sales per country, or of one country, in the last month of the data."""
     first_day = month_start(_last_day(star))
     spent = (
-        star.fact.where(F.col("date_key") >= first_day)
+        _since(star.fact, first_day)
         .groupBy("customer_id")
         .agg(money_total("revenue").alias("amount"), F.count(F.lit(1)).alias("lines"))
     )
@@ -361,7 +367,7 @@ def key_stats(star: Star, customers: DataFrame) -> DataFrame:
 
 def sales_wide(star: Star) -> DataFrame:
     """Every fact row with the columns of its customer, product and day."""
-    wide = join_lookup(star.fact, star.customers, "customer_id")
+    wide = join_lookup(star.fact.drop(*STORED_ONLY), star.customers, "customer_id")
     wide = join_lookup(wide, star.products, "stock_code", counted_on=star.fact)
     return join_lookup(wide, star.dates, "date_key", counted_on=star.fact)
 

@@ -9,12 +9,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tillwise.operators.cleaning import clean
-from tillwise.operators.star import Star, dim_customer, dim_date, dim_product, fact_sales
-from tillwise.plans import guard, reports, segments
+from tillwise.operators.star import Star
+from tillwise.plans import guard, pipeline, reports, segments
 from tillwise.sources import trade
+from tillwise.sources.snapshots import Snapshot
 from tillwise.sources.staging import new_path, stage
 
-_tables: dict[tuple, DataFrame] = {}
+_tables: dict[tuple, DataFrame | Snapshot] = {}
 
 
 class Warehouse:
@@ -47,16 +48,14 @@ class Warehouse:
         return self._once("clean", lambda: clean(self.raw()))
 
     def star(self) -> Star:
-        cleaned = self.clean()
-        return Star(
-            fact_sales(cleaned),
-            self._once("dim_customer", lambda: dim_customer(cleaned)),
-            self._once("dim_product", lambda: dim_product(cleaned)),
-            self._once("dim_date", lambda: dim_date(cleaned)),
-        )
+        """The star as the pipeline stores it, the fact by month."""
+        key = (*self._key, "star")
+        if key not in _tables:
+            _tables[key] = pipeline.commit_star(self.clean(), new_path(self.spark, "star"))
+        return pipeline.star_of(self.spark, _tables[key])
 
     def fact(self) -> DataFrame:
-        return fact_sales(self.clean())
+        return self.star().fact
 
     def customer_orders(self) -> DataFrame:
         return self._once("customer_orders", lambda: reports.customer_orders(self.star()))
