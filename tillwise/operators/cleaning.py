@@ -58,21 +58,30 @@ def _positive() -> Column:
     return F.coalesce((F.col("Quantity") > 0) & (price > 0) & (price < float("inf")), F.lit(False))
 
 
-def clean(raw: DataFrame, patterns: Patterns = MONTH_FIRST) -> DataFrame:
-    """Order lines fit for reporting.
+def typed_survivors(raw: DataFrame) -> DataFrame:
+    """Lines that no rule but the one for dates drops, each once, with the date as text.
 
-    Duplicates are dropped on the raw date text, before it is parsed. The filters
-    stand below the only shuffle, the one for the duplicates, whose map side already
-    folds copies together.
+    The filters stand below the only shuffle, the one for the duplicates, whose map side
+    already folds copies together.
     """
-    kept = _typed(raw).where(~_cancelled() & _has_customer() & _positive()).dropDuplicates()
+    return _typed(raw).where(~_cancelled() & _has_customer() & _positive()).dropDuplicates()
+
+
+def with_dates(survivors: DataFrame, patterns: Patterns = MONTH_FIRST) -> DataFrame:
+    """The lines whose date can be read, with the date and the revenue."""
     return (
-        kept.withColumn("InvoiceDate", parse_date(F.col("InvoiceDate"), patterns))
+        survivors.withColumn("InvoiceDate", parse_date(F.col("InvoiceDate"), patterns))
         .where(F.col("InvoiceDate").isNotNull())
         .withColumn("Revenue", F.col("Quantity") * F.col("UnitPrice"))
     )
 
 
+def clean(raw: DataFrame, patterns: Patterns = MONTH_FIRST) -> DataFrame:
+    """Order lines fit for reporting. Duplicates are dropped on the raw date text, before it is
+    parsed."""
+    return with_dates(typed_survivors(raw), patterns)
+
+
 def clean_report(raw: DataFrame, patterns: Patterns = MONTH_FIRST) -> DataFrame:
     """One row: rows before and after cleaning and the rows each rule drops; for a feed
     read from files also ``corrupt``, the records with an unreadable cell, of any rule.

@@ -11,8 +11,9 @@ from tillwise.operators.cleaning import DEFAULT_PATTERN, clean, clean_report
 from tillwise.operators.quality import foreign_key_check, primary_key_check
 from tillwise.operators.ranking import with_ntile
 from tillwise.operators.star import YEAR_MONTH, load_report
-from tillwise.plans import forecast, guard, reports, segments
+from tillwise.plans import feed, forecast, guard, reports, segments
 from tillwise.sources import trade
+from tillwise.sources.staging import new_path
 from tillwise.warehouse import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +58,15 @@ def _mixed_dates(raw: DataFrame) -> DataFrame:
     return raw.withColumn("InvoiceDate", F.when(third & iso.isNotNull(), iso).otherwise(F.col("InvoiceDate")))
 
 
+def _two_deliveries(w: Warehouse) -> DataFrame:
+    """The feed in two deliveries that share some lines, appended one after the other."""
+    part = F.pmod(F.crc32(F.concat_ws("/", "InvoiceNo", "StockCode")), F.lit(8))
+    folder = new_path(w.spark, "feed")
+    for delivery in (part <= 5, part >= 4):
+        feed.append_feed(w.spark, w.raw().where(delivery), folder)
+    return feed.read_feed(w.spark, folder)
+
+
 def _daily(w: Warehouse) -> DataFrame:
     return forecast.daily_revenue(w.fact())
 
@@ -97,6 +107,7 @@ _QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "clean_sales": lambda w: w.clean(),
     "clean_report": lambda w: clean_report(w.raw()),
     "clean_mixed_dates": lambda w: clean(_mixed_dates(w.raw())),
+    "append_dedup": _two_deliveries,
     "fact_sales": lambda w: w.fact().drop(YEAR_MONTH),
     "dim_customer": lambda w: w.star().customers,
     "dim_product": lambda w: w.star().products,

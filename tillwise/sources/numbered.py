@@ -28,6 +28,11 @@ def create_log(empty: DataFrame, path: str) -> None:
     empty.write.parquet(f"{path}/batch=none")
 
 
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of all batches."""
+    return spark.read.parquet(path).drop("batch")
+
+
 def _first_number(name: str) -> int:
     return int(name.removesuffix(".txt"))
 

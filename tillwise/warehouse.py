@@ -12,6 +12,7 @@ from tillwise.operators.cleaning import clean
 from tillwise.operators.star import Star
 from tillwise.plans import guard, pipeline, reports, segments
 from tillwise.sources import trade
+from tillwise.sources.numbered import read_log
 from tillwise.sources.snapshots import Snapshot
 from tillwise.sources.staging import new_path, stage
 
@@ -77,5 +78,5 @@ class Warehouse:
             guard.create_history(self.spark, path)
             guard.append_history(outcomes.where("status <> 'error'"), path)
             guard.append_history(outcomes.where("status = 'error'"), path)
-            _tables[key] = self.spark.read.parquet(path)
+            _tables[key] = read_log(self.spark, path)
         return _tables[key]
