@@ -3,6 +3,10 @@
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tillwise.sources.records import records
+
+ENCODING = "ISO-8859-1"
+
 # Columns of the feed.
 RAW_TYPES = {
     "InvoiceNo": "STRING",
@@ -58,23 +62,33 @@ def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = False) -> Da
     that does not parse becomes NULL and is dealt with by the cleaning rules; its record
     is kept in ``_corrupt_record``, which the cleaning report counts. Files of a folder
     must agree in their header; one that differs is an error. ``multi_line`` allows line
-    breaks inside quotes, at the price that a file is then read by one task.
+    breaks inside quotes; it reads the text twice, see ``sources.records``.
     """
-    reader = spark.read.option("header", True).option("encoding", "ISO-8859-1").option("escape", '"')
-    reader = reader.option("multiLine", multi_line)
-    fields = []
-    for name in reader.csv(path).columns:
-        kind = RAW_TYPES.get(HEADER_ALIASES.get(name, name), "STRING")
-        fields.append(f"`{name}` {kind}")
-    fields.append(f"{CORRUPT} STRING")
-    reader = reader.option("columnNameOfCorruptRecord", CORRUPT).option("enforceSchema", False)
-    feed = reader.schema(", ".join(fields)).option("mode", "PERMISSIVE").csv(path)
+    reader = spark.read.option("header", True).option("encoding", ENCODING).option("escape", '"')
+    names = reader.csv(path).columns
+    fields = [f"`{name}` {RAW_TYPES.get(HEADER_ALIASES.get(name, name), 'STRING')}" for name in names]
+    schema = ", ".join([*fields, f"{CORRUPT} STRING"])
+    if multi_line:
+        feed = _parsed_records(records(spark, path, ENCODING), names, schema)
+    else:
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT).option("enforceSchema", False)
+        feed = reader.schema(schema).option("mode", "PERMISSIVE").csv(path)
     texts = {
         name: F.when(~F.col(name).isin(*MISSING), F.col(name)) for name, kind in RAW_TYPES.items() if kind == "STRING"
     }
     return normalise_headers(feed).select(*RAW_TYPES, CORRUPT).withColumns(texts)
 
 
+def _parsed_records(found: DataFrame, names: list[str], schema: str) -> DataFrame:
+    """The cells of CSV records; the first record of each file has to be the header."""
+    options = {"escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    header = F.from_csv("record", ", ".join(f"`{i}` STRING" for i in range(len(names))), {"escape": '"'})
+    same = F.array(*(header[str(i)] for i in range(len(names)))) == F.array(*map(F.lit, names))
+    other = F.raise_error(F.concat(F.lit("the header of "), F.col("file"), F.lit(" differs"))).cast("boolean")
+    rows = found.where(F.when(~F.col("first"), True).otherwise(F.when(same, False).otherwise(other)))
+    return rows.select(F.from_csv("record", schema, options).alias("cells")).select("cells.*")
+
+
 def read_segments(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SEGMENT_SCHEMA).option("header", True).csv(path)
 
