@@ -3,27 +3,23 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillwise.functions.calendar import parse_wall_time
+from tillwise.functions.dates import Order, read_date
 from tillwise.functions.numeric import ratio
 from tillwise.sources.files import CORRUPT, RAW_TYPES, normalise_headers
 
-# Reads '12/1/2010 8:26' as well as '12/01/2010 08:26'.
+# Reads '12/1/2010 8:26' as well as '12/01/2010 08:26', and nothing else.
 DEFAULT_PATTERN = "M/d/yyyy H:m"
 
-# Tried on every date in this order; the first that fits counts. Days and months of
-# the slash forms cannot be told apart by looking, so their order is a choice.
-ISO_PATTERNS = (
-    "yyyy-MM-dd H:m:s", "yyyy-MM-dd H:m", "yyyy-MM-dd'T'H:m:s", "yyyy-MM-dd'T'H:m", "yyyy-MM-dd", "yyyy/M/d H:m:s",
-    "yyyy/M/d H:m", "yyyy/M/d",
-)
-DOT_PATTERNS = ("d.M.yyyy H:m:s", "d.M.yyyy H:m", "d.M.yyyy")
-MONTH_FIRST = (DEFAULT_PATTERN, "M/d/yyyy H:m:s", "M/d/yyyy h:m a", "M/d/yyyy", "M-d-yyyy H:m", *ISO_PATTERNS, *DOT_PATTERNS)
-DAY_FIRST = tuple(p.replace("M/d", "d/M").replace("M-d-", "d-M-") if p.startswith("M") else p for p in MONTH_FIRST)
+MONTH_FIRST, DAY_FIRST = Order.MONTH_FIRST, Order.DAY_FIRST
 
-Patterns = str | tuple[str, ...]
+# How dates are written: any form, with an order of day and month, or patterns tried in turn.
+Patterns = Order | str | tuple[str, ...]
 
 
 def parse_date(text: Column, patterns: Patterns = MONTH_FIRST) -> Column:
-    """The wall time of a date text, by the first pattern that reads it; NULL if none does."""
+    """The wall time of a date text; NULL if it cannot be read."""
+    if isinstance(patterns, Order):
+        return read_date(text, patterns)
     patterns = (patterns,) if isinstance(patterns, str) else patterns
     return F.coalesce(*[parse_wall_time(text, pattern) for pattern in patterns])
 

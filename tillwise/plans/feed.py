@@ -61,7 +61,7 @@ def append_feed(
     All deliveries of a store must be read with the same date patterns. When another delivery is
     committed in between, the lines are compared again with what is stored then.
     """
-    wanted = [patterns] if isinstance(patterns, str) else list(patterns)
+    wanted = [str(p) for p in ((patterns,) if isinstance(patterns, str) else patterns)]
     fresh = stage(_fresh(raw, patterns).withColumn("row", F.monotonically_increasing_id()), "fresh")
     while True:
         base = current(spark, folder)

@@ -5,12 +5,13 @@ from dataclasses import dataclass, field
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tillwise.functions.dates import order_of
 from tillwise.operators.cleaning import MONTH_FIRST, Patterns, clean, clean_report
 from tillwise.operators.star import YEAR_MONTH, Star, build_star, in_line_order, lines_before, load_report, with_line_ids
 from tillwise.plans.forecast import Model, daily_revenue, fit_additive, forecast_table, forecast_total, holdout_score
 from tillwise.plans.guard import create_history
 from tillwise.plans.segments import rfm_base, segment_customers, segment_profile, segment_sizes
-from tillwise.sources.files import read_raw_csv, replace_table, table_exists, write_csv
+from tillwise.sources.files import normalise_headers, read_raw_csv, replace_table, table_exists, write_csv
 from tillwise.sources.shared import SharedFolder
 from tillwise.sources.snapshots import Conflict, Snapshot, commit, current, read_part, write_part
 from tillwise.sources.staging import stage
@@ -84,7 +85,7 @@ def build_all(
     spark: SparkSession,
     source: str | DataFrame,
     folder: str,
-    patterns: Patterns = MONTH_FIRST,
+    patterns: Patterns | None = None,
     most_unreadable: float = 0.001,
     k: int = 5,
     horizon: int = 90,
@@ -93,9 +94,10 @@ def build_all(
 ) -> Build:
     """Build what is missing: star, then segments, then the forecast.
 
-    ``source`` is the path of the raw CSV or the raw feed itself. Every date is read with
-    the first of ``patterns`` that fits it; a feed in which more than ``most_unreadable`` of
-    the dates fit none is refused. Segments and forecast belong to the version of the star that
+    ``source`` is the path of the raw CSV or the raw feed itself. Without ``patterns`` dates may
+    have any form, and whether days or months come first is decided by the whole feed: one that
+    holds both orders is refused, and the month comes first where nothing decides. A feed in
+    which more than ``most_unreadable`` of the dates cannot be read is refused. Segments and forecast belong to the version of the star that
     they were built from, and are built again for another one. The model that forecasts is also
     scored. A failing forecast or score is reported and skipped, any other failure is raised.
     """
@@ -110,14 +112,19 @@ def build_all(
         log.append("star: present")
     else:
         raw = read_raw_csv(spark, source) if isinstance(source, str) else source
+        note = ""
+        if patterns is None:
+            decided = order_of(normalise_headers(raw), "InvoiceDate")
+            patterns = decided or MONTH_FIRST
+            note = f", dates {patterns.value}" + ("" if decided else " as nothing in the feed decides")
         cleaned = clean_report(raw, patterns).first().asDict()
         dated = cleaned["bad_date"] + cleaned["rows_after"]
         if cleaned["bad_date"] > most_unreadable * dated:
             raise ValueError(f"{cleaned['bad_date']} of {dated} dates are unreadable; pass the patterns of the feed")
         snapshot = write_star(stage(clean(raw, patterns), "clean"), folder)
-        log.append(f"star: built from {cleaned['rows_after']} of {cleaned['rows_before']} rows")
         if cleaned["bad_date"]:
-            log.append(f"star: {cleaned['bad_date']} of {dated} dates are unreadable")
+            note += f", {cleaned['bad_date']} of {dated} dates are unreadable"
+        log.append(f"star: built from {cleaned['rows_after']} of {cleaned['rows_before']} rows{note}")
         reports["tables"] = rows(load_report(star_of(spark, snapshot)))
     star = star_of(spark, snapshot)
 

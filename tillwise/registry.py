@@ -51,11 +51,21 @@ def _fixed_clusters(w: Warehouse) -> DataFrame:
 
 
 def _mixed_dates(raw: DataFrame) -> DataFrame:
-    """The feed with the dates of every third part in ISO text."""
-    parsed = parse_wall_time(F.col("InvoiceDate"), DEFAULT_PATTERN)
-    iso = F.date_format(parsed, "yyyy-MM-dd HH:mm:ss")
-    third = F.pmod(F.crc32(F.col("StockCode")), F.lit(3)) == 0
-    return raw.withColumn("InvoiceDate", F.when(third & iso.isNotNull(), iso).otherwise(F.col("InvoiceDate")))
+    """The feed with its dates in many forms, by the quantity of the line."""
+    at = parse_wall_time(F.col("InvoiceDate"), DEFAULT_PATTERN)
+    forms = [
+        F.date_format(at, form)
+        for form in (
+            "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss'Z'", "yyyy-MM-dd HH:mm:ss'.000'", "yyyy-MM-dd HH:mm:ss'+00:00'",
+            "MMM d, yyyy HH:mm", "d-MMM-yyyy HH:mm", "yyyyMMdd HHmm", "d.M.yyyy H:mm", "M/d/yyyy h:mm a", "EEE, d MMMM yyyy HH:mm",
+            "yyyyMMdd", "MMMM d yyyy",
+        )
+    ]
+    form = F.pmod(F.col("Quantity"), F.lit(len(forms) + 1))
+    text = F.when(at.isNull(), F.col("InvoiceDate"))
+    for i, one in enumerate(forms):
+        text = text.when(form == i, one)
+    return raw.withColumn("InvoiceDate", text.otherwise(F.col("InvoiceDate")))
 
 
 def _two_deliveries(w: Warehouse) -> DataFrame:
