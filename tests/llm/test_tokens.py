@@ -68,3 +68,23 @@ def test_files_outside_the_manifest_do_not_count(spark, odd, tmp_path):
     before = sorted(map(str, tokens.read_shards(manifest, folder).collect()))
     (tmp_path / "tokens" / "part-000000-00000-left.s8b").write_bytes(b"half a file")
     assert sorted(map(str, tokens.read_shards(tokens.read_manifest(spark, folder), folder).collect())) == before
+
+
+def test_kept_words(monkeypatch):
+    """Short and long words, zero bytes, words met again, a full cache."""
+    import numpy as np
+    import public_tokenizers
+    import pyarrow as pa
+
+    path = public_tokenizers.path(tokens.VOCABULARY)
+    words = ["a", "é", "a\x00", "a\x00b", "word", "x" * 24, "x" * 25, "y" * 90, "Ünï", "😀", "7", "ab", "ba"]
+    for most in (0, 3, 1000):
+        monkeypatch.setattr(tokens, "CACHED_WORDS", most)
+        held = tokens.WordIds(path)
+        plain = held.tokenizer
+        for part in (words, words[::-1], words[3:9] + ["new"], [], ["new", "a"]):
+            ids, first, n = held.of(pa.array(part, pa.large_string()))
+            for word, a, size in zip(part, first, n, strict=True):
+                assert ids[a : a + size].tolist() == plain.encode(word, add_special_tokens=False).ids
+        assert len(held.hashes) <= most and (np.diff(held.hashes.astype(object)) > 0).all()
+    assert len(held.hashes) > 8

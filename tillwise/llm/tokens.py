@@ -41,6 +41,8 @@ BLOCK = 512
 SHARD_BYTES = 64 << 20
 # Words whose ids a Python worker remembers.
 CACHED_WORDS = 1_500_000
+# Words of up to so many times eight bytes.
+LANES = 3
 # Words handed to the tokenizer at once.
 ENCODED_WORDS = 2_000
 # Tasks that read shards, if there are that many.
@@ -203,14 +205,43 @@ def read_shard(data: bytes) -> Iterator[tuple[list[int | None], np.ndarray, np.n
             rest, done = rest[n:].copy(), until
 
 
+def _lanes(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``LANES`` times eight bytes of each word as numbers, and which words are no longer."""
+    offsets = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)
+    sizes, width = np.diff(offsets), 8 * LANES
+    lanes = np.zeros((len(words), width), np.uint8)
+    for i in range(width):  # byte by byte, as most words are short
+        longer = np.flatnonzero(sizes > i)
+        if not len(longer):
+            break
+        lanes[longer, i] = data[offsets[longer] + i]
+    # A zero byte inside a word must not look like its end.
+    return lanes.view(np.uint64), (sizes <= width) & ((lanes != 0).sum(axis=1) == sizes)
+
+
+def _mixed(lanes: np.ndarray) -> np.ndarray:
+    mixed = np.zeros(len(lanes), np.uint64)
+    for lane in lanes.T:
+        mixed = (mixed ^ lane) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(29)
+    return mixed
+
+
 class WordIds:
-    """Ids of distinct words, in flat arrays: the first ``CACHED_WORDS`` met are kept."""
+    """Ids of distinct words: the first ``CACHED_WORDS`` met are kept, unless they are very long.
+
+    Kept words are found by halving in a sorted array of hashes and compared byte for byte; a
+    word whose hash another word has is encoded each time.
+    """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.words = pa.array([], pa.large_string())
+        self.hashes = np.zeros(0, np.uint64)
+        self.lanes = np.zeros((0, LANES), np.uint64)
+        self.first = np.zeros(0, np.int64)
+        self.n = np.zeros(0, np.int32)
         self.ids = np.zeros(0, np.uint32)
-        self.ends = np.zeros(1, np.int64)
 
     def _encode(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         ids, sizes = [], []
@@ -223,25 +254,44 @@ class WordIds:
 
     def of(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids, first, n): the ids of word i are the n[i] from first[i] on."""
-        at = pc.index_in(words, value_set=self.words)
-        missing = pc.is_null(at)
-        at = pc.fill_null(at, 0).to_numpy(zero_copy_only=False).astype(np.int64)
-        is_new = missing.to_numpy(zero_copy_only=False)
-        new = words.filter(missing)
-        new_ids, new_sizes = self._encode(new)
+        lanes, short = _lanes(words)
+        hashes = _mixed(lanes)
         first = np.zeros(len(words), np.int64)
         n = np.zeros(len(words), np.int64)
-        first[~is_new], n[~is_new] = self.ends[at[~is_new]], np.diff(self.ends)[at[~is_new]]
-        first[is_new] = len(self.ids) + np.cumsum(new_sizes) - new_sizes
-        n[is_new] = new_sizes
+        known = np.zeros(len(words), bool)
+        if len(self.hashes):
+            at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+            known = short & (self.hashes[at] == hashes) & (self.lanes[at] == lanes).all(axis=1)
+            first[known], n[known] = self.first[at[known]], self.n[at[known]]
+        new_ids, new_sizes = self._encode(words.filter(pa.array(~known)))
+        first[~known] = len(self.ids) + np.cumsum(new_sizes) - new_sizes
+        n[~known] = new_sizes
         ids = np.concatenate([self.ids, new_ids])
-        keep = max(0, min(len(new), CACHED_WORDS - len(self.words)))
-        if keep:
-            self.words = pa.concat_arrays([self.words, new.slice(0, keep)])
-            self.ends = np.append(self.ends, self.ends[-1] + np.cumsum(new_sizes[:keep]))
-            self.ids = ids[: self.ends[-1]]
+        self._keep(lanes[~known], hashes[~known], short[~known], new_ids, new_sizes)
         return ids, first, n
 
+    def _keep(
+        self, lanes: np.ndarray, hashes: np.ndarray, short: np.ndarray, ids: np.ndarray, sizes: np.ndarray
+    ) -> None:
+        room = CACHED_WORDS - len(self.hashes)
+        _, once = np.unique(hashes, return_index=True)
+        kept = np.zeros(len(hashes), bool)
+        kept[once] = short[once]
+        if len(self.hashes):
+            at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+            kept &= self.hashes[at] != hashes
+        kept &= np.cumsum(kept) <= room
+        if not kept.any():
+            return
+        starts = len(self.ids) + np.cumsum(sizes[kept]) - sizes[kept]
+        self.ids = np.concatenate([self.ids, ids[np.repeat(kept, sizes)]])
+        order = np.argsort(hashes[kept])
+        places = np.searchsorted(self.hashes, hashes[kept][order])
+        self.hashes = np.insert(self.hashes, places, hashes[kept][order])
+        self.lanes = np.insert(self.lanes, places, lanes[kept][order], axis=0)
+        self.first = np.insert(self.first, places, starts[order])
+        self.n = np.insert(self.n, places, sizes[kept][order])
+
 
 @cache
 def _word_ids(path: str) -> WordIds:
