@@ -63,3 +63,23 @@ def test_clean_documents_keep_their_columns(clashing, spark):
     kept = d.clean_documents(clashing, items)
     assert kept.columns == clashing.columns
     assert {1, 2, 11}.isdisjoint(r.doc_id for r in kept.collect())
+
+
+def test_short_items_as_they_are_written(spark):
+    docs = spark.createDataFrame(
+        [(1, "what is 2 + 2 = 4"), (2, "so 2+2=? he asked"), (3, "page 2 2 of 9"), (4, "什么是最长的河流。"), (5, "=>="), (6, "we WHAT  is 2 +\n2 = 4"),
+         (7, "12+2=?"), (8, None)], "doc_id bigint, text string",
+    )
+    items = spark.createDataFrame(
+        [("a", "What is 2 + 2 = 4"), ("b", "2+2=?"), ("c", "最长的河流"), (None, "=>="), (None, None), ("d", " "), ("e", "page")],
+        "item_id string, text string",
+    )
+    found = {r.doc_id: r.item_ids for r in d.leaked_documents(docs, items).collect()}
+    assert found == {1: ["a"], 2: ["b"], 4: ["c"], 5: [None], 6: ["a"]}
+    assert {r.doc_id for r in d.clean_documents(docs, items).collect()} == {3, 7, 8}
+
+
+def test_items_without_id_beside_others(spark):
+    docs = spark.createDataFrame([(1, f"x {ITEM} y")], "doc_id int, text string")
+    items = spark.createDataFrame([(None, ITEM), (3, ITEM), (None, ITEM)], "item_id int, text string")
+    assert [r.item_ids for r in d.leaked_documents(docs, items).collect()] == [[3, None]]
