@@ -95,3 +95,41 @@ def test_glued_contexts_and_spelled_dots_are_searched(spark):
     spelled = [f"a{i} my email john dot doe{chr(97 + i)} at example dot com" for i in range(3)]
     seeds = [f"a{i} my email user{i}@mail.example.com x" for i in range(8)]
     assert discovered(spark, glued + hidden + seeds + spelled) == {*hidden, *spelled}
+
+
+def test_merge_by_brute_force():
+    import random
+
+    pick = random.Random(4)
+    for _ in range(300):
+        spans = [[(a := pick.randrange(60), pick.randrange(4), a + pick.randint(1, 9)) for _ in range(pick.randrange(9))] for _ in "ab"]
+        taken = sorted(spans[0])
+        for start, kind, end in sorted(set(spans[1])):
+            if all(end <= a or b <= start for a, _, b in taken):
+                taken.append((start, kind, end))
+        assert pii.merge(*spans) == sorted(taken)
+    many = [(10 * i, 0, 10 * i + 5) for i in range(100_000)]
+    assert len(pii.merge(many, [(10 * i + 6, 1, 10 * i + 9) for i in range(100_000)])) == 200_000
+
+
+def test_marked_words_by_brute_force():
+    """The one expression finds the words that each was tested for before."""
+    import random
+
+    pick = random.Random(1)
+    signs = ["at", "AT", " ", "\n", ":", "=", "x", "7", "@", "[", "(", "dot", ")", " (at) ", " [dot] ", "com", "é", "\t", ".", "12345"]
+    for _ in range(5000):
+        text = "".join(pick.choice(signs) for _ in range(pick.randint(0, 30)))
+        words = list(pii._PART.finditer(text))
+        wanted = [
+            w.start() for i, w in enumerate(words)
+            if pii._MARKED.search(w.group()) or i + 1 < len(words) and pii._SECOND.match(words[i + 1].group())
+        ]
+        assert [m.start(1) for m in pii._BEGINS.finditer(text) if m[1]] == wanted
+    pii._mentions("word " * 400_000)
+
+
+def test_long_words_are_no_context():
+    long = "k" * 65
+    assert pii._before(f"{long} 7", 66) == [] and pii._context(long) == "" and pii._context("k" * 64)
+    assert pii._before(f"a {'k' * 64} 7", 67) == ["k" * 64, "a " + "k" * 64]

@@ -14,10 +14,11 @@ from tillwise.llm.common import Scratch, coded_words, slices, texts_of
 KINDS = ("email", "ip", "card", "phone")
 
 # A pattern needs so many different seeds to be tried at all, and so much confidence to
-# discover others; so does an instance to be reported. Rounds of scoring.
+# discover others; so does an instance to be reported.
 LEAST_SEEDS = 3
 LEAST_CONFIDENCE = 0.6
-ROUNDS = 3
+# Longer words are no context, neither where patterns are made nor where they are searched.
+LONGEST_CONTEXT = 64
 # What is added to a pattern's judged uses before the share of its entities is taken.
 DOUBT = 1.0
 
@@ -45,6 +46,14 @@ _GROUPS = re.compile(r"[+(]?[0-9](?:[\x20().-]{0,2}[0-9]){5,18}(?![0-9A-Za-z])")
 # A first word that may begin one, and a second word of an address spelled out.
 _MARKED = re.compile(r"[0-9@]|at|AT|[\[(](?:dot|DOT)")
 _SECOND = re.compile(r"[\[(]?(?:$|at|AT|dot|DOT|@)")
+# The next word, cut as _PART does, that is marked or has a second word behind it; the words
+# before it are passed over without a step back, up to the end if there is none.
+_ONE = r"(?:[^:=\x20\x09-\x0D]*+[:=]++|[^:=\x20\x09-\x0D]++)"
+_BEGINNING = (
+    r"(?=[^:=\x20\x09-\x0D]*?(?:[0-9@]|at|AT|[\[(](?:dot|DOT))"
+    rf"|{_ONE}[\x20\x09-\x0D]*+(?:[\[(]?(?:at|AT|dot|DOT|@)|[\[(](?=[\x20\x09-\x0D]|\Z)))"
+)
+_BEGINS = re.compile(rf"(?:[\x20\x09-\x0D]*+(?!{_BEGINNING}){_ONE})*+[\x20\x09-\x0D]*+(?:({_ONE})|\Z)")
 _EDGE = "\"'`.,;:!?()[]{}<>|*#$%&="
 
 
@@ -97,9 +106,10 @@ def as_text(spans: list[tuple[int, int, int]]) -> str:
 
 
 def _context(word: str) -> str:
-    """A word as part of a pattern: lower case, digits and outer brackets or quotes gone."""
+    """A word as part of a pattern: lower case, outer brackets and quotes gone; empty for words
+    with digits and for very long ones."""
     word = word.strip("\"'`()[]{}<>").lower()
-    return "" if any(c.isdigit() or c == "@" for c in word) else word
+    return "" if len(word) > LONGEST_CONTEXT or any(c.isdigit() or c == "@" for c in word) else word
 
 
 def _before(text: str, start: int) -> list[str]:
@@ -110,7 +120,7 @@ def _before(text: str, start: int) -> list[str]:
         while end > 0 and text[end - 1] in _SPACE + "\"'`([{<":
             end -= 1
         low = end
-        while low > 0 and text[low - 1] not in _SPACE and end - low < 64:
+        while low > 0 and text[low - 1] not in _SPACE and end - low <= 4 * LONGEST_CONTEXT:
             if low < end and text[low - 1] in ":=" and text[low] not in ":=":
                 break
             low -= 1
@@ -151,13 +161,12 @@ def _shapes(token: str) -> int:
 
 
 def _mentions(text: str) -> set[tuple[str, str]]:
-    """(pattern, candidate) wherever a candidate stands, entity or not."""
+    """(pattern, candidate) wherever a candidate stands behind a word, entity or not."""
     out = set()
-    words = list(_PART.finditer(text))
-    for i, word in enumerate(words):
-        spelled = i + 1 < len(words) and _SECOND.match(words[i + 1].group())
-        if i and (spelled or _MARKED.search(word.group())):
-            span = _candidate(text, word.start())
+    first = _WORD.search(text)
+    for word in _BEGINS.finditer(text, first.start()) if first else ():
+        if word.start(1) > first.start():
+            span = _candidate(text, word.start(1))
             if span:
                 out.update((p, text[span[0] : span[1]]) for p in _before(text, span[0]))
     return out
@@ -348,7 +357,8 @@ def _discover(
     or before an instance of another kind. Well-formed candidates that nothing is known of
     count neither way. An instance's confidence is the chance that one of its patterns is
     right. Both are computed in turn, from grouped tables; no group is collected. After each
-    turn, the words before the instances accepted by then make new patterns.
+    turn, the words before the instances accepted by then make new patterns, until a turn accepts
+    no more instances.
     """
     known = seeds.select("entity", "kind").distinct().withColumn("confidence", F.lit(1.0))
     known = scratch.save(known, "known0")
@@ -357,7 +367,9 @@ def _discover(
     if uses is None:
         return None
     fits = F.expr("(shiftright(shapes, kind) & 1) = 1")
-    for turn in range(1, ROUNDS + 1):
+    turn, n_accepted = 0, -1
+    while True:
+        turn += 1
         held = uses.where("entity IS NOT NULL").groupBy("pattern", "entity")
         edges = scratch.save(held.agg(F.sum("uses").alias("uses"), F.max("shapes").alias("shapes")), f"edges{turn}")
         misfits = [
@@ -383,15 +395,18 @@ def _discover(
         reached = reached.select("entity", "kind", (F.lit(1.0) - F.exp("miss")).alias("confidence"))
         best = known.unionByName(reached).groupBy("entity", "kind").agg(F.max("confidence").alias("confidence"))
         known = scratch.save(best, f"known{turn}")
-        if turn < ROUNDS:
-            accepted = known.where(F.col("confidence") >= LEAST_CONFIDENCE).select("entity", "kind")
-            pairs = seeds.select("pattern", "kind", "entity").unionByName(
-                mentions.join(accepted, "entity").select("pattern", "kind", "entity")
-            )
-            fresh = scratch.save(_supported(pairs).join(tried, "pattern", "left_anti"), f"fresh{turn}")
-            tried = tried.unionByName(fresh)
-            more = _search(docs, fresh, scratch, f"uses{turn}")
-            uses = uses if more is None else uses.unionByName(more)
+        accepted = known.where(F.col("confidence") >= LEAST_CONFIDENCE).select("entity", "kind")
+        # Confidences only rise, so the accepted instances settle, and with them the patterns.
+        before, n_accepted = n_accepted, accepted.count()
+        if n_accepted == before:
+            break
+        pairs = seeds.select("pattern", "kind", "entity").unionByName(
+            mentions.join(accepted, "entity").select("pattern", "kind", "entity")
+        )
+        fresh = scratch.save(_supported(pairs).join(tried, "pattern", "left_anti"), f"fresh{turn}")
+        tried = tried.unionByName(fresh)
+        more = _search(docs, fresh, scratch, f"uses{turn}")
+        uses = uses if more is None else uses.unionByName(more)
     chosen = known.where(F.col("confidence") >= LEAST_CONFIDENCE).groupBy("entity")
     return uses, chosen.agg(F.min_by("kind", F.struct(-F.col("confidence"), F.col("kind"))).alias("kind"))
 
@@ -466,8 +481,18 @@ def find_personal_data(
 
 def merge(base: list[tuple[int, int, int]], added: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """All base spans, and those added ones, from the left, that touch none taken before."""
-    taken = list(base)
+    # Base spans of different kinds may overlap: what they cover together, from the left.
+    covered: list[list[int]] = []
+    for start, _, end in sorted(base):
+        if covered and start < covered[-1][1]:
+            covered[-1][1] = max(covered[-1][1], end)
+        else:
+            covered.append([start, end])
+    taken, at, floor = list(base), 0, 0
     for start, kind, end in sorted(set(added)):
-        if all(end <= a or b <= start for a, _, b in taken):
+        while at < len(covered) and covered[at][1] <= start:
+            at += 1
+        if start >= floor and (at == len(covered) or end <= covered[at][0]):
             taken.append((start, kind, end))
+            floor = end
     return sorted(taken)
