@@ -69,3 +69,12 @@ def test_odd_documents(spark, clashing, nothing):
     assert all(0 <= r.score <= 1 for r in found)
     assert toxicity.toxic_passages(nothing, labels).collect() == []
     assert all(r.predicted == 0 for r in toxicity.toxic_passages(clashing, labels.where("false")).collect())
+
+
+def test_all_segments_count():
+    """More than fifty segments above chance in one text, and none below it."""
+    rate, size, words = 1.0, 0.1, 10_000
+    tails = [toxicity._tail([9.0] * n, words, rate, size) for n in (1, 40, 50, 60, 200)]
+    assert tails == sorted(tails) and len(set(tails)) == 5
+    assert toxicity._tail([9.0] * 60 + [1.0] * 500, words, rate, size) == tails[3]
+    assert toxicity._tail([], words, rate, size) == 0.0

@@ -12,8 +12,6 @@ from tillwise.llm.common import Scratch, coded_words, slices, texts_of, whole_te
 
 # Labelled documents the model is fitted on at most, those with the smallest id hashes.
 LABELLED_DOCUMENTS = 20_000
-# Tokens the model holds at most, those with the largest evidence.
-MODEL_TOKENS = 50_000
 # Words the corpus is worth as a prior of either class.
 PRIOR_WORDS = 100_000.0
 # Standard errors a token's log-odds must be away from zero to count.
@@ -81,14 +79,15 @@ def _tail(segments: list[float], n_words: int, rate: float, size: float) -> floa
     """-log of the probability that chance gives segments like the best r ones, for the best r.
 
     The r normalised scores exceed a sum t by chance with about exp(-t) t^(r-1) / (r! (r-1)!);
-    r = 1 is the extreme value law of the best segment.
+    r = 1 is the extreme value law of the best segment. Segments that chance gives anyway, whose
+    normalised score is not positive, add nothing, and end the search.
     """
     base = math.log(max(size * max(n_words, 1), 1e-9))
     best, total = 0.0, 0.0
-    for r, score in enumerate(sorted(segments, reverse=True)[:50], 1):
-        total += rate * score - base
-        if total <= 0:
+    for r, score in enumerate(sorted(segments, reverse=True), 1):
+        if rate * score <= base:
             break
+        total += rate * score - base
         log_p = -total + (r - 1) * math.log(total) - math.lgamma(r + 1) - math.lgamma(r)
         best = max(best, -log_p - r * math.log(2))
     return best
@@ -150,7 +149,11 @@ def token_evidence(docs: DataFrame, labelled: DataFrame) -> DataFrame:
 
 
 def _token_scores(evidence: DataFrame) -> tuple[dict[str, float], float, float]:
-    """Scores of the tokens with evidence; rate and size of the extreme value law."""
+    """Scores of the tokens with evidence; rate and size of the extreme value law.
+
+    All tokens of the labelled documents whose odds are clear are held: their number is
+    bounded by the vocabulary of ``LABELLED_DOCUMENTS`` texts.
+    """
     totals = evidence.agg(F.sum("n"), F.sum("y1"), F.sum("y0")).first()
     n, n1, n0 = (float(x or 0) for x in totals)
     if not n1 or not n0:
@@ -161,7 +164,7 @@ def _token_scores(evidence: DataFrame) -> tuple[dict[str, float], float, float]:
     spread = F.sqrt(1 / (F.col("y1") + prior) + 1 / (F.col("y0") + prior))
     scored = evidence.where("token <> '' AND y1 + y0 > 0").select("token", "y0", F.log(odds1 / odds0).alias("odds"), spread.alias("se"))
     strong = scored.where(F.abs("odds") >= LEAST_EVIDENCE * F.col("se"))
-    rows = strong.orderBy(F.desc(F.abs(F.col("odds") / F.col("se"))), "token").limit(MODEL_TOKENS).collect()
+    rows = strong.orderBy("token").collect()
     scores = {r.token: r.odds - PENALTY for r in rows}
     known = sum(r.y0 for r in rows)
     values = np.array([scores[r.token] for r in rows] + [-PENALTY])
