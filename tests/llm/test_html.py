@@ -63,3 +63,49 @@ def test_short_ends_stay_and_unlinked_notices_go():
 
 def test_a_run_ends_at_a_dive():
     assert html.stretches([500, 300, 20, 5, 5, 5, 5]) == [(0, 3)]
+
+
+# Pages made by hand, with the text that a reader would call the article.
+P = STORY.strip()
+BY_HAND = {
+    "a figure with a table": (
+        f"<article><p>{P}</p><figure><table><tr><td>Rain</td><td>12 mm</td></tr></table><figcaption>Measured in May</figcaption>"
+        f"</figure><p>{P}</p></article>", [P, "Rain", "12 mm", "Measured in May", P],
+    ),
+    "a title in a header class": (
+        f"<article><div class='entry-header'><h1>The title</h1><p>by A. Writer</p></div><p>{P}</p></article>",
+        ["The title", "by A. Writer", P],
+    ),
+    "columns in an article": (f"<main><div class='side-by-side'><p>{P}</p><p>{P}</p></div></main>", [P, P]),
+    "a share price": (f"<article><p>{P}</p><p class='share-price'>The price of a share rose to 12 crowns on the day before, said the bank in a note to all who had asked for one.</p></article>",
+                      [P, "The price of a share rose to 12 crowns on the day before, said the bank in a note to all who had asked for one."]),
+    "a bar of links in an article": (f"<article><p>{P}</p><div class='share'><a href=a>Send this page to a friend of yours by mail</a> <a href=b>Keep this page for later and read it at home</a></div></article>", [P]),
+    "comments of readers": (f"<article><p>{P}</p><section class='comments'><p>{P} I say.</p></section></article>", [P]),
+    "a closing paragraph in a container of its own": (
+        f"<body><div id=a><p>{P * 8}</p><p>{P * 8}</p></div><div id=b><p>And so the long story of the river came to its end, as all of them do.</p><p>{P}</p></div></body>",
+        [P * 8, P * 8, "And so the long story of the river came to its end, as all of them do.", P],
+    ),
+    "a line of rights": (
+        f"<body><div id=c><p>{P * 3}</p><p>{P}</p></div><div>Copyright 2020 by the Example Company of Anytown. All rights reserved in all countries of the world.</div></body>",
+        [P * 3, P],
+    ),
+    "a notice about cookies": (f"<body><div>We use cookies to make this site better for all who come to see it, and so do our partners.</div><div><h1>Head</h1><p>{P * 2}</p><p>{P}</p></div></body>",
+                               ["Head", P * 2, P]),
+}
+
+
+def test_pages_made_by_hand():
+    assert {k: html.main_text(page) for k, (page, _) in BY_HAND.items()} == {k: "\n".join(t) for k, (_, t) in BY_HAND.items()}
+
+
+def test_deep_pages_take_time_in_proportion():
+    import time
+
+    def seconds(page):
+        start = time.perf_counter()
+        html.main_text(page)
+        return time.perf_counter() - start
+
+    for page in ("<div>", "<b>", "<b><p>x", "<div></i>", "<a><li>"):
+        small, large = (min(seconds(page * n) for _ in range(2)) for n in (4_000, 32_000))
+        assert large < 30 * max(small, 0.01)

@@ -1,8 +1,10 @@
 """Main text of web pages by line-block distribution."""
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -27,7 +29,7 @@ _HIDDEN = frozenset(
     "script style noscript template svg math canvas iframe object audio video head title select datalist".split()
 )
 _RAW = frozenset("script style title textarea noscript iframe".split())
-_ASIDE = frozenset("nav header footer aside form menu dialog button fieldset textarea figure".split())
+_ASIDE = frozenset("nav header footer aside form menu dialog button fieldset textarea".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike "
@@ -42,6 +44,16 @@ _NAMES = frozenset(
     "cookie cookies consent notice notices gdpr popup modal overlay newsletter subscribe signup login share sharing "
     "social comment comments commentlist reply replies respond disqus pagination pager tags toolbar skip".split()
 )
+# Those of them that name parts of an article as well: inside article and main, the text of such
+# an element decides.
+_DOUBTFUL = frozenset(
+    "banner promotion side foot footer header masthead topbar notice notices widget widgets share sharing social tags "
+    "toolbar skip overlay".split()
+)
+# How a sentence ends, and words that it needs; what no sentence of an article says.
+_SENTENCE_END = re.compile(r"[.!?…。！？][\"'”’»)\]]*\Z")
+_SENTENCE_WORDS = 8
+_LEGAL = re.compile(r"©|\(c\)|copyright|all rights|cookie|privacy|terms of|newsletter|subscribe", re.I)
 _MAIN = frozenset("article main".split())
 _CONTAINERS = frozenset("div section td th header footer aside body html".split())
 _ROOTS = frozenset("body html".split())
@@ -57,10 +69,11 @@ _NAME_PARTS = re.compile(r"[A-Za-z]+")
 _SPACE = re.compile(r"\s+")
 
 
-def _is_aside(tag: str, attributes: str, inside_main: bool) -> bool:
-    """Whether an element holds something beside the article."""
+def _is_aside(tag: str, attributes: str, inside_main: bool) -> bool | None:
+    """Whether an element holds something beside the article; None if its text has to decide."""
     if tag in _ASIDE and not (tag == "header" and inside_main):
         return True
+    doubtful = False
     if not attributes or tag in ("body", "html"):
         return False
     for found in _ATTRIBUTE.finditer(attributes):
@@ -74,21 +87,56 @@ def _is_aside(tag: str, attributes: str, inside_main: bool) -> bool:
             return True
         if name in ("class", "id") and tag not in _MAIN:
             words = re.sub(r"([a-z])([A-Z])", r"\1 \2", value)
-            if not _NAMES.isdisjoint(w.lower() for w in _NAME_PARTS.findall(words)):
+            met = _NAMES.intersection(w.lower() for w in _NAME_PARTS.findall(words))
+            if met and not (inside_main and met <= _DOUBTFUL):
                 return True
-    return False
+            doubtful = doubtful or bool(met)
+    return None if doubtful else False
+
+
+class _Open(NamedTuple):
+    """An open element, with what holds inside it: of all elements around it, itself included."""
+
+    tag: str
+    hidden: bool = False
+    aside: bool = False
+    main: bool = False
+    links: int = 0
+    heading: bool = False
+    doubtful: int = 0  # number of the outermost element whose text has to decide
+    around: int = 0  # numbers of the innermost container and of the one around it
+    outer: int = 0
+    holds_text: bool = False  # no element that starts a line lies inside the innermost container
+
+    def inside(self, tag: str, is_aside: bool | None, number: int) -> "_Open":
+        inner = tag in _CONTAINERS and tag not in _ROOTS
+        return _Open(
+            tag,
+            self.hidden or tag in _HIDDEN,
+            self.aside or is_aside is True,
+            self.main or tag in _MAIN,
+            self.links + (tag == "a"),
+            self.heading or tag in _HEADINGS,
+            self.doubtful or (number if is_aside is None else 0),
+            number if inner else self.around,
+            self.around if inner else self.outer,
+            inner or (self.holds_text and tag in _INLINE),
+        )
+
+    def container(self) -> int:
+        """Elements that hold text directly are paragraphs of the container around them."""
+        if self.main:
+            return -1
+        return self.outer if self.holds_text and self.outer else self.around
 
 
 class _Block:
-    __slots__ = ("parts", "linked", "main", "aside", "container", "heading")
+    __slots__ = ("parts", "linked", "at")
 
-    def __init__(self, main: bool, aside: bool, container: int = 0, heading: bool = False):
+    def __init__(self, at: _Open):
         self.parts: list[str] = []
         self.linked = 0
-        self.main = main
-        self.aside = aside
-        self.container = container
-        self.heading = heading
+        self.at = at
 
 
 def blocks_of(page: str) -> list[tuple[str, int, bool, bool, int, bool]]:
@@ -102,37 +150,33 @@ def blocks_of(page: str) -> list[tuple[str, int, bool, bool, int, bool]]:
     line break inside a block is white space.
     """
     done: list[_Block] = []
-    stack: list[tuple[str, bool, bool, bool, int]] = []  # tag, hidden, aside, main, number
-    hidden = aside = main = heading = False
-    links = container = number = 0
-    block = _Block(False, False)
+    bottom = _Open("")
+    stack: list[_Open] = []
+    open_tags: Counter[str] = Counter()
+    at = bottom
+    number = 0
+    block = _Block(at)
     place = 0
 
-    def state() -> None:
-        nonlocal hidden, aside, main, links, container, heading
-        hidden = any(s[1] for s in stack)
-        aside = any(s[2] for s in stack)
-        main = any(s[3] for s in stack)
-        links = sum(s[0] == "a" for s in stack)
-        heading = any(s[0] in _HEADINGS for s in stack)
-        around = [s for s in stack if s[0] in _CONTAINERS and s[0] not in _ROOTS]
-        blocks = [s for s in stack if s[0] not in _INLINE]
-        if len(around) > 1 and around[-1] is blocks[-1]:
-            around.pop()
-        container = -1 if main else around[-1][4] if around else 0
-
     def cut() -> None:
         nonlocal block
         if block.parts:
             done.append(block)
-        block = _Block(main, aside, container, heading)
+        block = _Block(at)
+
+    def close(count: int) -> None:
+        """Close the innermost elements."""
+        nonlocal at
+        for _ in range(count):
+            open_tags[stack.pop().tag] -= 1
+        at = stack[-1] if stack else bottom
 
     def text(raw: str) -> None:
-        if hidden or not raw:
+        if at.hidden or not raw:
             return
         clear = unescape(raw)
         block.parts.append(clear)
-        if links:
+        if at.links:
             block.linked += len(_SPACE.sub("", clear))
 
     while place < len(page):
@@ -144,16 +188,17 @@ def blocks_of(page: str) -> list[tuple[str, int, bool, bool, int, bool]]:
         place = found.end()
         tag = (found[2] or "").lower()
         if not tag:
-            if found.group().startswith("<![CDATA[") and not hidden:
+            if found.group().startswith("<![CDATA[") and not at.hidden:
                 block.parts.append(found.group()[9:].removesuffix("]]>"))
             continue
         inline = tag in _INLINE
         if found[1]:
-            if any(s[0] == tag for s in stack):
-                while stack.pop()[0] != tag:
-                    pass
-                state()
-            if not inline or block.aside != aside:
+            if open_tags[tag]:
+                count = 1
+                while stack[-count].tag != tag:
+                    count += 1
+                close(count)
+            if not inline or block.at.aside != at.aside:
                 cut()
             continue
         attributes = found[3] or ""
@@ -165,35 +210,44 @@ def blocks_of(page: str) -> list[tuple[str, int, bool, bool, int, bool]]:
                 cut()
             continue
         # A new paragraph or list item ends an open one, and what is open inside it.
-        if tag in ("p", "li", "tr", "td", "th", "dt", "dd", "option") or (not inline and stack and stack[-1][0] == "p"):
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag or stack[i][0] == "p":
-                    del stack[i:]
-                    state()
-                    break
-                if stack[i][0] not in _INLINE:
-                    break
+        if tag in ("p", "li", "tr", "td", "th", "dt", "dd", "option") or (not inline and at.tag == "p"):
+            if open_tags[tag] or open_tags["p"]:
+                for count, element in enumerate(reversed(stack), 1):
+                    if element.tag in (tag, "p"):
+                        close(count)
+                        break
+                    if element.tag not in _INLINE:
+                        break
         if tag in _RAW and not attributes.rstrip().endswith("/"):
             end = re.compile(rf"</{tag}\b[^>]*>?", re.I).search(page, place)
             place = end.end() if end else len(page)
             if not inline:
                 cut()
             continue
-        is_aside = _is_aside(tag, attributes, main)
         number += 1
-        stack.append((tag, tag in _HIDDEN, is_aside, tag in _MAIN, number))
-        was = aside
-        state()
-        if not inline or aside != was:
+        was = at.aside
+        at = at.inside(tag, _is_aside(tag, attributes, at.main), number)
+        stack.append(at)
+        open_tags[tag] += 1
+        if not inline or at.aside != was:
             cut()
     if block.parts:
         done.append(block)
     out = []
+    doubtful: dict[int, list[int]] = {}
     for b in done:
         line = _SPACE.sub(" ", "".join(b.parts)).strip()
         if line:
-            out.append((line, b.linked, b.main, b.aside, b.container, b.heading))
-    return out
+            out.append((line, b))
+            if b.at.doubtful:
+                sums = doubtful.setdefault(b.at.doubtful, [0, 0, 0])
+                for i, n in enumerate((len(line.replace(" ", "")), b.linked, b.at.heading)):
+                    sums[i] += n
+    # Little text, or mostly links, and no heading: a bar beside the article, not a part of it.
+    bars = {k for k, (size, linked, heads) in doubtful.items() if not heads and (size < SURGE or linked >= LINK_SHARE * size)}
+    return [
+        (line, b.linked, b.at.main, b.at.aside or b.at.doubtful in bars, b.at.container(), b.at.heading) for line, b in out
+    ]
 
 
 def stretches(lengths: list[int], window: int = WINDOW, surge: int = SURGE) -> list[tuple[int, int]]:
@@ -250,13 +304,18 @@ def _weighed(lines: list[tuple[str, int, bool, bool, int, bool]]) -> list[int]:
     return lengths
 
 
+def _is_sentence(line: str) -> bool:
+    return bool(_SENTENCE_END.search(line)) and line.count(" ") >= _SENTENCE_WORDS - 1 and not _LEGAL.search(line)
+
+
 def main_text(page: str | None) -> str:
     """The article's blocks, one a line; empty if there is none.
 
     Text between the surges and dives of the line lengths is the article, or, if no window
     has that much, the longest run. Lines beside the article, and those that are mostly links
     outside of article and main, count as empty. Of the containers that such runs touch, those with
-    much text are kept, with their short lines, headings before them and what lies between.
+    much text are kept, or with nothing but sentences, with their short lines, headings before them
+    and what lies between. The time grows with the length of the page, however deep it nests.
     """
     lines = blocks_of(page or "")
     lengths = _weighed(lines)
@@ -270,7 +329,17 @@ def main_text(page: str | None) -> str:
         for i in range(a, b):
             held[lines[i][4]] = held.get(lines[i][4], 0) + lengths[i]
     most = max(held.values(), default=0)
-    kept = [i for i in range(len(lines)) if lengths[i] and held.get(lines[i][4], 0) >= max(1, DIVE_SHARE * most)]
+    texts: dict[int, list[str]] = {}
+    for i, line in enumerate(lines):
+        if lengths[i] and line[4] in held:
+            texts.setdefault(line[4], []).append(line[0])
+    article = {
+        c for c, own in texts.items()
+        if held[c] == most or c == -1 or (
+            not all(map(_LEGAL.search, own)) and (held[c] >= DIVE_SHARE * most or all(map(_is_sentence, own)))
+        )
+    }
+    kept = [i for i in range(len(lines)) if lengths[i] and lines[i][4] in article]
     if not kept:
         return ""
     first, last = kept[0], kept[-1]
@@ -285,7 +354,7 @@ def extract_text(
     """One row per page: its id and url, ``text`` and ``n_chars``.
 
     Null, empty and textless pages have an empty text. Each page is handled on its own,
-    whole; repeated rows give repeated results; a null id or url stays null; other columns
+    whole, however long; repeated rows give repeated results; a null id or url stays null; other columns
     are ignored. No rows give no rows.
     """
 
