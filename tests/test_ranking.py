@@ -1,8 +1,7 @@
-import numpy as np
 import pytest
 from pyspark.sql import Window, functions as F
 
-from tillwise.operators.ranking import exact_quantiles, with_ntile, with_position, with_running_total
+from tillwise.operators.ranking import with_ntile, with_position, with_running_total
 
 
 @pytest.fixture
@@ -38,15 +37,6 @@ def test_running_total(spark, many_slices):
     assert all(r.so_far == r.id * (r.id + 1) // 2 and r.overall == 500500 for r in rows)
 
 
-@pytest.mark.parametrize("values", [[5.0], [1.0, 2.0], [1.0] * 10 + [9.0], list(range(101)), [3, 1, 2, 2, 2, None]])
-def test_quantiles_interpolate_like_numpy(spark, many_slices, values):
-    df = spark.createDataFrame([(None if v is None else float(v),) for v in values], "v DOUBLE")
-    row = exact_quantiles(df, "v", {"median": 0.5, "high": 0.95, "low": 0.0, "top": 1.0}).first()
-    known = [v for v in values if v is not None]
-    expected = np.quantile(known, [0.5, 0.95, 0.0, 1.0])
-    assert np.allclose([row["median"], row["high"], row["low"], row["top"]], expected, rtol=0, atol=1e-12)
-
-
 def test_no_row_of_the_table_passes_through_a_single_task(spark, many_slices):
     """The only single-partition exchange holds one row per slice."""
     plan = with_ntile(spark.range(1000), ["id"], 4, "t")._jdf.queryExecution().executedPlan().toString()

@@ -1,4 +1,4 @@
-"""Exact positions, running totals, tiles and quantiles over a whole table.
+"""Exact positions, running totals and tiles over a whole table, in any order.
 
 A window without PARTITION BY moves every row to one task. Here the table is sorted
 across all tasks instead, each row is tagged with its sorted slice and its place in
@@ -90,33 +90,3 @@ def with_running_total(
             F.col("_total").alias(total),
         )
     )
-
-
-def exact_quantiles(df: DataFrame, column: str, probabilities: dict[str, float]) -> DataFrame:
-    """One row with linearly interpolated quantiles, a column per name in ``probabilities``.
-
-    Equal values are counted before the sort, so a value shared by many rows weighs
-    one row. The quantile is then read off the running count.
-    """
-    counted = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
-    running = with_running_total(counted, [column], "_n", "_end", "_all")
-
-    def place(probability: float) -> Column:
-        return F.lit(probability) * (F.col("_all") - 1)
-
-    picked = []
-    for name, probability in probabilities.items():
-        at_or_after = [
-            F.when(F.col("_end") > F.floor(place(probability)), F.col(column)),
-            F.when(F.col("_end") > F.ceil(place(probability)), F.col(column)),
-        ]
-        picked.append(F.min(at_or_after[0]).cast("double").alias(f"{name}_low"))
-        picked.append(F.min(at_or_after[1]).cast("double").alias(f"{name}_high"))
-    row = running.agg(*picked, F.max("_all").alias("_all"))
-
-    def interpolated(name: str, probability: float) -> Column:
-        low, high = F.col(f"{name}_low"), F.col(f"{name}_high")
-        part = place(probability) - F.floor(place(probability))
-        return (low + (high - low) * part).alias(name)
-
-    return row.select(*(interpolated(name, p) for name, p in probabilities.items()))

@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tillwise.functions.calendar import month_start, months_between_starts, period_label
 from tillwise.functions.numeric import money_sum, money_total, ratio, round_half_up
 from tillwise.operators.joins import join_lookup
-from tillwise.operators.ranking import exact_quantiles, with_running_total
+from tillwise.operators.ranking import with_running_total
+from tillwise.operators.selection import exact_quantiles
 from tillwise.operators.star import STORED_ONLY, YEAR_MONTH, Star
 
 
@@ -255,7 +256,7 @@ def spend_capped(customers: DataFrame, probability: float = 0.95) -> DataFrame:
 
     ``customers`` is the result of :func:`customer_orders`.
     """
-    cap = exact_quantiles(customers, "total_spend", {"cap": probability}).first()["cap"]
+    cap = exact_quantiles(customers, {"cap": ("total_spend", probability)})["cap"]
     return customers.select(
         "customer_id", "total_spend", F.least(F.col("total_spend"), F.lit(cap).cast("double")).alias("capped_spend")
     )
@@ -325,29 +326,63 @@ def kpis(star: Star) -> DataFrame:
 
 def measures(rows: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Total revenue, total orders, active customers and average order value, for the
-    whole input or per group. The average is blank where there are no orders."""
-    revenue = money_sum("revenue")
-    orders = F.count_distinct("invoice_no")
+    whole input or per group. The average is blank where there are no orders.
+
+    Lines are added up to one row per customer and order first. One row of each order is marked
+    and counted, and one row is left of each customer, so nothing has to be multiplied to
+    count two things that differ.
+    """
+    orders = rows.groupBy(*by, "customer_id", "invoice_no").agg(money_total("revenue").alias("amount"))
+    in_order = Window.partitionBy(*by, "invoice_no").orderBy("customer_id")
+    first = (F.row_number().over(in_order) == 1) & F.col("invoice_no").isNotNull()
+    marked = orders.withColumn("marked", first.cast("bigint"))
+    customers = marked.groupBy(*by, "customer_id").agg(F.sum("amount").alias("amount"), F.sum("marked").alias("orders"))
     return (
-        rows.groupBy(*by)
+        customers.groupBy(*by)
         .agg(
-            revenue.alias("total_revenue"),
-            orders.alias("total_orders"),
-            F.count_distinct("customer_id").alias("active_customers"),
+            F.sum("amount").cast("double").alias("total_revenue"),
+            F.coalesce(F.sum("orders"), F.lit(0)).alias("total_orders"),
+            F.count("customer_id").alias("active_customers"),
         )
         .withColumn("avg_order_value", ratio(F.col("total_revenue"), F.col("total_orders")))
     )
 
 
+# Of 2^12 registers; the standard error of a count is 1.04 / 2^6, that is 1.6 %.
+SKETCH_BITS = 12
+
+
+def measures_cube(star: Star) -> DataFrame:
+    """Revenue, and sketches of orders and customers, by month and country: a small table that
+    can be rolled up to any coarser grain."""
+    located = join_lookup(
+        star.fact.select("customer_id", "invoice_no", "date_key", "revenue"), star.customers, "customer_id"
+    )
+    return located.groupBy(month_start(F.col("date_key")).alias("first_day"), "country").agg(
+        money_total("revenue").alias("amount"),
+        F.hll_sketch_agg("invoice_no", SKETCH_BITS).alias("orders"),
+        F.hll_sketch_agg("customer_id", SKETCH_BITS).alias("customers"),
+    )
+
+
+def roll_up(cube: DataFrame, *by: Column | str) -> DataFrame:
+    """The measures at a coarser grain of the cube: revenue exactly, orders and customers within
+    three standard errors of about 1.6 %, at a cost that does not depend on the lines."""
+    merged = cube.groupBy(*by).agg(
+        F.sum("amount").cast("double").alias("total_revenue"),
+        F.hll_sketch_estimate(F.hll_union_agg("orders")).alias("total_orders"),
+        F.hll_sketch_estimate(F.hll_union_agg("customers")).alias("active_customers"),
+    )
+    return merged.withColumn("avg_order_value", ratio(F.col("total_revenue"), F.col("total_orders")))
+
+
 def key_stats(star: Star, customers: DataFrame) -> DataFrame:
     """Customers, medians, best month and best product in one row.
 
     ``customers`` is the result of :func:`customer_orders`. The first month wins a tie.
     """
-    medians = {
-        column: F.lit(exact_quantiles(customers, column, {"median": 0.5}).first()["median"]).cast("double")
-        for column in ("n_orders", "total_spend")
-    }
+    found = exact_quantiles(customers, {column: (column, 0.5) for column in ("n_orders", "total_spend")})
+    medians = {column: F.lit(value).cast("double") for column, value in found.items()}
     nothing = {"period": None, "description": None, "revenue": None}
     best_month = monthly_labelled(star).orderBy(F.desc("revenue"), "year", "month").first() or nothing
     best_product = top_descriptions(star, 1).first() or nothing

@@ -8,7 +8,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillwise.functions.numeric import money_sum, money_total, round_half_even, round_half_up
-from tillwise.operators.ranking import with_ntile
+from tillwise.operators.selection import with_ntiles
 from tillwise.operators.star import Star
 
 # Segment names from the best to the worst ranked cluster.
@@ -45,12 +45,12 @@ def rfm_base(star: Star) -> DataFrame:
 def rfm_scores(rfm: DataFrame) -> DataFrame:
     """Quartile scores 1..4; 4 is most recent, most frequent, highest spend.
 
-    Each score sorts the customers once and adds its column, so the scores need no
-    join with each other. Ties are broken by customer.
+    The customers where a quartile begins are found for all three scores in the same passes;
+    nothing is sorted but the result. Ties are broken by customer. ``rfm`` should be a written table.
     """
-    scored = with_ntile(rfm, [F.desc("recency_days"), "customer_id"], 4, "recency_score")
-    scored = with_ntile(scored, ["frequency", "customer_id"], 4, "frequency_score")
-    scored = with_ntile(scored, ["monetary", "customer_id"], 4, "monetary_score")
+    scored = with_ntiles(
+        rfm, 4, "customer_id", recency_score=("recency_days", True), frequency_score="frequency", monetary_score="monetary"
+    )
     return scored.withColumn("monetary", round_half_up(F.col("monetary"), 2)).orderBy(
         F.desc("monetary"), "customer_id"
     )

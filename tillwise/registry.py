@@ -9,7 +9,7 @@ from tillwise.functions.text import bare_statement, fenced_sql
 from tillwise.functions.calendar import parse_wall_time
 from tillwise.operators.cleaning import DEFAULT_PATTERN, clean, clean_report
 from tillwise.operators.quality import foreign_key_check, primary_key_check
-from tillwise.operators.ranking import with_ntile
+from tillwise.operators.selection import with_ntiles
 from tillwise.operators.star import YEAR_MONTH, load_report
 from tillwise.plans import feed, forecast, guard, reports, segments
 from tillwise.sources import trade
@@ -158,7 +158,7 @@ _QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "ytd_revenue": lambda w: reports.year_to_date(w.star()),
     # customer value and segments
     "rfm_scores": lambda w: segments.rfm_scores(w.rfm()),
-    "global_ntile": lambda w: with_ntile(w.customer_orders(), ["total_spend", "customer_id"], 10, "decile").select(
+    "global_ntile": lambda w: with_ntiles(w.customer_orders(), 10, "customer_id", decile="total_spend").select(
         "customer_id", "total_spend", "decile"
     ),
     "rfm_base": lambda w: w.rfm(),
