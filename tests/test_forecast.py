@@ -93,3 +93,33 @@ def test_one_series_and_series_by_key_have_the_same_additive_fit(spark):
 def test_one_series_needs_no_python(spark):
     plan = fc.fit_additive(series(spark, [1.0, 2.0, 4.0] * 10))._jdf.queryExecution().executedPlan().toString()
     assert "Pandas" not in plan and "Python" not in plan
+
+
+def test_a_wrong_date_is_an_error(spark):
+    days = spark.createDataFrame([(date(2020, 1, 1), 1.0), (date(9999, 1, 1), 1.0)], "ds DATE, y DOUBLE")
+    with pytest.raises(PySparkException, match="too many days after 2020-01-01"):
+        fc.fill_days(days).count()
+    long = spark.sql("SELECT explode(sequence(DATE '1800-01-01', DATE '2030-01-01')) AS ds, 1.0D AS y")
+    with pytest.raises(PySparkException, match="cannot be fitted"):
+        fc.fit_additive(long)
+
+
+@pytest.mark.parametrize("keys", [[], ["country"]])
+def test_the_interval_widens_with_the_days_ahead(spark, keys):
+    pick = np.random.default_rng(2)
+    values = np.cumsum(np.repeat(pick.normal(0, 1.0, 25), 24)) + pick.normal(0, 2.0, 600) + 100
+    table = fc.forecast_table(series(spark, values.tolist(), key="X" if keys else None), 90, keys, fc.fit_additive)
+    rows = table.orderBy("ds").collect()
+    widths = [r.upper - r.lower for r in rows]
+    assert np.allclose(widths[:600], widths[0]) and np.all(np.diff(widths[600:]) > 0)
+    assert all(abs((r.upper + r.lower) / 2 - r.forecast) < 1e-9 for r in rows)
+
+
+def test_about_four_of_five_held_out_days_lie_in_the_interval(spark, small):
+    from tillwise.warehouse import Warehouse
+
+    daily = fc.fill_days(fc.daily_revenue(Warehouse(spark, small).fact()))
+    marked = fc.mark_holdout(daily, 60).withColumn("actual", F.col("y"))
+    fitted = fc.fit_additive(marked.withColumn("y", F.when(~F.col("is_test"), F.col("y"))))
+    inside = fitted.where("is_test").agg(F.avg(F.col("actual").between(F.col("yhat_lower"), F.col("yhat_upper")).cast("int")))
+    assert 0.7 <= inside.first()[0] <= 0.95

@@ -14,15 +14,18 @@ from collections.abc import Callable, Sequence
 import numpy as np
 import pandas as pd
 from pyspark.errors import PySparkValueError
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tillwise.functions.numeric import money_sum
+from tillwise.functions.numeric import money_sum, money_total
+from tillwise.operators.star import Star
+from tillwise.sources.staging import stage
 
 # Half-width of an 80 % normal interval.
 INTERVAL_Z = 1.2816
 
+# Days a series may span; more come from a wrong date, not from sales.
+MOST_DAYS = 200 * 366
+
 Model = Callable[[DataFrame, Sequence[str]], DataFrame]
 
 
@@ -31,16 +34,28 @@ def daily_revenue(fact: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return fact.groupBy(*keys, F.col("date_key").alias("ds")).agg(money_sum("revenue").alias("y"))
 
 
+def daily_revenue_by_country(star: Star) -> DataFrame:
+    """Revenue per country of the customer and day: ``country, ds, y``.
+
+    Lines are added up to one row per customer and day before the customers are joined.
+    """
+    spent = star.fact.groupBy("customer_id", F.col("date_key").alias("ds")).agg(money_total("revenue").alias("amount"))
+    located = spent.join(star.customers, "customer_id")
+    return located.groupBy("country", "ds").agg(F.sum("amount").cast("double").alias("y"))
+
+
 def fill_days(daily: DataFrame, keys: Sequence[str] = (), horizon: int = 0) -> DataFrame:
     """A row for every day, zero where nothing was sold, NULL for ``horizon`` days after
     the last one.
 
     Each row stretches to the day before the next one, so the series is read once and
-    joined with nothing.
+    joined with nothing. A gap of more than ``MOST_DAYS`` is an error.
     """
     in_order = Window.partitionBy(*keys).orderBy("ds")
     stretched = daily.withColumn("next_ds", F.lead("ds").over(in_order))
     until = F.coalesce(F.date_sub("next_ds", 1), F.date_add("ds", horizon))
+    too_long = F.raise_error(F.concat(F.lit("a gap of too many days after "), F.col("ds").cast("string")))
+    until = F.when(F.datediff(until, "ds") > MOST_DAYS, too_long.cast("date")).otherwise(until)
     days = stretched.withColumn("day", F.explode(F.sequence("ds", until)))
     y = F.when(F.col("day") == F.col("ds"), F.col("y")).when(F.col("next_ds").isNotNull(), F.lit(0.0))
     return days.select(*keys, F.col("day").alias("ds"), y.alias("y"))
@@ -84,8 +99,8 @@ def fit_linear(series: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def _additive_fit() -> Callable[[pd.DataFrame], pd.DataFrame]:
-    """The fit of one series.
+def _additive_fit() -> tuple[Callable, Callable]:
+    """The fit of one series: its weights from days and values, and the whole of it as a frame.
 
     Local functions travel to the executors by value, so the package need not be
     installed there.
@@ -110,88 +125,81 @@ def _additive_fit() -> Callable[[pd.DataFrame], pd.DataFrame]:
                 columns += [np.sin(angle), np.cos(angle)]
         return np.column_stack(columns)
 
+    def solve(days: np.ndarray, y: np.ndarray) -> tuple[float, float, np.ndarray, float, float]:
+        """First day, span, weights, deviation of the residuals, and how much the variance grows
+        with the cube of the days after the last one.
+
+        Ridge regression; level and overall slope are hardly penalised. The trend goes on to
+        bend in the future as often as in the past, and as much on average: bends of
+        size b at rate r add r b^2 h^3 / 3 to the variance h days ahead, twice that as
+        their sizes vary like those of the past.
+        """
+        first, span = float(days.min()), float(days.max() - days.min())
+        x = design(days, first, span)
+        size = max(np.abs(y).max(), 1.0)
+        penalty = np.diag([1e-9, 1e-6] + [1.0] * (x.shape[1] - 2))
+        weights = np.linalg.solve(x.T @ x + penalty, x.T @ (y / size)) * size
+        bend = np.abs(weights[2:27]).mean() / max(span, 1.0)
+        growth = 25 / (0.8 * max(span, 1.0)) * 2 * bend**2 / 3
+        return first, span, weights, float(np.std(y - x @ weights)), float(growth)
+
     def fit(frame: pd.DataFrame) -> pd.DataFrame:
-        """Ridge regression; level and overall slope are hardly penalised."""
         frame = frame.sort_values("ds", ignore_index=True)
         days = (pd.to_datetime(frame["ds"]) - pd.Timestamp(0)).dt.days.to_numpy(float)
         y = frame["y"].to_numpy(float)
         known = ~np.isnan(y)
-        first, last = days[known].min(), days[known].max()
-        x = design(days, first, last - first)
-        size = max(np.abs(y[known]).max(), 1.0)
-        penalty = np.diag([1e-9, 1e-6] + [1.0] * (x.shape[1] - 2))
-        seen = x[known]
-        weights = np.linalg.solve(seen.T @ seen + penalty, seen.T @ (y[known] / size))
-        yhat = x @ weights * size
-        spread = INTERVAL_Z * np.std(y[known] - yhat[known])
+        first, span, weights, deviation, growth = solve(days[known], y[known])
+        yhat = design(days, first, span) @ weights
+        ahead = np.maximum(days - first - span, 0.0)
+        spread = INTERVAL_Z * np.sqrt(deviation**2 + growth * ahead**3)
         return frame.assign(yhat=yhat, yhat_lower=yhat - spread, yhat_upper=yhat + spread)
 
-    return fit
-
-
-# Bends of the trend lie in the first part of the history.
-_BENDS = [0.8 * i / 25 for i in range(1, 26)]
-
-# The slope is hardly penalised: its column is that much larger than the others.
-_SLOPE_SCALE = 1000.0
+    return solve, fit
 
 
-def _design(day: Column, first: int, span: int) -> dict[str, Column]:
-    """The columns that ``_additive_fit`` builds, for a whole table; without the level."""
-    when = (day - first) / F.lit(max(float(span), 1.0))
-    columns = {"slope": when * F.lit(_SLOPE_SCALE)}
-    for i, bend in enumerate(_BENDS):
-        columns[f"bend{i}"] = F.greatest(when - F.lit(bend), F.lit(0.0))
+def _design(day: Column, first: float, span: float) -> list[Column]:
+    """The columns that ``_additive_fit`` builds, as expressions."""
+    when = (day - F.lit(first)) / F.lit(max(span, 1.0))
+    columns = [F.lit(1.0), when, *(F.greatest(when - F.lit(0.8 * i / 25), F.lit(0.0)) for i in range(1, 26))]
     waves = [(365.25, 10)] * (span >= 730) + [(7.0, 3)] * (span >= 14)
     for period, order in waves:
         for n in range(1, order + 1):
             angle = day * F.lit(2.0 * math.pi * n / period)
-            columns[f"sin{period:g}_{n}".replace(".", "_")] = F.sin(angle)
-            columns[f"cos{period:g}_{n}".replace(".", "_")] = F.cos(angle)
+            columns += [F.sin(angle), F.cos(angle)]
     return columns
 
 
 def _fit_whole(series: DataFrame) -> DataFrame:
-    """The additive model of one series: the normal equations are added up across all
-    tasks, and the forecast is a column."""
+    """The additive model of one series. It has a row a day, so the driver can solve for its
+    weights, of at most ``MOST_DAYS`` days; the forecast is a column."""
+    series = stage(series, "series")
     day = F.datediff("ds", F.lit("1970-01-01").cast("date")).cast("double")
-    known = series.where("y IS NOT NULL")
-    n, low, high, top, spread = known.agg(
-        F.count(F.lit(1)), F.min(day), F.max(day), F.max(F.abs("y")), F.stddev_samp("y")
-    ).first()
-    if not n:
+    rows = series.where("y IS NOT NULL").select(day.alias("day"), "y").orderBy("day").limit(MOST_DAYS + 1).collect()
+    if not rows:
         raise PySparkValueError("a series without a known day cannot be fitted")
-    size = max(top, 1.0)
-    columns = _design(day, int(low), int(high - low))
-    assembler = VectorAssembler(inputCols=list(columns), outputCol="_features")
-    points = assembler.transform(series.withColumns(columns)).drop(*columns)
-    if not spread:
-        fitted = series.withColumn("yhat", F.lit(float(known.agg(F.avg("y")).first()[0])))
-    else:
-        # Ridge regression. The library divides the penalty by the deviation of the label.
-        regression = LinearRegression(
-            featuresCol="_features", labelCol="_label", predictionCol="_fit", solver="normal",
-            regParam=spread / size / n, elasticNetParam=0.0, standardization=False,
-        )
-        labelled = points.where("y IS NOT NULL").withColumn("_label", F.col("y") / F.lit(size))
-        fitted = regression.fit(labelled).transform(points)
-        fitted = fitted.withColumn("yhat", F.col("_fit") * F.lit(size)).drop("_fit", "_features")
-    error = fitted.agg(F.stddev_pop(F.col("y") - F.col("yhat"))).first()[0] or 0.0
-    margin = F.lit(INTERVAL_Z * error)
+    if len(rows) > MOST_DAYS:
+        raise PySparkValueError(f"a series of more than {MOST_DAYS} days cannot be fitted")
+    solve, _ = _additive_fit()
+    first, span, weights, deviation, growth = solve(*(np.array(c, float) for c in zip(*rows, strict=True)))
+    # Sums of columns times weights, as one expression over two arrays.
+    pairs = F.zip_with(F.array(*_design(day, first, span)), F.array(*(F.lit(float(w)) for w in weights)), lambda a, b: a * b)
+    fitted = series.withColumn("yhat", F.aggregate(pairs, F.lit(0.0), lambda total, x: total + x))
+    ahead = F.greatest(day - F.lit(first + span), F.lit(0.0))
+    margin = F.lit(INTERVAL_Z) * F.sqrt(F.lit(deviation**2) + F.lit(growth) * ahead * ahead * ahead)
     return fitted.withColumn("yhat_lower", F.col("yhat") - margin).withColumn("yhat_upper", F.col("yhat") + margin)
 
 
 def fit_additive(series: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Piecewise linear trend with yearly and weekly seasonality.
 
-    With ``keys`` each series, one row a day, is fitted by itself in one task; a single
-    series is fitted by all tasks together.
+    With ``keys`` each series, one row a day, is fitted by itself in one task. The interval
+    widens with the days ahead, as the trend may bend again.
     """
     if not keys:
         return _fit_whole(series)
     schema = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in series.schema)
     schema += ", yhat DOUBLE, yhat_lower DOUBLE, yhat_upper DOUBLE"
-    return series.groupBy(*keys).applyInPandas(_additive_fit(), schema)
+    return series.groupBy(*keys).applyInPandas(_additive_fit()[1], schema)
 
 
 def forecast_table(

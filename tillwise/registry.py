@@ -169,9 +169,9 @@ _QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "segment_profile": lambda w: segments.segment_profile(_fixed_clusters(w)),
     "segment_table": lambda w: segments.segment_table(_fixed_clusters(w)),
     "rfm_clusters": lambda w: w.segments(),
-    "segment_by_country": lambda w: segments.segment_by_country(w.segments(), w.star().customers),
-    "segment_share": lambda w: segments.segment_share(w.segments()),
-    "at_risk_customers": lambda w: segments.at_risk_customers(w.segments()),
+    "segment_by_country": lambda w: segments.segment_by_country(_fixed_clusters(w), w.star().customers),
+    "segment_share": lambda w: rounded(segments.segment_share(_fixed_clusters(w)), 9, "customer_share", "monetary_share"),
+    "at_risk_customers": lambda w: segments.at_risk_customers(_fixed_clusters(w)),
     # series and forecast
     "daily_revenue": lambda w: _daily(w),
     "daily_revenue_filled": lambda w: forecast.fill_days(_daily(w)),
@@ -185,6 +185,10 @@ _QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
         forecast.fit_linear(forecast.fill_days(_daily(w), horizon=90)), 2, "yhat", "yhat_lower", "yhat_upper"
     ),
     "forecast_additive": lambda w: _forecast(w, forecast.fit_additive),
+    "forecast_by_country": lambda w: rounded(
+        forecast.forecast_table(w.daily_by_country(), keys=["country"]), 1, "forecast", "lower", "upper"
+    ),
+    "holdout_additive": lambda w: forecast.holdout_score(_daily(w), model=forecast.fit_additive),
     "forecast_table": lambda w: rounded(_forecast(w), 2, "forecast", "lower", "upper"),
     "forecast_total": lambda w: rounded(forecast.forecast_total(_forecast(w)), 2, "forecast_revenue"),
     "holdout_score": lambda w: rounded(forecast.holdout_score(_daily(w)), 4, "mae", "mape"),

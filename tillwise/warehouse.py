@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillwise.operators.cleaning import clean
 from tillwise.operators.star import Star
-from tillwise.plans import guard, pipeline, reports, segments
+from tillwise.plans import forecast, guard, pipeline, reports, segments
 from tillwise.sources import trade
 from tillwise.sources.numbered import read_log
 from tillwise.sources.snapshots import Snapshot
@@ -67,6 +67,9 @@ class Warehouse:
     def segments(self) -> DataFrame:
         return self._once("segments", lambda: segments.segment_customers(self.rfm()))
 
+    def daily_by_country(self) -> DataFrame:
+        return self._once("daily_by_country", lambda: forecast.daily_revenue_by_country(self.star()))
+
     def query_history(self) -> DataFrame:
         """Audit log of all questions: the answered ones, then the failed ones."""
         key = (*self._key, "query_history")
