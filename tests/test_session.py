@@ -37,3 +37,21 @@ def test_a_cluster_needs_a_configured_folder():
 
 def test_a_staged_table_keeps_its_rows(spark):
     assert staging.stage(spark.range(10), "numbers").count() == 10
+
+
+def test_staged_tables_go_with_the_application(tmp_path):
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parent.parent
+    script = f"""
+import sys; sys.path.insert(0, {str(root)!r})
+from pyspark.sql import SparkSession
+from tillwise.sources.staging import stage
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", {str(tmp_path)!r}).getOrCreate()
+staged = stage(spark.range(5), "numbers")
+assert staged.count() == 5 and staged.inputFiles()[0].startswith("file://{tmp_path}")
+"""
+    subprocess.run([sys.executable, "-c", script], check=True, timeout=120)
+    assert list(Path(tmp_path, "tillwise").iterdir()) == []

@@ -4,10 +4,17 @@ A staged table is a Parquet table: it cuts the lineage, so a lost executor costs
 at most a re-read, it keeps column pruning, and its rows can no longer change.
 """
 
+import atexit
+from contextlib import suppress
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tillwise.sources.shared import SharedFolder
+
+_to_remove: set[str] = set()
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's checkpoint folder; local sessions may do without one and use a
     folder of their warehouse."""
@@ -19,10 +26,19 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{spark.conf.get('spark.sql.warehouse.dir', 'spark-warehouse')}/_staged"
 
 
+def _remove(spark: SparkSession, folder: str) -> None:
+    with suppress(Exception):  # the session may have ended before
+        SharedFolder(spark, folder).delete("")
+
+
 def new_path(spark: SparkSession, label: str) -> str:
-    """An unused place in the shared folder."""
-    application = spark.sparkContext.applicationId
-    return f"{shared_folder(spark)}/tillwise/{application}/{label}-{uuid4().hex}"
+    """An unused place in the shared folder. What an application puts there is removed when its
+    driver ends; a driver that is killed leaves a folder named after the application."""
+    folder = f"{shared_folder(spark)}/tillwise/{spark.sparkContext.applicationId}"
+    if folder not in _to_remove:
+        _to_remove.add(folder)
+        atexit.register(_remove, spark, folder)
+    return f"{folder}/{label}-{uuid4().hex}"
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
