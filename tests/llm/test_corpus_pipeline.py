@@ -47,6 +47,9 @@ def test_registered_queries_have_their_columns(spark, small):
         "op7_tokens": "doc_id start n_tokens ids_crc32",
         "op8_pii": "doc_id n_email n_ip n_card n_phone base_sha256 spans",
         "op9_toxicity": "doc_id held_out score predicted",
+        "op11_manifest": "doc_id leaf subroot root proof_sha256 folded_root verified",
+        "op12_whitening": "vec_id component n deviation whitened explained identity_error",
+        "op13_warc": "page_id payload_bytes payload_digest record_type refers_to",
         "pipeline": "doc_id start n_tokens ids_crc32",
     }
     for name, wanted in columns.items():
