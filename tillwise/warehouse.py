@@ -13,10 +13,9 @@ from tillwise.operators.star import Star
 from tillwise.plans import forecast, guard, pipeline, reports, segments
 from tillwise.sources import trade
 from tillwise.sources.numbered import read_log
-from tillwise.sources.snapshots import Snapshot
 from tillwise.sources.staging import new_path, stage
 
-_tables: dict[tuple, DataFrame | Snapshot] = {}
+_tables: dict[tuple, DataFrame | Star] = {}
 
 
 class Warehouse:
@@ -52,8 +51,9 @@ class Warehouse:
         """The star as the pipeline stores it, the fact by month."""
         key = (*self._key, "star")
         if key not in _tables:
-            _tables[key] = pipeline.commit_star(self.clean(), new_path(self.spark, "star"))
-        return pipeline.star_of(self.spark, _tables[key])
+            written = pipeline.commit_star(self.clean(), new_path(self.spark, "star"))
+            _tables[key] = pipeline.star_of(self.spark, written)
+        return _tables[key]
 
     def fact(self) -> DataFrame:
         return self.star().fact
