@@ -24,22 +24,28 @@ _NTH = r"(\d{1,2})(?:st|nd|rd|th)?"
 
 _DATE = "|".join([
     r"(\d{4})([-/.])(\d{1,2})\2(\d{1,2})",  # 1 year, 3 month, 4 day
-    r"(\d{1,2})([-/.])(\d{1,2})\6(\d{4}|\d{2})",  # 5 first, 6 separator, 7 second, 8 year
-    rf"{_NTH}[ -]?{_MONTH}[ ,-]*(\d{{4}})",  # 9 day, 10 month, 11 year
-    rf"{_MONTH}[ -]*{_NTH}(?:, *| +|-)(\d{{4}})",  # 12 month, 13 day, 14 year
-    r"(\d{4})(\d\d)(\d\d)",  # 15 year, 16 month, 17 day
+    r"(\d{1,2})([-/])(\d{1,2})\6(\d{4}|\d{2})",  # 5 first, 6 separator, 7 second, 8 year
+    r"(\d{1,2})\.(\d{1,2})\.(\d{4}|\d{2})",  # 9 day, 10 month, 11 year
+    rf"{_NTH}[ -]?{_MONTH}[ ,-]*(\d{{4}})",  # 12 day, 13 month, 14 year
+    rf"{_MONTH}[ -]*{_NTH}(?:, *| +|-)(\d{{4}})",  # 15 month, 16 day, 17 year
+    r"(\d{4})(\d\d)(\d\d)",  # 18 year, 19 month, 20 day
 ])
-# 18 hour, 19 minute, 20 second, 21 fraction, 22 am or pm
+# 21 hour, 22 minute, 23 second, 24 fraction, 25 am or pm
 _CLOCK = r"(?:[t ]|, ?) *(\d{1,2}):(\d{1,2})(?::(\d{1,2})(?:[.,](\d{1,9}))?)?(?: *([ap])\.?m\.?)?"
-# 23 hour, 24 minute, 25 second
+# 26 hour, 27 minute, 28 second
 _DIGITS = r"[t ]?(\d\d)(\d\d)(\d\d)?"
 _ZONE = r"(?: *(?:z|utc|gmt|[+-]\d\d:?(?:\d\d)?))?"
 _WEEKDAY = r"(?:(?:mon|tue|wed|thu|fri|sat|sun)[a-z]*,? +)?"
-_WHOLE = rf"(?i)\A\s*{_WEEKDAY}(?:{_DATE})(?:(?:{_CLOCK}|{_DIGITS}){_ZONE})?\s*\z"
+_WHOLE = rf"\A\s*{_WEEKDAY}(?:{_DATE})(?:(?:{_CLOCK}|{_DIGITS}){_ZONE})?\s*\z"
 
-# Of the groups of one part only one is not empty.
-_PARTS = ("$1$8$11$14$15", "$3$16", "$4$9$13$17", "$10$12", "$5", "$7", "$6", "$18$23", "$19$24", "$20$25", "$21", "$22")
-_BETWEEN = "\x01"
+# What is made of a text: am or pm, a bar, and the date as a cast reads it. Of the groups for one
+# place only one is not empty.
+_MADE = "\x01"
+_YEAR, _TIME = "$1$8$11$14$17$18", "$21$26:$22$27:$23$28.$24"
+_MONTH_DAY = {
+    Order.MONTH_FIRST: "$3$5$10$13$15$19-$4$7$9$12$16$20",
+    Order.DAY_FIRST: "$3$7$10$13$15$19-$4$5$9$12$16$20",
+}
 
 # Two digits of a year from this one on are of the last century, whatever today is.
 _PIVOT = 69
@@ -47,29 +53,28 @@ _PIVOT = 69
 
 def read_date(text: Column, order: Order = Order.MONTH_FIRST) -> Column:
     """The wall time of a text; NULL for another text and for days and times that do not exist."""
-    pieces = F.split(F.regexp_replace(text, F.lit(_WHOLE), F.lit(_BETWEEN.join(_PARTS))), _BETWEEN)
-
-    def built(p: Column) -> Column:
-        def number(i: int) -> Column:
-            return F.get(p, F.lit(i)).try_cast("int")
-
-        written, dotted = F.get(p, F.lit(0)), F.get(p, F.lit(6)) == "."
-        year = number(0) + F.when(F.length(written) > 2, 0).when(number(0) < _PIVOT, 2000).otherwise(1900)
-        named = F.nullif(F.array_position(F.array(*map(F.lit, MONTHS)), F.lower(F.get(p, F.lit(3)))).cast("int"), F.lit(0))
-        day_first = dotted if order == Order.MONTH_FIRST else F.lit(True)
-        month = F.coalesce(number(1), named, F.when(day_first, number(5)).otherwise(number(4)))
-        day = F.coalesce(number(2), F.when(day_first, number(4)).otherwise(number(5)))
-        half = F.lower(F.get(p, F.lit(11)))
-        hour = F.coalesce(number(7), F.lit(0))
-        hour = F.when(half == "", hour).when(hour.between(1, 12), hour % 12 + F.when(half == "p", 12).otherwise(0))
-        fraction = F.rpad(F.get(p, F.lit(10)), 6, "0").try_cast("int")
-        second = F.coalesce(number(9), F.lit(0))
-        seconds = second.cast("decimal(8,6)") + F.coalesce(fraction, F.lit(0)).cast("decimal(8,0)") * F.lit("0.000001").cast("decimal(7,6)")
-        at = F.try_make_timestamp_ntz(year, month, day, hour, F.coalesce(number(8), F.lit(0)), seconds)
-        return F.when((F.size(p) == len(_PARTS)) & (second < 60) & (year > 0), at)
-
-    # The pieces are made once, for all that is read off them.
-    return F.get(F.transform(F.array(pieces), built), F.lit(0))
+    written = F.lit(f"{_MADE}$25|{_YEAR}-{_MONTH_DAY[order]} {_TIME}")
+    made = F.regexp_replace(F.lower(text), F.lit(_WHOLE), written)
+
+    def numbered(date: Column) -> Column:
+        """Month names as numbers."""
+        for i, name in enumerate(MONTHS, 1):
+            date = F.replace(date, F.lit(f"-{name}-"), F.lit(f"-{i}-"))
+        return date
+
+    def built(m: Column) -> Column:
+        date = F.rtrim(F.substring_index(m, "|", -1), F.lit(":. "))
+        date = F.when(date.rlike("[a-z]"), numbered(date)).otherwise(date)
+        century = F.when(F.substring(date, 1, 2).try_cast("int") < _PIVOT, "20").otherwise("19")
+        date = F.when(F.instr(date, "-") == 3, F.concat(century, date)).otherwise(date)
+        at = F.when(~date.startswith("0000"), date.try_cast("timestamp_ntz"))
+        half = F.substring(m, 2, 1)
+        hours = F.make_dt_interval(F.lit(0), F.hour(at) % 12 - F.hour(at) + F.when(half == "p", 12).otherwise(0))
+        of_half = F.when(F.hour(at).between(1, 12), at + hours)
+        return F.when(m.startswith(_MADE), F.when(half == "|", at).otherwise(of_half))
+
+    # Made once, for all that is read off it.
+    return F.get(F.transform(F.array(made), built), F.lit(0))
 
 
 class MixedOrders(ValueError):
