@@ -2,7 +2,8 @@
 
 A position is a byte of a document; its rank of length L names the L bytes that start
 there, so that equal ranks mean equal bytes. Inside one document ranks of 1, 2, 4, ... 64
-bytes are doubled in one vectorised pass: the name of 2L bytes mixes the names of two halves.
+bytes are doubled in one vectorised pass: up to eight bytes are their own name, from there on
+the name of 2L bytes mixes the names of two halves into 64 bits.
 Across documents Spark sorts pairs of ranks at growing offsets and drops positions whose
 pair nobody else has:
 
@@ -28,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillwise.llm.common import Scratch, slices
-from tillwise.operators.ranking import with_position
+from tillwise.operators.ranking import with_running_total
 
 LENGTH = 100
 ANCHOR = 32
@@ -46,13 +47,17 @@ def _mix(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 
 def names(data: np.ndarray, length: int) -> dict[int, np.ndarray]:
-    """Names of all strings of 1, 2, 4, ... up to ``length`` bytes, by prefix doubling."""
-    one = _mix(data.astype(np.uint64), np.full(len(data), _A))
-    out, size = {1: one}, 1
+    """Names of all strings of 8, 16, ... up to ``length`` bytes, by prefix doubling."""
+    last, size = data, 1
+    for wide in (np.uint16, np.uint32, np.uint64):  # the bytes themselves
+        left, right = last[: max(len(last) - size, 0)].astype(wide), last[size:].astype(wide)
+        last = left | (right << wide(8 * size))
+        size *= 2
+    out = {size: last}
     while 2 * size <= length:
-        last = out[size]
-        out[2 * size] = _mix(last[:-size], last[size:]) if len(last) > size else last[:0]
+        last = _mix(last[:-size], last[size:]) if len(last) > size else last[:0]
         size *= 2
+        out[size] = last
     return out
 
 
@@ -271,38 +276,42 @@ def _later(rows: DataFrame, keys: list[str], order: Column, scratch: Scratch, na
     """The rows that are not the first of their keys; the first is found before the join."""
     first = rows.groupBy(*keys).agg(F.min(order).alias("least"), F.count(F.lit(1)).alias("n"))
     first = scratch.save(first.where("n > 1").drop("n"), f"{name}-first")
+    scratch.release()
     return rows.join(first, keys).where(order > F.col("least")).drop("least")
 
 
 def repeated_runs(docs: DataFrame, scratch: Scratch, length: int = LENGTH) -> DataFrame:
-    """(doc, start, end): spans that the repeated strings cover, perhaps overlapping.
+    """(doc, spans): the spans that the repeated strings cover, perhaps overlapping, each as
+    start * 2^32 + end.
 
-    ``docs`` has ``doc``, unique numbers in the order that decides what is earlier, and
-    ``data``, distinct bytes.
+    ``docs`` has ``doc``, where the document starts if all are laid end to end in the order that
+    decides what is earlier, and ``data``, distinct bytes. A place in the corpus is one number.
     """
-    order = F.struct("doc", "at")
+    place = F.col("doc") + F.col("at")
     found = scratch.save(_all_anchors(docs.select("doc", "data"), length), "anchors")
     # 1. Anchors that nobody else has.
     shared = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
     shared = scratch.save(shared, "shared")
     scratch.release()
     kept = scratch.save(found.join(shared, "anchor"), "kept")
-    scratch.drop("anchors")
+    scratch.drop("anchors", "shared")
+    scratch.release()
     # 2. Whole stretches.
-    stretches = kept.groupBy("anchor", "stretch").agg(F.min(order).alias("least"), F.count(F.lit(1)).alias("n"))
+    stretches = kept.groupBy("anchor", "stretch").agg(F.min(place).alias("least"), F.count(F.lit(1)).alias("n"))
     stretches = scratch.save(stretches, "stretches")
     scratch.release()
     several = stretches.where("n > 1").select("anchor", "stretch", "least")
-    whole = kept.join(several, ["anchor", "stretch"]).where(order > F.col("least"))
+    whole = kept.join(several, ["anchor", "stretch"]).where(place > F.col("least"))
     first = F.col("at") - F.col("before")
-    whole = whole.select("doc", first.alias("start"), (first + F.col("span") + length).alias("end"))
-    whole = scratch.save(whole, "whole")
+    whole = scratch.save(whole.select("doc", _span(first, first + F.col("span") + length)), "whole")
+    scratch.release()
     mixed = stretches.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
-    chosen = stretches.join(mixed, "anchor").select("anchor", "stretch", "least.doc", "least.at")
-    chosen = kept.join(chosen, ["anchor", "stretch", "doc", "at"], "left_semi")
+    chosen = scratch.save(stretches.join(mixed, "anchor").select("least"), "mixed")
+    scratch.release()
+    chosen = kept.join(chosen, place == F.col("least"), "left_semi")
     chosen = chosen.groupBy("doc").agg(F.collect_list(F.struct("anchor", "at", "before", "span")).alias("chosen"))
     chosen = scratch.save(chosen, "chosen")
-    scratch.drop("kept", "shared", "stretches")
+    scratch.drop("kept", "stretches", "mixed")
     scratch.release()
     snippets = scratch.save(_snippets(docs.join(chosen, "doc"), length), "snippets")
     scratch.drop("chosen")
@@ -324,22 +333,29 @@ def repeated_runs(docs: DataFrame, scratch: Scratch, length: int = LENGTH) -> Da
     positions = scratch.save(_positions(chosen_snippets, length), "positions")
     scratch.drop("snippets", "nths")
     scratch.release()
-    single = _later(positions, ["a", "b"], F.struct("doc", "pos"), scratch, "positions")
-    single = single.select("doc", F.col("pos").alias("start"), (F.col("pos") + length).alias("end"))
-    return whole.unionByName(single)
+    single = _later(positions, ["a", "b"], F.col("doc") + F.col("pos"), scratch, "positions")
+    single = scratch.save(single.select("doc", _span(F.col("pos"), F.col("pos") + length)), "single")
+    scratch.drop("positions", "positions-first")
+    scratch.release()
+    spans = whole.unionByName(single).groupBy("doc").agg(F.collect_list("span").alias("spans"))
+    spans = scratch.save(spans, "spans")
+    scratch.drop("whole", "single")
+    scratch.release()
+    return spans
+
+
+def _span(start: Column, end: Column) -> Column:
+    return (F.shiftleft(start.cast("bigint"), 32) + end).alias("span")
 
 
-def _cut(data: bytes, spans: list) -> tuple[bytes, int]:
+def _cut(data: bytes, spans: np.ndarray) -> tuple[bytes, int]:
     """The bytes outside the spans, and how many maximal runs were removed."""
-    kept, at, runs, end = [], 0, 0, -1
-    for start, stop in sorted((s["start"], s["end"]) for s in spans):
-        if start > end:
-            kept.append(data[at:start])
-            runs += 1
-        end = max(end, stop)
-        at = end
-    kept.append(data[at:])
-    return b"".join(kept), runs
+    spans = np.sort(spans)
+    start, end = spans >> 32, np.maximum.accumulate(spans & 0xFFFFFFFF)
+    new = np.append(True, start[1:] > end[:-1])
+    lows, highs = start[new], end[np.append(new[1:], True)]
+    borders = zip(np.append(0, highs).tolist(), np.append(lows, len(data)).tolist(), strict=True)
+    return b"".join(data[low:high] for low, high in borders), len(lows)
 
 
 def remove_repeats(
@@ -370,9 +386,12 @@ def remove_repeats(
         F.count(F.lit(1)).alias("n"), F.max(n_bytes).cast("bigint").alias("n_bytes"), F.any_value(small).alias("small")
     )
     rows = scratch.save(rows, "rows")
-    firsts = rows.groupBy("hash").agg(F.min("rank").alias("first"))
-    numbered = with_position(scratch.save(firsts, "firsts"), ["first", "hash"], "doc")
-    numbered = scratch.save(numbered, "numbered")
+    # One more than the bytes, so that empty texts have a place of their own.
+    firsts = rows.groupBy("hash").agg(F.min("rank").alias("first"), (F.max("n_bytes") + 1).alias("room"))
+    firsts = scratch.save(firsts, "firsts")
+    numbered = with_running_total(firsts, ["first", "hash"], "room", "end", "all")
+    numbered = scratch.save(numbered.select("hash", "first", (F.col("end") - F.col("room")).alias("doc")), "numbered")
+    scratch.drop("firsts")
     owner = numbered.select(F.col("hash").alias("of"), F.col("first"), "doc")
     distinct = sized.where(n_bytes >= length).join(owner, (F.col("hash") == F.col("of")) & rank.eqNullSafe(F.col("first")))
     if not rows.where("n > 1").isEmpty():
@@ -380,17 +399,20 @@ def remove_repeats(
     distinct = scratch.save(distinct.select("doc", "data"), "distinct")
     scratch.release()
     spans = repeated_runs(distinct, scratch, length)
-    spans = spans.groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch, "data"):
-                held = [_cut(d, s) for d, s in zip(piece["data"].to_pylist(), piece["spans"].to_pylist(), strict=True)]
+                lists = piece["spans"]
+                flat = lists.flatten().to_numpy(zero_copy_only=False)
+                ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+                texts = piece["data"].to_pylist()
+                held = [_cut(d, s) for d, s in zip(texts, np.split(flat, ends[:-1]), strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         piece["doc"],
                         pa.array([n for _, n in held], pa.int64()),
-                        pa.array([len(d) - len(k) for d, (k, _) in zip(piece["data"].to_pylist(), held, strict=True)], pa.int64()),
+                        pa.array([len(d) - len(k) for d, (k, _) in zip(texts, held, strict=True)], pa.int64()),
                         pa.array([hashlib.sha256(kept).hexdigest() for kept, _ in held], pa.string()),
                         pa.array([kept for kept, _ in held], pa.binary()),
                     ],
