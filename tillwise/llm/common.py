@@ -68,9 +68,9 @@ class Scratch:
         self.spark = spark
         self.folder = new_path(spark, label)
 
-    def save(self, df: DataFrame, name: str) -> DataFrame:
+    def save(self, df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
         path = f"{self.folder}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").parquet(path, compression=compression)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:

@@ -34,6 +34,8 @@ from tillwise.operators.ranking import with_running_total
 LENGTH = 100
 ANCHOR = 32
 BLOCK = 8
+# All anchors are shuffled in so many slices, one after the other, so that the disks hold one of them.
+SLICES = 4
 
 # Fixed mixing constants (odd 64-bit numbers) for names.
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xBF58476D1CE4E5B9)
@@ -289,13 +291,17 @@ def repeated_runs(docs: DataFrame, scratch: Scratch, length: int = LENGTH) -> Da
     """
     place = F.col("doc") + F.col("at")
     found = scratch.save(_all_anchors(docs.select("doc", "data"), length), "anchors")
-    # 1. Anchors that nobody else has.
-    shared = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
-    shared = scratch.save(shared, "shared")
-    scratch.release()
-    kept = scratch.save(found.join(shared, "anchor"), "kept")
+    # 1. Anchors that nobody else has, slice by slice of their names.
+    kept = None
+    for i in range(SLICES):
+        part = found.where(F.pmod("anchor", F.lit(SLICES)) == i)
+        shared = part.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
+        shared = scratch.save(shared, "shared")
+        scratch.release()
+        part = scratch.save(part.join(shared, "anchor"), f"kept{i}")
+        scratch.release()
+        kept = part if kept is None else kept.unionByName(part)
     scratch.drop("anchors", "shared")
-    scratch.release()
     # 2. Whole stretches.
     stretches = kept.groupBy("anchor", "stretch").agg(F.min(place).alias("least"), F.count(F.lit(1)).alias("n"))
     stretches = scratch.save(stretches, "stretches")
@@ -311,7 +317,7 @@ def repeated_runs(docs: DataFrame, scratch: Scratch, length: int = LENGTH) -> Da
     chosen = kept.join(chosen, place == F.col("least"), "left_semi")
     chosen = chosen.groupBy("doc").agg(F.collect_list(F.struct("anchor", "at", "before", "span")).alias("chosen"))
     chosen = scratch.save(chosen, "chosen")
-    scratch.drop("kept", "stretches", "mixed")
+    scratch.drop(*(f"kept{i}" for i in range(SLICES)), "stretches", "mixed")
     scratch.release()
     snippets = scratch.save(_snippets(docs.join(chosen, "doc"), length), "snippets")
     scratch.drop("chosen")
@@ -396,7 +402,7 @@ def remove_repeats(
     distinct = sized.where(n_bytes >= length).join(owner, (F.col("hash") == F.col("of")) & rank.eqNullSafe(F.col("first")))
     if not rows.where("n > 1").isEmpty():
         distinct = distinct.groupBy("doc").agg(F.any_value("data").alias("data"))
-    distinct = scratch.save(distinct.select("doc", "data"), "distinct")
+    distinct = scratch.save(distinct.select("doc", "data"), "distinct", "zstd")
     scratch.release()
     spans = repeated_runs(distinct, scratch, length)
 
