@@ -1,7 +1,9 @@
+import math
 import re
 from collections import Counter
 
 import xxhash
+from pyspark.sql import functions as F
 
 from tillwise.llm import quality
 
@@ -130,3 +132,33 @@ def test_target_ngrams_slice_by_slice(spark, small, monkeypatch):
 def test_threshold_parts_the_labelled_rows():
     assert round(quality.best_threshold({-300: (9, 0), -100: (2, 1), -40: (0, 9)}), 6) == -0.695
     assert quality.best_threshold({-300: (4, 0), -40: (0, 9)}) is None
+
+
+def test_target_is_all_labelled_rows(spark):
+    """The target was cut at 4,000 labelled documents."""
+    labels = spark.range(9_000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    assert quality.trusted_ids(labels).count() == 9_000
+
+
+def test_rare_ngrams_count_in_their_class(spark, small, monkeypatch):
+    """Beyond OWN_GRAMS the rarest n-grams of the target share the classes, with what they count there."""
+    docs, labels = (spark.read.parquet(f"{small}/{t}.parquet") for t in ("documents", "labels"))
+    signed = lambda h: h - 2**64 if h >= 2**63 else h
+    # Single words only, so the expected counts are short.
+    grams = lambda text: [signed(xxhash.xxh64_intdigest(w, 42)) for w in (text or "").encode().split()]
+    rows = [(r.doc_id, grams(r.text)) for r in docs.collect()]
+    good = {r.doc_id for r in labels.where("quality = 1").collect()}
+    every = Counter(g for i, own in rows if i in good for g in own)
+    monkeypatch.setattr(quality, "OWN_GRAMS", 300)
+    least = next(c for c in range(1, 10**6) if sum(n >= c for n in every.values()) <= 300)
+    symbol = lambda g: g if every[g] >= least else ("other", g % quality.OTHER_CLASSES)
+    target, raw = Counter(), Counter()
+    for i, own in rows:
+        raw.update(map(symbol, own))
+        target.update(symbol(g) for g in own if i in good)
+    added = sum(n >= least for n in every.values()) + quality.OTHER_CLASSES
+    scale = math.log((sum(raw.values()) + added) / (sum(target.values()) + added))
+    expected = {i: sum(math.log((target[symbol(g)] + 1) / (raw[symbol(g)] + 1)) for g in own) / len(own) + scale
+                for i, own in rows if own}
+    for r in quality.assess(docs, labels, max_ngram=1).collect():
+        assert abs(r.log_ratio - expected.get(r.doc_id, 0.0)) < 1e-9

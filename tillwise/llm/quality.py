@@ -11,13 +11,18 @@ WINDOW = 8
 MAX_REPEAT_PERCENT = 30
 SYMBOLS = "[#*$%&|<>]"
 
-# The likelihood ratio: added to each count, words in an n-gram, labelled documents of the
-# target at most.
+# The likelihood ratio: added to each count, words in an n-gram.
 SMOOTHING = 1.0
 MAX_NGRAM = 2
-TARGET_DOCUMENTS = 4_000
-# Classes of the n-grams that no target document has, told apart by their hash.
+# n-grams that have counts of their own, the most frequent of the target; as long as the target has
+# no more, all of them.
+OWN_GRAMS = 4_000_000
+# Classes that all other n-grams share, told apart by their hash.
 OTHER_CLASSES = 1 << 17
+# The target's n-grams are counted in so many parts, which bounds what a count shuffles at once.
+COUNT_PARTS = 2
+# Labelled ids that are broadcast; more are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
 # n-grams of the target that are broadcast at once; more are taken slice by slice.
 SLICE_GRAMS = 4_000_000
 # The least score where fewer than LEAST_LABELLED rows of a label can be scored, and the
@@ -94,12 +99,10 @@ def with_statistics(
     )
 
 
-def trusted_ids(
-    labels: DataFrame, id_column: str = "doc_id", label: str = "quality", most: int = TARGET_DOCUMENTS
-) -> DataFrame:
-    """Ids labelled 1: the ``most`` with the smallest hash, a bounded table."""
+def trusted_ids(labels: DataFrame, id_column: str = "doc_id", label: str = "quality") -> DataFrame:
+    """All ids labelled 1."""
     trusted = labels.where(F.col(label) == 1).select(F.col(id_column).alias("trusted")).distinct()
-    return trusted.where("trusted IS NOT NULL").orderBy(F.xxhash64("trusted"), "trusted").limit(most)
+    return trusted.where("trusted IS NOT NULL")
 
 
 def row_hash(id_column: str, text_column: str) -> Column:
@@ -126,7 +129,7 @@ def ngram_rows(docs: DataFrame, max_ngram: int, buckets: int | None) -> DataFram
 
 
 def _other_class() -> Column:
-    """The class of an n-gram that no target document has, a small negative number."""
+    """The class of an n-gram without counts of its own, a small negative number."""
     return F.pmod("gram", F.lit(OTHER_CLASSES).cast("bigint")) - F.lit(OTHER_CLASSES)
 
 
@@ -164,63 +167,115 @@ def _raw_counts(rows: DataFrame, slices: list[DataFrame], scratch: Scratch) -> t
     return counts, others.groupBy("other").agg(F.sum("raw").alias("raw"))
 
 
+def _target_counts(grams: DataFrame, scratch: Scratch) -> DataFrame:
+    """(gram, in_target) of all n-grams of the target documents."""
+    parts = None
+    for i in range(COUNT_PARTS):
+        part = grams.where(F.pmod(F.xxhash64("gram"), F.lit(COUNT_PARTS)) == i)
+        part = scratch.save(part.groupBy("gram").agg(F.count(F.lit(1)).alias("in_target")), f"target{i}")
+        scratch.release()
+        parts = part if parts is None else parts.unionByName(part)
+    return parts
+
+
+def _least_count(target: DataFrame) -> int:
+    """The least count with which an n-gram has counts of its own: at most OWN_GRAMS reach it."""
+    n, least = 0, 1
+    by_count = target.groupBy(F.least("in_target", F.lit(OWN_GRAMS)).alias("c")).agg(F.count(F.lit(1)).alias("n"))
+    for r in by_count.orderBy(F.desc("c")).collect():  # few: many different counts need far more n-grams
+        n += r.n
+        if n > OWN_GRAMS:
+            return r.c + 1
+        least = r.c
+    return least
+
+
 def log_ratios(
     docs: DataFrame, trusted: DataFrame, scratch: Scratch, buckets: int | None, max_ngram: int
 ) -> DataFrame:
     """(key, log_ratio, held_out) of documents (key, id, text): the mean log of target to raw
     probability of each document's n-grams; no row for a document without words.
 
-    ``held_out`` is the same without the document's own share of the target counts. Each n-gram
-    of the target has its own counts; the others share ``OTHER_CLASSES`` of them, which no
-    target document has, so what is common in the corpus and missing in the target weighs most.
-    With ``buckets`` all n-grams share so many. Counts of the target are broadcast
-    slice by slice, so neither counting nor scoring shuffles occurrences.
+    The target is all documents of ``trusted``. ``held_out`` is the same with each n-gram's target
+    count less its occurrences in the document itself. The ``OWN_GRAMS`` most frequent n-grams of the
+    target have their own counts; the others share ``OTHER_CLASSES`` of them, counted over all target
+    documents and all documents as well, so what is common in the corpus and missing in the
+    target weighs most. With ``buckets`` all n-grams share so many. Counts of the target are
+    broadcast slice by slice, so neither counting nor scoring shuffles occurrences; target documents
+    are shuffled once, by their key, and their n-grams are counted where they then lie.
     """
-    in_target = docs.join(F.broadcast(trusted), F.col("id") == F.col("trusted")).select("key", "text")
-    in_target = in_target.select("key", _words(F.col("text")).alias("words"))
-    docs = docs.select("key", _words(F.col("text")).alias("words"))
+    known_ids = F.broadcast(trusted) if trusted.count() <= BROADCAST_IDS else trusted
+    in_target = docs.join(known_ids, F.col("id") == F.col("trusted")).select("key", "text")
     # The numbers of the other classes are no n-grams.
-    own = ngram_rows(in_target, max_ngram, buckets).where(~F.col("gram").between(-OTHER_CLASSES, -1))
-    own = scratch.save(own.groupBy("key", "gram").agg(F.count(F.lit(1)).alias("n")), "own")
-    target = own.groupBy("gram").agg(F.sum("n").alias("in_target"))
+    is_gram = ~F.col("gram").between(-OTHER_CLASSES, -1)
+
+    def grams_of(texts: DataFrame) -> DataFrame:
+        words = texts.select("key", _words(F.col("text")).alias("words"))
+        return ngram_rows(words, max_ngram, buckets).where(is_gram)
+
+    target = _target_counts(grams_of(in_target).select("gram"), scratch)
+    target_total = target.agg(F.coalesce(F.sum("in_target"), F.lit(0))).first()[0]
     if buckets is not None:  # every bucket counts by itself
         every = docs.sparkSession.range(buckets).select(F.col("id").alias("gram"))
-        target = every.join(target, "gram", "left").select("gram", F.coalesce("in_target", F.lit(0)).alias("in_target"))
-    target = scratch.save(target, "target")
+        own = every.join(target, "gram", "left").select("gram", F.coalesce("in_target", F.lit(0)).alias("in_target"))
+        rare = target.where("false")
+    else:
+        least = _least_count(target)
+        own, rare = target.where(F.col("in_target") >= least), target.where(F.col("in_target") < least)
+    own = scratch.save(own, "own")
+    n_own = own.count()
+    shared = scratch.save(
+        rare.groupBy(_other_class().alias("other")).agg(F.sum("in_target").alias("in_class")), "shared"
+    )
+    scratch.drop(*(f"target{i}" for i in range(COUNT_PARTS)))
     scratch.release()
-    sums = target.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("in_target"), F.lit(0)).alias("all")).first()
 
-    rows = ngram_rows(docs, max_ngram, buckets)
-    slices = _slices(target, sums.n)
-    counts, others = _raw_counts(rows, [s.select("gram") for s in slices], scratch)
+    rows = ngram_rows(docs.select("key", _words(F.col("text")).alias("words")), max_ngram, buckets)
+    counts, others = _raw_counts(rows, [s.select("gram") for s in _slices(own, n_own)], scratch)
     smooth = F.lit(SMOOTHING)
-    ratio = F.log((F.col("in_target") + smooth) / (F.col("raw") + smooth))
-    weights = target.join(counts, "gram", "left").withColumn("raw", F.coalesce("raw", F.lit(0)))
-    weights = scratch.save(weights.withColumn("weight", ratio), "weights")
-    other_weights = others.select("other", F.log(smooth / (F.col("raw") + smooth)).alias("other_weight"))
-    other_weights = scratch.save(other_weights, "other_weights")
-    raw_total = (weights.agg(F.sum("raw")).first()[0] or 0) + (others.agg(F.sum("raw")).first()[0] or 0)
-    added = SMOOTHING * (buckets or sums.n + OTHER_CLASSES)
-    raw_total, target_total = raw_total + added, sums.all + added
 
-    parts = None
-    for i, part in enumerate(_slices(weights.select("gram", "weight"), sums.n)):
+    def weight(count: str) -> Column:
+        return F.log((F.col(count) + smooth) / (F.col("raw") + smooth))
+
+    weights = own.join(counts, "gram", "left").withColumn("raw", F.coalesce("raw", F.lit(0)))
+    weights = scratch.save(weights.withColumn("weight", weight("in_target")), "weights")
+    classes = others.join(shared, "other", "left").withColumn("in_class", F.coalesce("in_class", F.lit(0)))
+    classes = classes.select("other", "in_class", weight("in_class").alias("other_weight"), "raw")
+    classes = scratch.save(classes, "other_weights")
+    raw_total = sum(df.agg(F.sum("raw")).first()[0] or 0 for df in (weights, classes))
+    added = SMOOTHING * (buckets or n_own + OTHER_CLASSES)
+    raw_total, target_total = raw_total + added, target_total + added
+
+    def loss(count: str) -> Column:
+        """What a score loses without the document's own n occurrences."""
+        left = F.greatest(F.col(count) - F.col("n"), F.lit(0))
+        return F.col("n") * F.log((left + smooth) / (F.col(count) + smooth))
+
+    # All n-grams of a document lie in one place: no shuffle counts them, or adds up what they lose.
+    pairs = grams_of(in_target.repartition("key")).groupBy("key", "gram").agg(F.count(F.lit(1)).alias("n"))
+    scores = losses = None
+    for i, part in enumerate(_slices(weights.select("gram", "weight", "in_target"), n_own)):
+        scored = rows.join(F.broadcast(part.drop("in_target")), "gram", "left" if i == 0 else "inner")
+        lost = pairs.join(F.broadcast(part.drop("weight")), "gram", "left" if i == 0 else "inner")
         if i == 0:
-            met = rows.join(F.broadcast(part), "gram", "left")
-            met = met.withColumn("other", F.when(F.col("weight").isNull(), _other_class()))
-            known, n = F.coalesce("weight", "other_weight"), F.count(F.lit(1))
+            scored = scored.withColumn("other", F.when(F.col("weight").isNull(), _other_class()))
+            lost = lost.withColumn("other", F.when(F.col("in_target").isNull(), _other_class()))
+            score, n = F.coalesce("weight", "other_weight"), F.count(F.lit(1))
+            lost_here, held = F.coalesce(loss("in_target"), loss("in_class")), F.sum("n")
         else:  # what the first slice has taken for another n-gram
-            met = rows.join(F.broadcast(part), "gram").withColumn("other", _other_class())
-            known, n = F.col("weight") - F.col("other_weight"), F.lit(0).cast("bigint")
-        scored = met.join(F.broadcast(other_weights), "other", "left").groupBy("key")
-        scored = scored.agg(F.sum(known).alias("score"), n.alias("n"))
-        parts = scored if parts is None else parts.unionByName(scored)
-    # What a target document's score loses without its own n occurrences.
-    loss = F.col("n") * F.log((F.col("in_target") - F.col("n") + smooth) / (F.col("in_target") + smooth))
-    lost = own.join(target, "gram").groupBy("key").agg(F.sum(loss).alias("loss"), F.sum("n").alias("held"))
-    if sums.n > SLICE_GRAMS:
-        parts = parts.groupBy("key").agg(*(F.sum(c).alias(c) for c in ("score", "n")))
-    whole = parts.join(lost, "key", "left")
+            scored, lost = scored.withColumn("other", _other_class()), lost.withColumn("other", _other_class())
+            score, n = F.col("weight") - F.col("other_weight"), F.lit(0).cast("bigint")
+            lost_here, held = loss("in_target") - F.coalesce(loss("in_class"), F.lit(0.0)), F.lit(0).cast("bigint")
+        scored = scored.join(F.broadcast(classes.select("other", "other_weight")), "other", "left").groupBy("key")
+        scored = scored.agg(F.sum(score).alias("score"), n.alias("n"))
+        lost = lost.join(F.broadcast(classes.select("other", "in_class")), "other", "left").groupBy("key")
+        lost = lost.agg(F.sum(lost_here).alias("loss"), held.alias("held"))
+        scores = scored if scores is None else scores.unionByName(scored)
+        losses = lost if losses is None else losses.unionByName(lost)
+    if n_own > SLICE_GRAMS:
+        scores = scores.groupBy("key").agg(*(F.sum(c).alias(c) for c in ("score", "n")))
+        losses = losses.groupBy("key").agg(*(F.sum(c).alias(c) for c in ("loss", "held")))
+    whole = scores.join(losses, "key", "left")
     left = F.lit(float(target_total)) - F.coalesce("held", F.lit(0))
     held_out = (F.col("score") + F.coalesce("loss", F.lit(0.0))) / F.col("n") + F.log(F.lit(float(raw_total)) / left)
     return whole.select(
@@ -307,7 +362,7 @@ def assess(
         judged = judged.join(log_ratios(keyed, trusted, scratch, buckets, max_ngram), "key", "left")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     judged = scratch.save(judged.withColumn("base_failed", failed), "judged")
-    scratch.drop("own", "target", "counted", "weights", "other_weights")
+    scratch.drop("own", "shared", "counted", "weights", "other_weights")
     scratch.release()
     if threshold is None:
         threshold = learned_threshold(judged, labels, id_column)
