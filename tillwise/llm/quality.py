@@ -23,6 +23,8 @@ OTHER_CLASSES = 1 << 17
 COUNT_PARTS = 2
 # Labelled ids that are broadcast; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
+# Target documents in one place while the n-grams of each are counted.
+DOCS_PER_PIECE = 1_000
 # n-grams of the target that are broadcast at once; more are taken slice by slice.
 SLICE_GRAMS = 4_000_000
 # The least score where fewer than LEAST_LABELLED rows of a label can be scored, and the
@@ -204,7 +206,8 @@ def log_ratios(
     broadcast slice by slice, so neither counting nor scoring shuffles occurrences; target documents
     are shuffled once, by their key, and their n-grams are counted where they then lie.
     """
-    known_ids = F.broadcast(trusted) if trusted.count() <= BROADCAST_IDS else trusted
+    n_ids = trusted.count()
+    known_ids = F.broadcast(trusted) if n_ids <= BROADCAST_IDS else trusted
     in_target = docs.join(known_ids, F.col("id") == F.col("trusted")).select("key", "text")
     # The numbers of the other classes are no n-grams.
     is_gram = ~F.col("gram").between(-OTHER_CLASSES, -1)
@@ -252,7 +255,8 @@ def log_ratios(
         return F.col("n") * F.log((left + smooth) / (F.col(count) + smooth))
 
     # All n-grams of a document lie in one place: no shuffle counts them, or adds up what they lose.
-    pairs = grams_of(in_target.repartition("key")).groupBy("key", "gram").agg(F.count(F.lit(1)).alias("n"))
+    placed = in_target.repartition(n_ids // DOCS_PER_PIECE + 1, "key")
+    pairs = grams_of(placed).groupBy("key", "gram").agg(F.count(F.lit(1)).alias("n"))
     scores = losses = None
     for i, part in enumerate(_slices(weights.select("gram", "weight", "in_target"), n_own)):
         scored = rows.join(F.broadcast(part.drop("in_target")), "gram", "left" if i == 0 else "inner")
