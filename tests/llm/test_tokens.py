@@ -88,3 +88,27 @@ def test_kept_words(monkeypatch):
                 assert ids[a : a + size].tolist() == plain.encode(word, add_special_tokens=False).ids
         assert len(held.hashes) <= most and (np.diff(held.hashes.astype(object)) > 0).all()
     assert len(held.hashes) > 8
+
+
+def test_words_are_encoded_together():
+    """Each distinct word was a text, with a result, of its own."""
+
+    class Counting:
+        def __init__(self, tokenizer):
+            self.tokenizer, self.texts = tokenizer, 0
+
+        def encode_batch_fast(self, texts, **options):
+            self.texts += len(texts)
+            return self.tokenizer.encode_batch_fast(texts, **options)
+
+        encode_batch = encode_batch_fast
+
+    plain = [f"w{i}é{'x' * (i % 40)}." for i in range(2_100)]
+    odd = ["a<|endoftext|>b", "<|endoftext|>", "<|startoftext|>x", "<|endoftext|<|", "|>", "́a", "'s", " "]
+    for words, most in ((plain, 10), (odd + plain[:50], 100)):
+        held = tokens.WordIds(PATH)
+        held.tokenizer = counting = Counting(held.tokenizer)
+        ids, first, n = held.of(pa.array(words, pa.large_string()))
+        for word, a, size in zip(words, first, n, strict=True):
+            assert ids[a : a + size].tolist() == counting.tokenizer.encode(word, add_special_tokens=False).ids
+        assert counting.texts <= most

@@ -44,7 +44,7 @@ CACHED_WORDS = 1_500_000
 # Words of up to so many times eight bytes.
 LANES = 3
 # Words handed to the tokenizer at once.
-ENCODED_WORDS = 2_000
+ENCODED_WORDS = 500
 # Tasks that read shards, if there are that many.
 READ_TASKS = 20_000
 # Blocks a reader decodes at once.
@@ -228,6 +228,14 @@ def _mixed(lanes: np.ndarray) -> np.ndarray:
     return mixed
 
 
+def _separator(tokenizer: Tokenizer) -> tuple[str, int] | None:
+    """A token of the vocabulary that parts a text before anything else is done to it, and its id."""
+    for number, token in sorted(tokenizer.get_added_tokens_decoder().items(), reverse=True):
+        if token.special and not (token.normalized or token.single_word or token.lstrip or token.rstrip):
+            return token.content, number
+    return None
+
+
 class WordIds:
     """Ids of distinct words: the first ``CACHED_WORDS`` met are kept, unless they are very long.
 
@@ -237,6 +245,7 @@ class WordIds:
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
+        self.between = _separator(self.tokenizer)
         self.hashes = np.zeros(0, np.uint64)
         self.lanes = np.zeros((0, LANES), np.uint64)
         self.first = np.zeros(0, np.int64)
@@ -244,13 +253,32 @@ class WordIds:
         self.ids = np.zeros(0, np.uint32)
 
     def _encode(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        ids, sizes = [], []
+        ids, sizes = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
         for at in range(0, len(words), ENCODED_WORDS):  # the library's own results are bulky
             some = words.slice(at, ENCODED_WORDS).to_pylist()
-            found = [x.ids for x in self.tokenizer.encode_batch(some, add_special_tokens=False)]
-            sizes += map(len, found)
-            ids.append(np.array([i for x in found for i in x], np.uint32))
-        return np.concatenate([*ids, np.zeros(0, np.uint32)]), np.array(sizes, np.int64)
+            found = self._encode_joined(some) or self._encode_each(some)
+            ids.append(found[0])
+            sizes.append(found[1])
+        return np.concatenate(ids), np.concatenate(sizes)
+
+    def _encode_joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """All words in one text, a result for each would cost more than its ids. None if a word
+        has the separator in it."""
+        if self.between is None:
+            return None
+        text, number = self.between
+        joined = text.join(words)
+        if joined.count(text) != len(words) - 1:
+            return None
+        found = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, np.uint32)
+        at = np.flatnonzero(found == number)
+        if len(at) != len(words) - 1:
+            return None
+        return np.delete(found, at), np.diff(at, prepend=-1, append=len(found)) - 1
+
+    def _encode_each(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [x.ids for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        return np.array([i for x in found for i in x], np.uint32), np.array([len(x) for x in found], np.int64)
 
     def of(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids, first, n): the ids of word i are the n[i] from first[i] on."""
