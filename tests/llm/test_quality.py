@@ -162,3 +162,44 @@ def test_rare_ngrams_count_in_their_class(spark, small, monkeypatch):
                 for i, own in rows if own}
     for r in quality.assess(docs, labels, max_ngram=1).collect():
         assert abs(r.log_ratio - expected.get(r.doc_id, 0.0)) < 1e-9
+
+
+def test_broadcast_rows_hold_several_ngrams(spark):
+    """A row for each n-gram took 201 MB a table, two at a time, more than the driver had."""
+    own = spark.range(-500, 500).select((F.col("id") * 7918).alias("gram"), F.col("id").alias("weight"))
+    table, rows = quality._packed(own, 1000)
+    assert table.count() <= rows <= 2 * 1000 // quality.GRAMS_PER_ROW
+    looked = spark.range(-4000, 4000).select((F.col("id") * 3959).alias("gram"))
+    expected = {g: g // 7918 if g % 7918 == 0 and -500 <= g // 7918 < 500 else None for (g,) in looked.collect()}
+    assert {r.gram: r.weight for r in quality._looked_up(looked, (table, rows), "left", "weight").collect()} == expected
+    known = quality._looked_up(looked, (table, rows), "inner", "weight").collect()
+    assert {r.gram: r.weight for r in known} == {g: w for g, w in expected.items() if w is not None}
+
+
+def test_held_out_scores(spark, monkeypatch):
+    """Copies, n-grams only the target or only the rest has, own counts and classes."""
+    monkeypatch.setattr(quality, "OWN_GRAMS", 3)
+    texts = {1: "a a b c", 2: "a b d d", 3: "a e e f", 4: "g a b"}
+    rows = [(1, 1), (1, 1), (2, 2), (3, 3), (4, 4), (None, 4)]
+    docs = spark.createDataFrame([(i, texts[t], t) for i, t in rows], "id int, text string, key int")
+    trusted = spark.createDataFrame([(1,), (2,), (99,)], "trusted int")
+    docs = docs.withColumn("key", F.struct(F.coalesce("id", F.lit(0)).alias("a"), F.col("key").alias("b")))
+    found = quality.log_ratios(docs, trusted, quality.Scratch(spark, "test"), None, 1).collect()
+    gram = lambda w: (h := xxhash.xxh64_intdigest(w.encode(), 42)) - 2**64 * (h >= 2**63)
+    target = Counter(w for i, t in rows if i in (1, 2) for w in texts[t].split())
+    own = {w for w in target if target[w] > 2}  # a, b: with those counted twice there are four
+    symbol = lambda w: w if w in own else gram(w) % quality.OTHER_CLASSES
+    raw = Counter(symbol(w) for _, t in rows for w in texts[t].split())
+    good = Counter(symbol(w) for i, t in rows if i in (1, 2) for w in texts[t].split())
+    added = len(own) + quality.OTHER_CLASSES
+    n_raw, n_good = sum(raw.values()) + added, sum(good.values()) + added
+    assert len(found) == 5
+    for r in found:
+        words, copies = texts[r.key.b].split(), rows.count((r.key.a or None, r.key.b))
+        mine = Counter({symbol(w): 0 for w in words})
+        if r.key.a in (1, 2):
+            mine.update(symbol(w) for w in words * copies)
+        mean = sum(math.log((good[symbol(w)] + 1) / (raw[symbol(w)] + 1)) for w in words) / len(words)
+        held = sum(math.log((good[symbol(w)] - mine[symbol(w)] + 1) / (raw[symbol(w)] + 1)) for w in words) / len(words)
+        assert abs(r.log_ratio - mean - math.log(n_raw / n_good)) < 1e-9
+        assert abs(r.held_out - held - math.log(n_raw / (n_good - sum(mine.values())))) < 1e-9

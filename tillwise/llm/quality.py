@@ -27,6 +27,8 @@ BROADCAST_IDS = 1_000_000
 DOCS_PER_PIECE = 1_000
 # n-grams of the target that are broadcast at once; more are taken slice by slice.
 SLICE_GRAMS = 4_000_000
+# n-grams in a row of a broadcast table; rows of their own would take three times the memory.
+GRAMS_PER_ROW = 16
 # The least score where fewer than LEAST_LABELLED rows of a label can be scored, and the
 # steps of a score in which a threshold is looked for.
 THRESHOLD = -0.25
@@ -144,12 +146,29 @@ def _slices(target: DataFrame, n: int) -> list[DataFrame]:
     return [target.where(part == i) for i in range(parts)]
 
 
-def _raw_counts(rows: DataFrame, slices: list[DataFrame], scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """Occurrences in all documents: (gram, raw) of the target's n-grams, (other, raw) of all
+def _packed(grams: DataFrame, n: int) -> tuple[DataFrame, int]:
+    """The table (gram, ...) with about ``GRAMS_PER_ROW`` n-grams to a row, their columns as arrays,
+    and by how many the rest of an n-gram is the number of its row."""
+    rows = 1 << (n // GRAMS_PER_ROW).bit_length()
+    row = F.pmod("gram", F.lit(rows).cast("bigint")).alias("row")
+    packed = grams.groupBy(row).agg(F.collect_list(F.struct(*grams.columns)).alias("all"))
+    return packed.select("row", *(F.col(f"all.{c}").alias(f"{c}s") for c in grams.columns)), rows
+
+
+def _looked_up(rows: DataFrame, packed: tuple[DataFrame, int], how: str, *columns: str) -> DataFrame:
+    """``rows`` with further columns of their n-grams from the broadcast table, null if it has none."""
+    table, n = packed
+    joined = rows.join(F.broadcast(table), F.pmod("gram", F.lit(n).cast("bigint")) == F.col("row"), how)
+    at = F.array_position("grams", F.col("gram")).cast("int") - 1
+    found = joined.select(*rows.columns, *(F.get(f"{c}s", at).alias(c) for c in columns))
+    return found if how == "left" else found.where(F.col(columns[0]).isNotNull())
+
+
+def _raw_counts(rows: DataFrame, slices: list[tuple[DataFrame, int]], scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Occurrences in ``rows``: (gram, raw) of the n-grams of the slices, (other, raw) of all
     other n-grams by class. What leaves a task is at most a row per n-gram and class."""
-    known = slices[0].withColumnRenamed("gram", "known")
-    symbol = F.coalesce("known", _other_class()).alias("symbol")
-    counted = rows.join(F.broadcast(known), F.col("gram") == F.col("known"), "left").select(symbol)
+    symbol = F.when(F.col("is_own"), F.col("gram")).otherwise(_other_class()).alias("symbol")
+    counted = _looked_up(rows, slices[0], "left", "is_own").select(symbol)
     counted = counted.groupBy("symbol").agg(F.count(F.lit(1)).alias("raw"))
     counted = scratch.save(counted.where("symbol IS NOT NULL"), "counted")
     scratch.release()
@@ -160,7 +179,7 @@ def _raw_counts(rows: DataFrame, slices: list[DataFrame], scratch: Scratch) -> t
         return counts, others
     more = []
     for i, part in enumerate(slices[1:]):
-        part = rows.join(F.broadcast(part), "gram").groupBy("gram").agg(F.count(F.lit(1)).alias("raw"))
+        part = _looked_up(rows, part, "inner", "is_own").groupBy("gram").agg(F.count(F.lit(1)).alias("raw"))
         more.append(scratch.save(part, f"counted{i + 1}"))
         scratch.release()
         counts = counts.unionByName(more[-1])
@@ -203,12 +222,16 @@ def log_ratios(
     target have their own counts; the others share ``OTHER_CLASSES`` of them, counted over all target
     documents and all documents as well, so what is common in the corpus and missing in the
     target weighs most. With ``buckets`` all n-grams share so many. Counts of the target are
-    broadcast slice by slice, so neither counting nor scoring shuffles occurrences; target documents
-    are shuffled once, by their key, and their n-grams are counted where they then lie.
+    broadcast slice by slice, several n-grams to a row and one table at a time, so neither counting
+    nor scoring shuffles occurrences. What the target has is counted once, and only the other
+    documents are counted for the corpus; target documents are shuffled once, by their key, and
+    their n-grams are counted and scored where they then lie.
     """
     n_ids = trusted.count()
     known_ids = F.broadcast(trusted) if n_ids <= BROADCAST_IDS else trusted
-    in_target = docs.join(known_ids, F.col("id") == F.col("trusted")).select("key", "text")
+    is_known = F.col("id") == F.col("trusted")
+    in_target = docs.join(known_ids, is_known).select("key", "text")
+    elsewhere = docs.join(known_ids, is_known, "left_anti").select("key", "text")
     # The numbers of the other classes are no n-grams.
     is_gram = ~F.col("gram").between(-OTHER_CLASSES, -1)
 
@@ -233,16 +256,19 @@ def log_ratios(
     scratch.drop(*(f"target{i}" for i in range(COUNT_PARTS)))
     scratch.release()
 
-    rows = ngram_rows(docs.select("key", _words(F.col("text")).alias("words")), max_ngram, buckets)
-    counts, others = _raw_counts(rows, [s.select("gram") for s in _slices(own, n_own)], scratch)
+    rows = ngram_rows(elsewhere.select("key", _words(F.col("text")).alias("words")), max_ngram, buckets)
+    parts = [(part, n_own // max(1, -(-n_own // SLICE_GRAMS))) for part in _slices(own, n_own)]
+    marked = [_packed(part.select("gram", F.lit(True).alias("is_own")), n) for part, n in parts]
+    counts, others = _raw_counts(rows, marked, scratch)
     smooth = F.lit(SMOOTHING)
 
     def weight(count: str) -> Column:
         return F.log((F.col(count) + smooth) / (F.col("raw") + smooth))
 
-    weights = own.join(counts, "gram", "left").withColumn("raw", F.coalesce("raw", F.lit(0)))
+    weights = own.join(counts, "gram", "left").withColumn("raw", F.coalesce("raw", F.lit(0)) + F.col("in_target"))
     weights = scratch.save(weights.withColumn("weight", weight("in_target")), "weights")
-    classes = others.join(shared, "other", "left").withColumn("in_class", F.coalesce("in_class", F.lit(0)))
+    classes = others.join(shared, "other", "full").withColumn("in_class", F.coalesce("in_class", F.lit(0)))
+    classes = classes.withColumn("raw", F.coalesce("raw", F.lit(0)) + F.col("in_class"))
     classes = classes.select("other", "in_class", weight("in_class").alias("other_weight"), "raw")
     classes = scratch.save(classes, "other_weights")
     raw_total = sum(df.agg(F.sum("raw")).first()[0] or 0 for df in (weights, classes))
@@ -257,31 +283,42 @@ def log_ratios(
     # All n-grams of a document lie in one place: no shuffle counts them, or adds up what they lose.
     placed = in_target.repartition(n_ids // DOCS_PER_PIECE + 1, "key")
     pairs = grams_of(placed).groupBy("key", "gram").agg(F.count(F.lit(1)).alias("n"))
-    scores = losses = None
+    known_classes = F.broadcast(classes.select("other", "in_class", "other_weight"))
+    none = F.lit(0).cast("bigint")
+    saved = []
     for i, part in enumerate(_slices(weights.select("gram", "weight", "in_target"), n_own)):
-        scored = rows.join(F.broadcast(part.drop("in_target")), "gram", "left" if i == 0 else "inner")
-        lost = pairs.join(F.broadcast(part.drop("weight")), "gram", "left" if i == 0 else "inner")
+        how = "left" if i == 0 else "inner"
+        packed = _packed(part.drop("in_target"), parts[i][1])
+        scored = _looked_up(rows, packed, how, "weight")
+        packed = _packed(part, parts[i][1])
+        held = _looked_up(pairs, packed, how, "weight", "in_target")
         if i == 0:
             scored = scored.withColumn("other", F.when(F.col("weight").isNull(), _other_class()))
-            lost = lost.withColumn("other", F.when(F.col("in_target").isNull(), _other_class()))
-            score, n = F.coalesce("weight", "other_weight"), F.count(F.lit(1))
-            lost_here, held = F.coalesce(loss("in_target"), loss("in_class")), F.sum("n")
+            held = held.withColumn("other", F.when(F.col("weight").isNull(), _other_class()))
+            score, n_scored, n_held = F.coalesce("weight", "other_weight"), F.count(F.lit(1)), F.sum("n")
+            lost = F.coalesce(loss("in_target"), loss("in_class"))
         else:  # what the first slice has taken for another n-gram
-            scored, lost = scored.withColumn("other", _other_class()), lost.withColumn("other", _other_class())
-            score, n = F.col("weight") - F.col("other_weight"), F.lit(0).cast("bigint")
-            lost_here, held = loss("in_target") - F.coalesce(loss("in_class"), F.lit(0.0)), F.lit(0).cast("bigint")
-        scored = scored.join(F.broadcast(classes.select("other", "other_weight")), "other", "left").groupBy("key")
-        scored = scored.agg(F.sum(score).alias("score"), n.alias("n"))
-        lost = lost.join(F.broadcast(classes.select("other", "in_class")), "other", "left").groupBy("key")
-        lost = lost.agg(F.sum(lost_here).alias("loss"), held.alias("held"))
-        scores = scored if scores is None else scores.unionByName(scored)
-        losses = lost if losses is None else losses.unionByName(lost)
-    if n_own > SLICE_GRAMS:
-        scores = scores.groupBy("key").agg(*(F.sum(c).alias(c) for c in ("score", "n")))
-        losses = losses.groupBy("key").agg(*(F.sum(c).alias(c) for c in ("loss", "held")))
-    whole = scores.join(losses, "key", "left")
-    left = F.lit(float(target_total)) - F.coalesce("held", F.lit(0))
-    held_out = (F.col("score") + F.coalesce("loss", F.lit(0.0))) / F.col("n") + F.log(F.lit(float(raw_total)) / left)
+            scored, held = scored.withColumn("other", _other_class()), held.withColumn("other", _other_class())
+            score, n_scored, n_held = F.col("weight") - F.col("other_weight"), none, none
+            lost = loss("in_target") - loss("in_class")
+        scored = scored.join(known_classes, "other", "left").groupBy("key")
+        scored = scored.agg(
+            F.sum(score).alias("score"), n_scored.alias("n"), F.lit(0.0).alias("loss"), none.alias("held")
+        )
+        saved.append(scratch.save(scored, f"scored{i}"))  # its broadcast goes before the next is made
+        scratch.release()
+        held = held.join(known_classes, "other", "left").groupBy("key")
+        held = held.agg(
+            F.sum(F.col("n") * score).alias("score"), n_held.alias("n"), F.sum(lost).alias("loss"), n_held.alias("held")
+        )
+        saved.append(scratch.save(held, f"held{i}"))
+        scratch.release()
+    whole = saved[0]
+    for part in saved[1:]:
+        whole = whole.unionByName(part)
+    whole = whole.groupBy("key").agg(*(F.sum(c).alias(c) for c in ("score", "n", "loss", "held")))
+    left = F.lit(float(target_total)) - F.col("held")
+    held_out = (F.col("score") + F.col("loss")) / F.col("n") + F.log(F.lit(float(raw_total)) / left)
     return whole.select(
         "key",
         (F.col("score") / F.col("n") + F.lit(math.log(raw_total / target_total))).alias("log_ratio"),
