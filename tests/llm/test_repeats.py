@@ -57,3 +57,20 @@ def test_random_copies_runs_and_edits(spark, seed):
             text = words(draw.randrange(10, 80)) + text[at:]
         rows.append((i if draw.random() < 0.95 else None, text))
     check(spark.createDataFrame(rows + rows[:5], "doc_id bigint, text string"))
+
+
+def test_positions_are_shuffled_slice_by_slice(spark, monkeypatch):
+    """All single positions, the largest shuffle, were on the disks at once, beside their table."""
+    sizes, later = [], repeats._later
+
+    def counted(rows, *rest):
+        sizes.append(rows.count())
+        return later(rows, *rest)
+
+    monkeypatch.setattr(repeats, "_later", counted)
+    draw = random.Random(3)
+    words = lambda n: " ".join(draw.choice(["al", "be", "gamma", "de", "eps", "zet"]) for _ in range(n))
+    base = [words(60) for _ in range(6)]
+    rows = [(i, words(20) + draw.choice(base) + words(20)) for i in range(100)]
+    check(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert 0 < max(sizes) < 0.5 * sum(sizes)

@@ -34,7 +34,8 @@ from tillwise.operators.ranking import with_running_total
 LENGTH = 100
 ANCHOR = 32
 BLOCK = 8
-# All anchors are shuffled in so many slices, one after the other, so that the disks hold one of them.
+# All anchors, and all single positions, are shuffled in so many slices, one after the other, so that
+# the disks hold one of them.
 SLICES = 4
 
 # Fixed mixing constants (odd 64-bit numbers) for names.
@@ -339,13 +340,16 @@ def repeated_runs(docs: DataFrame, scratch: Scratch, length: int = LENGTH) -> Da
     positions = scratch.save(_positions(chosen_snippets, length), "positions")
     scratch.drop("snippets", "nths")
     scratch.release()
-    single = _later(positions, ["a", "b"], F.col("doc") + F.col("pos"), scratch, "positions")
-    single = scratch.save(single.select("doc", _span(F.col("pos"), F.col("pos") + length)), "single")
+    repeated = whole
+    for i in range(SLICES):
+        part = positions.where(F.pmod("a", F.lit(SLICES)) == i)
+        single = _later(part, ["a", "b"], F.col("doc") + F.col("pos"), scratch, "positions")
+        single = scratch.save(single.select("doc", _span(F.col("pos"), F.col("pos") + length)), f"single{i}")
+        scratch.release()
+        repeated = repeated.unionByName(single)
     scratch.drop("positions", "positions-first")
-    scratch.release()
-    spans = whole.unionByName(single).groupBy("doc").agg(F.collect_list("span").alias("spans"))
-    spans = scratch.save(spans, "spans")
-    scratch.drop("whole", "single")
+    spans = scratch.save(repeated.groupBy("doc").agg(F.collect_list("span").alias("spans")), "spans")
+    scratch.drop("whole", *(f"single{i}" for i in range(SLICES)))
     scratch.release()
     return spans
 
