@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 
 from tillwise.llm import repeats
@@ -74,3 +75,40 @@ def test_positions_are_shuffled_slice_by_slice(spark, monkeypatch):
     rows = [(i, words(20) + draw.choice(base) + words(20)) for i in range(100)]
     check(spark.createDataFrame(rows, "doc_id bigint, text string"))
     assert 0 < max(sizes) < 0.5 * sum(sizes)
+
+
+def slow_anchors(data, length=100):
+    """Runs of strings with the same anchor, string by string: first, last and the anchor's place."""
+    rank, runs = repeats.names(np.frombuffer(data, np.uint8), 64)[repeats.ANCHOR], []
+    for p in range(len(data) - length + 1):
+        at = min(range(p, p + length - repeats.ANCHOR + 1), key=lambda q: (rank[q], q))
+        if runs and runs[-1][2] == at:
+            runs[-1][1] = p
+        else:
+            runs.append([p, p, at])
+    return runs
+
+
+def test_short_documents_are_named_together():
+    """Each document had passes of its own, whose fixed costs were a large part of the time."""
+    draw = random.Random(4)
+    docs = [b"", b"ab", b"a" * 99, b"a" * 100, b"a" * 350, b"xyz" * 70, bytes(100)]
+    docs += [bytes(draw.choices(b"abcdefgh ", k=draw.randrange(600))) for _ in range(20)]
+    docs += [bytes(draw.choices(b"abcdefgh ", k=40)) * draw.randrange(8) for _ in range(10)]  # equal ranks in a window
+    draw.shuffle(docs)
+    sizes = np.array([len(d) for d in docs])
+    found = repeats.document_anchors(np.frombuffer(b"".join(docs), np.uint8), sizes)
+    rows = sorted(zip(*(column.tolist() for column in found), strict=True))
+    alone = [
+        (i, *(int(x) for x in anchor[1:]))
+        for i, d in enumerate(docs)
+        for anchor in zip(*repeats.document_anchors(np.frombuffer(d, np.uint8), np.array([len(d)])), strict=True)
+    ]
+    assert rows == sorted(alone)
+    expected = [(i, *run) for i, d in enumerate(docs) for run in slow_anchors(d)]
+    assert sorted((doc, first, last, at) for doc, _, at, first, last, _ in rows) == sorted(expected)
+    names = {}
+    for doc, _, at, first, last, stretch in rows:  # equal stretches, their anchors in the same place: equal names
+        text = docs[doc][first : last + 100]
+        assert names.setdefault((text, at - first, last - first), stretch) == stretch
+    assert len(set(names.values())) == len(names)

@@ -37,16 +37,23 @@ BLOCK = 8
 # All anchors, and all single positions, are shuffled in so many slices, one after the other, so that
 # the disks hold one of them.
 SLICES = 4
+# Bytes of short documents whose anchors are found in one pass; their ranks stay in a core's cache.
+TOGETHER = 1 << 15
 
 # Fixed mixing constants (odd 64-bit numbers) for names.
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xBF58476D1CE4E5B9)
 
 
 def _mix(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    mixed = left * _A + (right ^ (right >> np.uint64(29))) * _B + _C
+    mixed = right >> np.uint64(29)
+    mixed ^= right
+    mixed *= _B
+    mixed += left * _A
+    mixed += _C
     mixed ^= mixed >> np.uint64(32)
     mixed *= _C
-    return mixed ^ (mixed >> np.uint64(29))
+    mixed ^= mixed >> np.uint64(29)
+    return mixed
 
 
 def names(data: np.ndarray, length: int) -> dict[int, np.ndarray]:
@@ -64,14 +71,9 @@ def names(data: np.ndarray, length: int) -> dict[int, np.ndarray]:
     return out
 
 
-def anchors(rank: np.ndarray, window: int) -> np.ndarray:
-    """For each window of ranks the place of its smallest, the first of equal ones.
-
-    The smallest of a window is found by doubling the window, too.
-    """
-    n = len(rank) - window + 1
-    if n <= 0:
-        return np.zeros(0, np.int64)
+def _smallest_places(rank: np.ndarray, window: int) -> np.ndarray:
+    """For each window of ranks the place of its smallest, the first of equal ones, by doubling
+    the window."""
     least, place, size = rank, np.arange(len(rank), dtype=np.int32), 1
 
     def halves(gap: int) -> tuple[np.ndarray, np.ndarray]:
@@ -87,52 +89,75 @@ def anchors(rank: np.ndarray, window: int) -> np.ndarray:
     return place.astype(np.int64)
 
 
+def _smallest_ranks(rank: np.ndarray, window: int) -> np.ndarray:
+    """For each window of ranks its smallest."""
+    least, size = rank, 1
+    while 2 * size <= window:
+        least = np.minimum(least[: len(least) - size], least[size:])
+        size *= 2
+    gap = window - size
+    return np.minimum(least[: len(least) - gap], least[gap:]) if gap else least
+
+
+def anchors(rank: np.ndarray, window: int, starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Runs of windows with the same place of their smallest rank, the first of equal ones: the
+    document, first and last window of each and that place.
+
+    Documents lie end to end in ``rank``; the windows of each begin from its start to before its
+    stop. What lies between is no window.
+    """
+    if len(rank) < window:
+        return tuple(np.zeros(0, np.int64) for _ in range(4))
+    least = _smallest_ranks(rank, window)
+    borders = np.concatenate([starts, stops])
+    borders = borders[borders < len(least)]
+
+    new = np.append(True, least[1:] != least[:-1])
+    new[borders] = True
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(least)) - 1
+    doc = np.searchsorted(starts, first, side="right") - 1
+    own = first < stops[doc]
+    doc, first, last = doc[own], first[own], last[own]
+    # A smaller rank than before is the one that has come into the window.
+    place = first + window - 1
+    larger = np.flatnonzero((first == 0) | (least[first] >= least[first - 1]))
+    windows = np.lib.stride_tricks.sliding_window_view(rank, window)[first[larger]]
+    place[larger] = first[larger] + np.argmax(windows == least[first[larger], None], axis=1)
+    late = np.unique(doc[last > place])  # equal ranks in one window: the place moves on inside a run
+    if len(late):
+        rest = ~np.isin(doc, late)
+        found = [(doc[rest], first[rest], last[rest], place[rest])]
+        for d in late.tolist():
+            places = _smallest_places(rank[starts[d] : stops[d] + window - 1], window)
+            begin = np.flatnonzero(np.append(True, places[1:] != places[:-1]))
+            end = np.append(begin[1:], len(places)) - 1
+            found.append((np.full(len(begin), d), *(starts[d] + x for x in (begin, end, places[begin]))))
+        doc, first, last, place = (np.concatenate(column) for column in zip(*found, strict=True))
+    return doc, first, last, place
+
+
 def _stretch_name(rank64: np.ndarray, start: np.ndarray, end: np.ndarray, shape: np.ndarray) -> np.ndarray:
     """Name of the bytes [start, end), 100 to 192 of them, by three overlapping ranks."""
     middle = np.minimum(start + 64, end - 64)
     return _mix(_mix(rank64[start], rank64[middle]), _mix(rank64[end - 64], shape.astype(np.uint64)))
 
 
-def document_anchors(data: bytes, length: int = LENGTH) -> tuple[np.ndarray, ...]:
-    """Of each anchor: its name, its place, first and last position that it belongs to, and
-    the name of the stretch around it. Empty for fewer than ``length`` bytes."""
+def document_anchors(data: np.ndarray, sizes: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, ...]:
+    """Of each anchor: its document, name, place there, first and last position that it belongs to,
+    and the name of the stretch around it. ``data`` holds documents of the given sizes end to end;
+    those of fewer than ``length`` bytes have no anchors."""
     if len(data) < length:
-        return tuple(np.zeros(0, np.int64) for _ in range(5))
-    ranks = names(np.frombuffer(data, np.uint8), 64)
+        return tuple(np.zeros(0, np.int64) for _ in range(6))
+    starts = np.cumsum(sizes) - sizes
+    ranks = names(data, 64)
     rank32, rank64 = ranks[ANCHOR], ranks[64]
-    place = anchors(rank32, length - ANCHOR + 1)
-    first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-    last = np.append(first[1:], len(place)) - 1
-    at = place[first]
+    stops = starts + np.maximum(sizes - length + 1, 0)
+    doc, first, last, at = anchors(rank32, length - ANCHOR + 1, starts, stops)
     shape = (at - first) * 256 + (at - last)
     stretch = _stretch_name(rank64, first, last + length, shape)
-    return rank32[at].view(np.int64), at, first, last, stretch.view(np.int64)
-
-
-def _per_document(docs: DataFrame, work, schema: str, kind: pa.Schema) -> DataFrame:
-    """Runs ``work`` on each row (a dict of its columns) and returns the arrays that it gives."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for piece in slices(batch, "data"):
-                held = [[] for _ in kind.names]
-                size = 0
-                for row in piece.to_pylist():
-                    columns = work(row)
-                    for values, new in zip(held, columns, strict=True):
-                        values.append(new)
-                    size += len(columns[0])
-                    if size > 200_000:
-                        yield _joined(held)
-                        held, size = [[] for _ in kind.names], 0
-                if size:
-                    yield _joined(held)
-
-    def _joined(held: list[list[np.ndarray]]) -> pa.RecordBatch:
-        arrays = [pa.array(np.concatenate(h), f.type) for h, f in zip(held, kind, strict=True)]
-        return pa.RecordBatch.from_arrays(arrays, schema=kind)
-
-    return docs.mapInArrow(run, schema)
+    start = starts[doc]
+    return doc, rank32[at].view(np.int64), at - start, first - start, last - start, stretch.view(np.int64)
 
 
 def _all_anchors(docs: DataFrame, length: int) -> DataFrame:
@@ -141,13 +166,28 @@ def _all_anchors(docs: DataFrame, length: int) -> DataFrame:
          ("before", pa.int16()), ("span", pa.int16())]
     )
 
-    def work(row: dict) -> tuple[np.ndarray, ...]:
-        name, at, first, last, stretch = document_anchors(row["data"], length)
-        return name, stretch, np.full(len(at), row["doc"]), at, at - first, last - first
+    def joined(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        columns = [np.concatenate(column) for column in zip(*held, strict=True)]
+        arrays = [pa.array(column, f.type) for column, f in zip(columns, kind, strict=True)]
+        return pa.RecordBatch.from_arrays(arrays, schema=kind)
 
-    return _per_document(
-        docs, work, "anchor bigint, stretch bigint, doc bigint, at int, before smallint, span smallint", kind
-    )
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held, size = [], 0
+            for piece in slices(batch, "data", TOGETHER):
+                texts = piece.column("data")
+                sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
+                data = np.frombuffer(b"".join(texts.to_pylist()), np.uint8)
+                row, name, at, first, last, stretch = document_anchors(data, sizes, length)
+                held.append((name, stretch, _column(piece, "doc")[row], at, at - first, last - first))
+                size += len(row)
+                if size > 200_000:
+                    yield joined(held)
+                    held, size = [], 0
+            if size:
+                yield joined(held)
+
+    return docs.mapInArrow(run, "anchor bigint, stretch bigint, doc bigint, at int, before smallint, span smallint")
 
 
 def _snippets(docs: DataFrame, length: int) -> DataFrame:
@@ -275,12 +315,18 @@ def _positions(snippets: DataFrame, length: int) -> DataFrame:
     return own.mapInArrow(run, "a bigint, b bigint, doc bigint, pos int")
 
 
+def _few(keys: DataFrame) -> DataFrame:
+    """For joins with a table of distinct keys, of those few rows that have company: it is hashed
+    partition by partition, and the many other rows are not sorted."""
+    return keys.hint("shuffle_hash")
+
+
 def _later(rows: DataFrame, keys: list[str], order: Column, scratch: Scratch, name: str) -> DataFrame:
     """The rows that are not the first of their keys; the first is found before the join."""
     first = rows.groupBy(*keys).agg(F.min(order).alias("least"), F.count(F.lit(1)).alias("n"))
     first = scratch.save(first.where("n > 1").drop("n"), f"{name}-first")
     scratch.release()
-    return rows.join(first, keys).where(order > F.col("least")).drop("least")
+    return rows.join(_few(first), keys).where(order > F.col("least")).drop("least")
 
 
 def repeated_runs(docs: DataFrame, scratch: Scratch, length: int = LENGTH) -> DataFrame:
@@ -299,7 +345,7 @@ def repeated_runs(docs: DataFrame, scratch: Scratch, length: int = LENGTH) -> Da
         shared = part.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
         shared = scratch.save(shared, "shared")
         scratch.release()
-        part = scratch.save(part.join(shared, "anchor"), f"kept{i}")
+        part = scratch.save(part.join(_few(shared), "anchor"), f"kept{i}")
         scratch.release()
         kept = part if kept is None else kept.unionByName(part)
     scratch.drop("anchors", "shared")
@@ -330,7 +376,7 @@ def repeated_runs(docs: DataFrame, scratch: Scratch, length: int = LENGTH) -> Da
     common = common.join(edges, "place", "left").where("n > 1 OR edge").select("place", "key")
     common = scratch.save(common, "common")
     scratch.release()
-    left = blocks.where("key IS NOT NULL").join(common, ["place", "key"], "left_semi").select("doc", "at", "nth")
+    left = blocks.where("key IS NOT NULL").join(_few(common), ["place", "key"], "left_semi").select("doc", "at", "nth")
     left = left.unionByName(blocks.where("key IS NULL").select("doc", "at", "nth"))
     nths = scratch.save(left.groupBy("doc", "at").agg(F.collect_list("nth").alias("nths")), "nths")
     scratch.drop("blocks", "common")
